@@ -24,23 +24,7 @@ def top_n(counts: DataFrame, n: int = 5, item: str = "item", count: str = "ct")
     return ranked.select(BOUNDS[1], F.col("rank").cast("bigint").alias("rank"), item, count)
 
 
-def live_top_n(views: DataFrame, n: int = 5, ts: str = "ts", item: str = "item", size="1 hour", slide="5 minutes"):
-    """Stream form, append mode: window counts, then a second aggregate per window end.
-
-    The second aggregate keeps the items in salted groups of ``n`` first, so no state row
-    lists every item of a window.
-    """
-    counts = views.groupBy(F.window(ts, size, slide), item).agg(F.count(F.lit(1)).alias("ct"))
-    entry = F.struct("ct", (-F.col(item)).alias("neg"))
-    parts = counts.groupBy("window", F.pmod(F.hash(item), F.lit(64)).alias("part")).agg(_largest(entry, n).alias("top"))
-    best = parts.groupBy("window").agg(F.slice(F.sort_array(F.flatten(F.collect_list("top")), False), 1, n).alias("top"))
-    return best.select(F.col("window.end").alias(BOUNDS[1]), F.posexplode("top").alias("p", "e")).select(
-        BOUNDS[1],
-        (F.col("p") + 1).cast("bigint").alias("rank"),
-        (-F.col("e.neg")).alias(item),
-        F.col("e.ct").alias("ct"),
-    )
-
-
-def _largest(entry, n: int):
-    return F.slice(F.sort_array(F.collect_list(entry), False), 1, n)
+def live_item_counts(views: DataFrame, ts: str = "ts", item: str = "item", size="1 hour", slide="5 minutes"):
+    """Stream form of the counts. In append mode all counts of a window come in one batch, so
+    :func:`top_n` on each batch gives the final ranking without a second state."""
+    return sliding(views, ts, size, slide, [item], F.count(F.lit(1)).alias("ct"))

@@ -156,7 +156,7 @@ def _tail(n: int) -> str:
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan; runs nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def _position(order: Sequence[str]) -> Column:

@@ -22,7 +22,8 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None =
     reader = spark.readStream.schema(EVENTS_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    # A glob, since a stream takes a folder or a glob but not one file's name.
+    return reader.parquet(f"{sf_dir}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def sensor(events: DataFrame) -> DataFrame:
