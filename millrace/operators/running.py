@@ -5,6 +5,7 @@ Every input row gives one updated row. ``order`` is the arrival order of the row
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -69,8 +70,6 @@ def user_aggregate(
     add: Callable[[Any, pd.DataFrame], Any],
     merge: Callable[[Any, Any], Any],
     result: Callable[[Any], Any],
-    pack: Callable[[Any], list[float]],
-    unpack: Callable[[list[float]], Any],
     name: str = "result",
     type_: str = "double",
     flush: int = 100_000,
@@ -78,28 +77,31 @@ def user_aggregate(
     """A user aggregate from create / add / merge / result functions.
 
     Each task folds its rows into one accumulator per key before anything is shuffled, so a
-    hot key reaches the merge as one row per task. Accumulators travel as number arrays;
-    ``flush`` bounds how many a task holds.
+    hot key reaches the merge as one row per task. Accumulators travel pickled; ``flush``
+    bounds how many a task holds.
     """
     key_type = dict(df.dtypes)[key]
 
+    def packed(held: dict[Any, Any]) -> pd.DataFrame:
+        return pd.DataFrame({key: list(held), "acc": [pickle.dumps(a) for a in held.values()]})
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[Any, Any] = {}
         for batch in batches:
             for k, rows in batch.groupby(key, dropna=False):
                 held[k] = add(held.get(k, create()), rows)
             if len(held) >= flush:
-                yield pd.DataFrame({key: list(held), "acc": [pack(a) for a in held.values()]})
+                yield packed(held)
                 held = {}
         if held:
-            yield pd.DataFrame({key: list(held), "acc": [pack(a) for a in held.values()]})
+            yield packed(held)
 
     def finish(group: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         merged = create()
         for batch in batches:
             for acc in batch["acc"]:
-                merged = merge(merged, unpack(list(acc)))
+                merged = merge(merged, pickle.loads(acc))
         yield pd.DataFrame({key: [group[0]], name: [result(merged)]})
 
-    partials = df.select(key, *columns).mapInPandas(fold, f"{key} {key_type}, acc array<double>")
+    partials = df.select(key, *columns).mapInPandas(fold, f"{key} {key_type}, acc binary")
     return partials.groupBy(key).applyInPandas(finish, f"{key} {key_type}, {name} {type_}")
