@@ -46,8 +46,10 @@ def uv_exact(spark, sf):
 
 
 @query("uv_bitmap", f"""WITH {VIEWS_SQL}, o AS (
-  SELECT ts, list_reduce(list_prepend(0::BIGINT, list_transform(string_split(CAST(user_id AS VARCHAR), ''), c -> CAST(ascii(c) AS BIGINT))),
-                         (h, c) -> (h * 32 + c) & 1073741823) AS bit FROM v)
+  SELECT event_id, ts,
+         CAST(sum(ascii(substr(u, k, 1)) * (32 ** (length(u) - k))) AS BIGINT) & 1073741823 AS bit
+  FROM (SELECT event_id, ts, CAST(user_id AS VARCHAR) AS u FROM v), (SELECT CAST(unnest(range(1, 20)) AS INTEGER) AS k)
+  WHERE k > length(u) - 6 AND k <= length(u) GROUP BY event_id, ts)
 SELECT {_HOUR}, count(DISTINCT bit) AS uv FROM o GROUP BY ALL""")
 def uv_bitmap(spark, sf):
     return uniques.by_bitmap(_views(spark, sf), "ts", "1 hour", "user_id")

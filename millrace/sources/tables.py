@@ -17,13 +17,19 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    """The events table as a live stream, its time column ready for ``withWatermark``."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA)
+def stream(spark: SparkSession, sf_dir: str, name: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stored table as a live stream, read file by file."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     # A glob, since a stream takes a folder or a glob but not one file's name.
-    return reader.parquet(f"{sf_dir}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """The events table as a live stream, its time column ready for ``withWatermark``."""
+    events = stream(spark, sf_dir, "events", EVENTS_SCHEMA, files_per_batch)
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def sensor(events: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,38 @@ def drain(
     return spark.read.parquet(out)
 
 
+def run_until_quiet(df: DataFrame, mode: str, wait_s: float = 90.0) -> DataFrame:
+    """Run a clock-driven stream until a batch emits nothing after others did.
+
+    State on processing time gives a batch at every trigger, so such a stream never comes to
+    an end of its own.
+    """
+    spark = df.sparkSession
+    out, sizes = scratch(spark, "emitted"), []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        sizes.append(spark.read.parquet(f"{out}/batch={batch_id}").count())
+
+    query = (
+        df.writeStream.outputMode(mode)
+        .option("checkpointLocation", scratch(spark, "progress"))
+        .trigger(processingTime="1 second")
+        .foreachBatch(write)
+        .start()
+    )
+    give_up = time.monotonic() + wait_s
+    while query.isActive and not (any(sizes) and sizes[-1] == 0):
+        if time.monotonic() > give_up:
+            query.stop()
+            raise TimeoutError("the stream emitted nothing, or did not fall quiet, in time")
+        time.sleep(0.1)
+    if query.exception() is not None:
+        raise query.exception()
+    query.stop()
+    return spark.read.parquet(out)
+
+
 def newest(emitted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Last value of each key of an update-mode run."""
     rest = [c for c in emitted.columns if c not in (*keys, "batch")]

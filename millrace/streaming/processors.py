@@ -8,12 +8,14 @@ instead, so a hot key is spread and its parts are merged when the result is read
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-IN_ORDER_INPUT = ["us", "event_id", "kind"]
+BLOCK = 10_000  # rows sent to the state store at a time
+PAIR = "start_ts BIGINT, end_ts BIGINT, outcome STRING"
 
 
 class Named(StatefulProcessor):
@@ -32,9 +34,13 @@ class InOrder(Named):
     """Hands rows to :meth:`on_row` in time order once the watermark has passed them.
 
     A row waits in list state until then. One timer per key is set, for the next waiting row
-    or the next end of a wait; everything due is handled when it fires.
+    or the next end of a wait; everything due is handled when it fires. Meanwhile ``held`` is
+    what the operator keeps for the key, as (time, text) pairs; it is stored afterwards.
     """
 
+    schema = ""
+    times: Sequence[str] = ()
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getListState("pending", "us BIGINT, event_id BIGINT, kind STRING")
@@ -50,15 +56,6 @@ class InOrder(Named):
     def next_end(self) -> int | None:
         return None
 
-    def held(self) -> list[tuple]:
-        return list(self.waiting.get()) if self.waiting.exists() else []
-
-    def hold(self, rows: list[tuple]) -> None:
-        if rows:
-            self.waiting.put(rows)
-        else:
-            self.waiting.clear()
-
     def _set_alarm(self, us: int | None) -> None:
         if us is None:
             return
@@ -73,15 +70,18 @@ class InOrder(Named):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         earliest = None
-        for row in rows:
-            self.pending.appendValue((row["us"], row["event_id"], row["kind"]))
-            earliest = row["us"] if earliest is None else min(earliest, row["us"])
+        while block := [(r["us"], r["event_id"], r["kind"]) for r in islice(rows, BLOCK)]:
+            self.pending.appendList(block)
+            first = min(block)[0]
+            earliest = first if earliest is None else min(earliest, first)
         self._set_alarm(earliest)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         self.alarm.clear()
+        before = list(self.waiting.get()) if self.waiting.exists() else []
+        self.held = list(before)
         rows = sorted(self.pending.get()) if self.pending.exists() else []
         ready = [r for r in rows if r[0] < now]
         later = rows[len(ready):]
@@ -90,6 +90,10 @@ class InOrder(Named):
                 yield self.row(*key, *out)
         for out in self.on_time(now):
             yield self.row(*key, *out)
+        if self.held and self.held != before:
+            self.waiting.put(self.held)
+        elif before and not self.held:
+            self.waiting.clear()
         if later:
             self.pending.put(later)
         else:
@@ -101,53 +105,54 @@ class InOrder(Named):
 class FollowedBy(InOrder):
     """``start`` rows wait for the next ``then`` row of their key; see ``patterns.followed_by``."""
 
+    schema, times = PAIR, ("start_ts", "end_ts")
+
     def __init__(self, within: int) -> None:
         self.within = within
 
-    def _expire(self, now: int) -> Iterator[tuple]:
-        rows = self.held()
-        open_ = [r for r in rows if r[0] + self.within > now]
-        for us, _ in rows[: len(rows) - len(open_)]:
+    def on_time(self, now: int) -> Iterator[tuple]:
+        # A follower at the very end of the wait is too late, so the wait is over by then.
+        over = [r for r in self.held if r[0] + self.within <= now]
+        self.held = self.held[len(over):]
+        for us, _ in over:
             yield us, us + self.within, "timeout"
-        if len(open_) < len(rows):
-            self.hold(open_)
 
     def on_row(self, us: int, kind: str) -> Iterator[tuple]:
-        yield from self._expire(us)
+        yield from self.on_time(us)
         if kind == "start":
-            self.waiting.appendValue((us, kind))
+            self.held.append((us, kind))
         else:
-            for start, _ in self.held():
+            for start, _ in self.held:
                 yield start, us, "match"
-            self.hold([])
-
-    def on_time(self, now: int) -> Iterator[tuple]:
-        # A follower at the very end of the wait is too late, so the wait is over by then.
-        yield from self._expire(now)
+            self.held = []
 
     def next_end(self) -> int | None:
-        rows = self.held()
-        return rows[0][0] + self.within if rows else None
+        return self.held[0][0] + self.within if self.held else None
 
 
 class Repeated(InOrder):
     """``times`` adjacent rows of kind ``hit``; see ``patterns.repeated``."""
 
+    schema, times = PAIR, ("start_ts", "end_ts")
+
     def __init__(self, times: int, within: int) -> None:
-        self.times, self.within = times, within
+        self.n, self.within = times, within
 
     def on_row(self, us: int, kind: str) -> Iterator[tuple]:
-        run = self.held() if kind == "hit" else []
-        if kind == "hit":
-            if len(run) == self.times - 1 and us - run[0][0] < self.within:
-                yield run[0][0], us, "match"
-            run = [*run, (us, kind)][-(self.times - 1):]
-        self.hold(run)
+        if kind != "hit":
+            self.held = []
+            return
+        if len(self.held) == self.n - 1 and us - self.held[0][0] < self.within:
+            yield self.held[0][0], us, "match"
+        self.held = [*self.held, (us, kind)][-(self.n - 1):]
 
 
 class Reconcile(InOrder):
     """One waiting row per key; see ``joins.reconcile``. The state is cleared as a row leaves it."""
 
+    schema = "left_ts BIGINT, right_ts BIGINT, outcome STRING"
+    times = ("left_ts", "right_ts")
+
     def __init__(self, wait_right: int, wait_left: int) -> None:
         self.wait = {"left": wait_right, "right": wait_left}
 
@@ -156,40 +161,78 @@ class Reconcile(InOrder):
         return (us, None, "left_only") if kind == "left" else (None, us, "right_only")
 
     def on_row(self, us: int, kind: str) -> Iterator[tuple]:
-        for since, side in self.held():
+        for since, side in self.held:
             if side != kind and us <= since + self.wait[side]:
                 yield (since, us, "matched") if side == "left" else (us, since, "matched")
-                self.hold([])
+                self.held = []
                 return
             yield self._single(since, side)
-        self.hold([(us, kind)])
+        self.held = [(us, kind)]
 
     def on_time(self, now: int) -> Iterator[tuple]:
-        for since, side in self.held():
+        for since, side in self.held:
             if since + self.wait[side] < now:
                 yield self._single(since, side)
-                self.hold([])
+                self.held = []
 
     def next_end(self) -> int | None:
-        rows = self.held()
-        return rows[0][0] + self.wait[rows[0][1]] if rows else None
+        return self.held[0][0] + self.wait[self.held[0][1]] if self.held else None
+
 
+class CountTumbling(InOrder):
+    """One result per ``size`` rows of a key; ``kind`` carries the number to add up."""
 
-def in_order(df: DataFrame, key: str, kind: Column, processor: InOrder, names: Sequence[str]) -> DataFrame:
-    """Run an :class:`InOrder` processor over a stream with a watermark on ``ts``."""
-    rows = df.select(key, "ts", F.unix_micros("ts").alias("us"), "event_id", kind.alias("kind")).where("kind IS NOT NULL")
+    schema = "group_no BIGINT, ct BIGINT, total BIGINT"
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+
+    def on_row(self, us: int, kind: str) -> Iterator[tuple]:
+        # The first pair counts the groups given so far.
+        (done, _), *rows = [*(self.held or [(0, "groups")]), (us, kind)]
+        if len(rows) == self.size:
+            yield done, len(rows), sum(int(v) for _, v in rows)
+            done, rows = done + 1, []
+        self.held = [(done, "groups"), *rows]
+
+
+class CountChanges(InOrder):
+    """The changelog of a count; see ``changelog.count_changes``."""
+
+    schema, times = "ts BIGINT, op BOOLEAN, ct BIGINT", ("ts",)
+
+    def on_row(self, us: int, kind: str) -> Iterator[tuple]:
+        n = self.held[0][0] if self.held else 0
+        if n:
+            yield us, False, n
+        yield us, True, n + 1
+        self.held = [(n + 1, "rows")]
+
+
+def _columns(schema: str) -> list[str]:
+    return [f.split(" ")[0] for f in schema.split(", ")]
+
+
+def in_order(df: DataFrame, key: str, kind: Column, processor: InOrder) -> DataFrame:
+    """Run an :class:`InOrder` processor over a stream with a watermark on ``ts``.
+
+    Rows whose ``kind`` is null play no part and are not shuffled. A key's rows newer than
+    the watermark wait in its state, so limit the size of a batch when reading old data.
+    """
+    rows = df.select(key, "ts", F.unix_micros("ts").alias("us"), "event_id", kind.cast("string").alias("kind"))
     key_type = dict(df.dtypes)[key]
-    processor.columns = [key, *names, "outcome"]
-    out = rows.groupBy(key).transformWithState(
-        processor, f"{key} {key_type}, {names[0]} BIGINT, {names[1]} BIGINT, outcome STRING", "append", "EventTime"
+    processor.columns = [key, *_columns(processor.schema)]
+    out = rows.where("kind IS NOT NULL").groupBy(key).transformWithState(
+        processor, f"{key} {key_type}, {processor.schema}", "append", "EventTime"
     )
-    times = {n: F.timestamp_micros(F.col(n)).cast("timestamp_ntz") for n in names}
-    return out.withColumns(times)
+    return out.withColumns({n: F.timestamp_micros(F.col(n)).cast("timestamp_ntz") for n in processor.times})
 
 
 class KeyTimers(Named):
     """An event-time timer ``delay_ms`` after each row; emits its time when it fires."""
 
+    columns = ("id", "fired_ms")
+
     def __init__(self, delay_ms: int) -> None:
         self.delay_ms = delay_ms
 
@@ -208,6 +251,8 @@ class KeyTimers(Named):
 class ClockTimer(Named):
     """A clock timer some time after a key's rows; counts the rows seen until it fires."""
 
+    columns = ("id", "salt", "seen")
+
     def __init__(self, delay_ms: int) -> None:
         self.delay_ms = delay_ms
 
@@ -259,8 +304,8 @@ class Collected(Stateful):
         self.state = handle.getListState("values", "vc BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in rows:
-            self.state.appendValue((row["vc"],))
+        while block := [(r["vc"],) for r in islice(rows, BLOCK)]:
+            self.state.appendList(block)
         n = total = 0
         for (vc,) in self.state.get():
             n, total = n + 1, total + vc
@@ -341,7 +386,7 @@ def salted_state(df: DataFrame, key: str, processor: Stateful, salts: int = 8, t
     """State per (key, salt), in update mode. Merge the parts of a key when reading."""
     spread = df.withColumn("salt", F.pmod(F.hash("event_id"), F.lit(salts)))
     key_type = dict(df.dtypes)[key]
-    processor.columns = [key, "salt", *[f.split(" ")[0] for f in processor.schema.split(", ")]]
+    processor.columns = [key, "salt", *_columns(processor.schema)]
     return spread.groupBy(key, "salt").transformWithState(
         processor, f"{key} {key_type}, salt INT, {processor.schema}", "update", time_mode
     )
