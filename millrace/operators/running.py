@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,26 +83,48 @@ def user_aggregate(
     """
     key_type = dict(df.dtypes)[key]
 
-    def packed(held: dict[Any, Any]) -> pd.DataFrame:
-        return pd.DataFrame({key: list(held), "acc": [pickle.dumps(a) for a in held.values()]})
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[Any, Any] = {}
+
+        def packed(type_of_key: pa.DataType) -> pa.RecordBatch:
+            accs = [pickle.dumps(a) for a in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(held, type_of_key), pa.array(accs, pa.binary())], [key, "acc"])
+
+        kind = None
         for batch in batches:
-            for k, rows in batch.groupby(key, dropna=False):
+            kind = batch.schema.field(key).type
+            for k, rows in batch.to_pandas(integer_object_nulls=True).groupby(key, dropna=False):
+                k = None if pd.isna(k) else k
                 held[k] = add(held.get(k, create()), rows)
             if len(held) >= flush:
-                yield packed(held)
-                held = {}
+                yield packed(kind)
+                held.clear()
         if held:
-            yield packed(held)
+            yield packed(kind)
 
-    def finish(group: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        merged = create()
-        for batch in batches:
-            for acc in batch["acc"]:
-                merged = merge(merged, pickle.loads(acc))
-        yield pd.DataFrame({key: [group[0]], name: [result(merged)]})
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Partials come sorted by key, so one accumulator is held at a time.
+        def rows(done: list[tuple]) -> pa.RecordBatch:
+            ks, values = zip(*done)
+            return pa.RecordBatch.from_arrays([pa.array(ks, kind), pa.array(values)], [key, name])
 
-    partials = df.select(key, *columns).mapInPandas(fold, f"{key} {key_type}, acc binary")
-    return partials.groupBy(key).applyInPandas(finish, f"{key} {key_type}, {name} {type_}")
+        current: tuple | None = None
+        kind = None
+        for batch in batches:
+            kind, done = batch.schema.field(key).type, []
+            for k, packed in zip(batch[key].to_pylist(), batch["acc"].to_pylist()):
+                acc = pickle.loads(packed)
+                if current is not None and current[0] == k:
+                    current = (k, merge(current[1], acc))
+                    continue
+                if current is not None:
+                    done.append((current[0], result(current[1])))
+                current = (k, acc)
+            if done:
+                yield rows(done)
+        if current is not None:
+            yield rows([(current[0], result(current[1]))])
+
+    partials = df.select(key, *columns).mapInArrow(fold, f"{key} {key_type}, acc binary")
+    sorted_ = partials.repartition(key).sortWithinPartitions(key)
+    return sorted_.mapInArrow(finish, f"{key} {key_type}, {name} {type_}")

@@ -160,6 +160,8 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def _position(order: Sequence[str]) -> Column:
+    if len(order) == 1:
+        return F.col(order[0])
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
 
 
@@ -168,7 +170,10 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
 
 
 def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None):
-    """Cut points per hot key as a small local table, or None when no key needs cutting."""
+    """Cut points per hot key as a small local table, and the most cuts of one key.
+
+    None when no key needs cutting.
+    """
     if keys and hot_rows is None and plan_bytes(df) < SMALL_BYTES:
         return None
     limit = hot_rows or HOT_ROWS
@@ -195,7 +200,8 @@ def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_row
     cuts = F.filter(listed, lambda x, i: (i % SAMPLES_PER_CUT) == SAMPLES_PER_CUT - 1)
     table = sample.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(cuts.alias(_CUTS))
     # Bounded by MAX_CUTS positions; a local copy keeps the cuts the same for every reader.
-    return spark.createDataFrame(table.collect(), table.schema)
+    listed = table.collect()
+    return spark.createDataFrame(listed, table.schema), max((len(r[_CUTS]) for r in listed), default=0)
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> DataFrame:
@@ -206,26 +212,26 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows:
     cuts = _cut_table(df, keys, order, hot_rows)
     if cuts is None:
         return df.withColumn(CHUNK, F.lit(None).cast("int"))
-    return _with_chunks(df, keys, order, cuts)
+    return _with_chunks(df, keys, order, *cuts)
 
 
-def _with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
-    longest = cuts.agg(F.max(F.size(_CUTS))).first()[0] or 0
+def _with_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame, longest: int
+) -> DataFrame:
     if keys:
         pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
         joined = df.join(F.broadcast(cuts), _null_safe(df, cuts, pairs), "left")
         joined = joined.drop(*[f"_k{i}" for i in range(len(keys))])
     else:
         joined = df.withColumn(_CUTS, cuts.scalar())
-    # Binary search: how many cuts lie before this row.
+    # Binary search for how many cuts lie before this row. It is one expression rather than a
+    # projection per halving: a filter on the chunk that is pushed down would multiply those.
     strides = [1 << b for b in reversed(range(max(1, longest).bit_length()))]
     here = _position(order)
     found = F.aggregate(
         F.array(*[F.lit(s) for s in strides]),
         F.lit(0),
-        lambda at, s: F.when(
-            (at + s <= F.size(_CUTS)) & (F.get(F.col(_CUTS), at + s - 1) < here), at + s
-        ).otherwise(at),
+        lambda at, stride: F.when(F.get(F.col(_CUTS), at + stride - 1) < here, at + stride).otherwise(at),
     )
     return joined.withColumn(CHUNK, F.when(F.col(_CUTS).isNotNull(), found)).drop(_CUTS)
 
@@ -250,7 +256,7 @@ def keyed_scan(
         w = Window.partitionBy(*keys).orderBy(*directed)
         return df.select("*", *[o.finish(None, o.over(w)).alias(o.name) for o in outputs])
 
-    rows = _with_chunks(df, keys, order, cuts)
+    rows = _with_chunks(df, keys, order, *cuts)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*directed)
     names = {k: f"_c{i}" for i, k in enumerate([*keys, CHUNK])}
     hot = rows.where(F.col(CHUNK).isNotNull())

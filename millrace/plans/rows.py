@@ -17,7 +17,8 @@ def sensors(spark, sf):
 
 
 def lines(spark, sf):
-    return tables.document_lines(tables.table(spark, sf, "documents"))
+    documents = tables.table(spark, sf, "documents").select("doc_id", "text")
+    return tables.document_lines(tables.spread(documents))
 
 
 def _epoch():
@@ -254,12 +255,12 @@ def udtf_words(spark, sf):
 
 @query("udaf_count", "SELECT event_type, count(*) AS ct FROM events GROUP BY event_type")
 def udaf_count(spark, sf):
-    return udfs.count_by_key(tables.events(spark, sf), "event_type")
+    return udfs.count_by_key(tables.spread(tables.events(spark, sf).select("event_type")), "event_type")
 
 
 @query("udaf_mean", f"WITH {SENSOR_SQL} SELECT id, CAST(sum(vc) AS DOUBLE) / count(*) AS mean FROM s GROUP BY id")
 def udaf_mean(spark, sf):
-    return udfs.mean_by_key(sensors(spark, sf), "id", "vc")
+    return udfs.mean_by_key(tables.spread(sensors(spark, sf).select("id", "vc")), "id", "vc")
 
 
 _JSON_SQL = """

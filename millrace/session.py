@@ -24,12 +24,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Set the runtime options every operator assumes.
 
     Timestamps without a zone are read as UTC; adaptive execution re-plans joins by measured
-    size and splits skewed join partitions; state lives in RocksDB so it may exceed memory.
+    size and splits skewed join partitions; state lives in RocksDB, so it may exceed memory, and each
+    batch stores only its changes.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
 
 

@@ -26,6 +26,16 @@ def stream(spark: SparkSession, sf_dir: str, name: str, schema: str, files_per_b
     return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
+def spread(stored: DataFrame) -> DataFrame:
+    """A stored table over all cores, for work that is heavy per row.
+
+    Only a table read in fewer tasks than there are cores is moved; a large one already has
+    more, and stays as it is.
+    """
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
+
+
 def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     """The events table as a live stream, its time column ready for ``withWatermark``."""
     events = stream(spark, sf_dir, "events", EVENTS_SCHEMA, files_per_batch)
