@@ -56,16 +56,17 @@ def reconcile(
         right.select(key, ts, order, F.lit(False).alias("_left"))
     )
     by = [ts, "_left", order]
+    cuts = scan.cut_points(both, [key], by, **kw)
     seen = scan.keyed_scan(
         both, [key], by,
-        scan.running_count("_rn"), scan.previous_rows("_prev", F.struct("_left", ts), 1), **kw,
+        scan.running_count("_rn"), scan.previous_rows("_prev", F.struct("_left", ts), 1), cuts=cuts,
     )
     prev = F.get("_prev", F.lit(0))
     due = prev[ts] + F.when(prev["_left"], interval(wait_right)).otherwise(interval(wait_left))
     fits = F.coalesce((prev["_left"] != F.col("_left")) & (F.col(ts) <= due), F.lit(False))
     chained = scan.keyed_scan(
         seen.withColumn("_start", F.when(~fits, F.col("_rn"))).drop("_prev"), [key], by,
-        scan.running_max("_chain", F.col("_start")), **kw,
+        scan.running_max("_chain", F.col("_start")), cuts=cuts,
     )
     pair = F.col("_rn") - (F.col("_rn") - F.col("_chain")) % 2
     grouped = chained.withColumn("_pair", pair).groupBy(key, "_pair").agg(

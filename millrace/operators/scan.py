@@ -169,10 +169,14 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None):
+def cut_points(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
+) -> tuple[DataFrame, int] | None:
     """Cut points per hot key as a small local table, and the most cuts of one key.
 
-    None when no key needs cutting.
+    None when no key needs cutting. Runs one pass that counts the keys, if the input is not
+    small, and one that lists the sample, if a key is hot. Give the result to
+    :func:`keyed_scan` as ``cuts`` when several scans go over the same rows.
     """
     if keys and hot_rows is None and plan_bytes(df) < SMALL_BYTES:
         return None
@@ -209,7 +213,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows:
 
     ``order`` must tell the rows of a key apart; its hash picks the sample for the cuts.
     """
-    cuts = _cut_table(df, keys, order, hot_rows)
+    cuts = cut_points(df, keys, order, hot_rows)
     if cuts is None:
         return df.withColumn(CHUNK, F.lit(None).cast("int"))
     return _with_chunks(df, keys, order, *cuts)
@@ -243,15 +247,18 @@ def keyed_scan(
     *outputs: Running,
     reverse: bool = False,
     hot_rows: int | None = None,
+    cuts: tuple[DataFrame, int] | str | None = "find",
 ) -> DataFrame:
     """``df`` with each running output added, per ``keys`` along ``order`` (or against it).
 
     ``keys`` may be empty: the scan then runs over the whole table. ``order`` must tell the
-    rows of a key apart. ``hot_rows`` overrides the size at which a key is cut.
+    rows of a key apart. ``hot_rows`` overrides the size at which a key is cut; ``cuts``
+    takes what :func:`cut_points` found before.
     """
     keys, order = list(keys), list(order)
     directed = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
-    cuts = _cut_table(df, keys, order, hot_rows)
+    if cuts == "find":
+        cuts = cut_points(df, keys, order, hot_rows)
     if cuts is None:
         w = Window.partitionBy(*keys).orderBy(*directed)
         return df.select("*", *[o.finish(None, o.over(w)).alias(o.name) for o in outputs])

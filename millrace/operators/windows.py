@@ -61,11 +61,14 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], sums: dict[s
     slots = df.groupBy(*keys, F.window(ts, gap).alias("_slot")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), *[c.alias(n) for n, c in sums.items()]
     ).drop("_slot")
-    after = scan.keyed_scan(slots, keys, ["_first"], scan.running_max("_prev", F.col("_last"), inclusive=False), **kw)
+    cuts = scan.cut_points(slots, keys, ["_first"], **kw)
+    after = scan.keyed_scan(
+        slots, keys, ["_first"], scan.running_max("_prev", F.col("_last"), inclusive=False), cuts=cuts
+    )
     opens = F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + interval(gap))
     numbered = scan.keyed_scan(
         after.withColumn("_opens", opens.cast("int")), keys, ["_first"],
-        scan.running_sum("_session", F.col("_opens")), **kw,
+        scan.running_sum("_session", F.col("_opens")), cuts=cuts,
     )
     return numbered.groupBy(*keys, "_session").agg(
         F.min("_first").alias(BOUNDS[0]),

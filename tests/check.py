@@ -26,8 +26,7 @@ def types(table):
 
 def assert_same(df, con, sql):
     got = df.toArrow()
-    result = con.execute(sql)
-    want = result.to_arrow_table() if hasattr(result, "to_arrow_table") else result.fetch_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     assert types(got) == types(want)
     got_rows, got_names = rows(got)
     want_rows, want_names = rows(want)
