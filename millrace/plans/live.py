@@ -111,28 +111,62 @@ m AS (SELECT part, max(ts) AS mx FROM b GROUP BY part),
 w AS (SELECT b.*, (SELECT max(mx) FROM m WHERE m.part < b.part) - INTERVAL 2 HOUR - INTERVAL 1 MILLISECOND AS wm FROM b)"""
 
 
-@query("late_classes_live", f"""WITH {_BATCHES_SQL}
-SELECT event_id, id, window_start,
+_CLASSED_SQL = f"""{_BATCHES_SQL}, c AS (SELECT *,
   CASE WHEN wm IS NULL OR window_start + INTERVAL 1 HOUR - INTERVAL 1 MILLISECOND > wm THEN 'on_time'
        WHEN window_start + INTERVAL 3 HOUR - INTERVAL 1 MILLISECOND > wm THEN 'allowed' ELSE 'too_late' END AS class
-FROM w""")
-def late_classes_live(spark, sf):
-    """Late rows of a stream that arrives in four files, classed batch by batch."""
-    feed, out = scratch(spark, "feed"), scratch(spark, "classed")
+FROM w)"""
+
+
+def _in_files(spark, sf):
+    """The readings as a stream of four files in a made-up arrival order."""
+    feed = scratch(spark, "feed")
     arrivals = aggregates.arrivals(spark, sf).select("event_id", "id", "ts", "vc", "arrival")
     ends = arrivals.agg((F.max("arrival") + 1).alias("n")).first()["n"]
     for part in range(_PARTS):
         here = arrivals.where(F.floor(F.col("arrival") * _PARTS / F.lit(ends)) == part)
         here.coalesce(1).write.mode("append").parquet(feed)
-    stream = spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    return spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+
+
+def _run_batches(spark, stream, each):
+    stream.writeStream.foreachBatch(each).option("checkpointLocation", scratch(spark, "progress")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+
+
+def _classed(spark, sf):
+    out = scratch(spark, "classed")
     split = batched.LateSplit(
         scratch(spark, "watermark"), "ts", "1 hour", "2 hours", "2 hours",
         lambda classed, n: classed.write.mode("overwrite").parquet(f"{out}/batch={n}"),
     )
-    stream.writeStream.foreachBatch(split).option("checkpointLocation", scratch(spark, "progress")).trigger(
-        availableNow=True
-    ).start().awaitTermination()
-    return spark.read.parquet(out).select("event_id", "id", "window_start", "class")
+    _run_batches(spark, _in_files(spark, sf), split)
+    return spark.read.parquet(out)
+
+
+@query("late_classes_live", f"WITH {_CLASSED_SQL} SELECT event_id, id, window_start, class FROM c")
+def late_classes_live(spark, sf):
+    """Late rows of a stream that arrives in four files, classed batch by batch."""
+    return _classed(spark, sf).select("event_id", "id", "window_start", "class")
+
+
+@query("win_late_sum_live", f"""WITH {_CLASSED_SQL}
+SELECT id, window_start, CAST(sum(vc) AS BIGINT) AS sum_vc FROM c WHERE class <> 'too_late' GROUP BY id, window_start""")
+def win_late_sum_live(spark, sf):
+    """Window sums over the rows a stream still accepts."""
+    kept = _classed(spark, sf).where("class <> 'too_late'")
+    return kept.groupBy("id", "window_start").agg(F.sum("vc").alias("sum_vc"))
+
+
+@query("uv_running_live", f"""WITH {_BATCHES_SQL}, f AS (
+  SELECT window_start, id, arg_min(event_id, part * 100000000000 + event_id) AS event_id, min(part) AS part
+  FROM b GROUP BY window_start, id)
+SELECT window_start, id, event_id, row_number() OVER (PARTITION BY window_start ORDER BY part, event_id) AS uv FROM f""")
+def uv_running_live(spark, sf):
+    """A row for each user first seen in an hour, over a stream of four files."""
+    out = scratch(spark, "sightings")
+    _run_batches(spark, _in_files(spark, sf), batched.RunningUnique(out, "ts", "1 hour", "id", "event_id"))
+    return spark.read.parquet(out).select("window_start", "id", "event_id", "uv")
 
 
 # Analytics jobs

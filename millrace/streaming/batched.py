@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators import uniques
 from millrace.operators.eventtime import interval
 
 
@@ -47,6 +48,36 @@ class LateSplit:
         newest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
 
+class RunningUnique:
+    """One row per user first seen in a window, with the window's count so far, batch by batch.
+
+    First sightings are kept under ``path``; a batch looks only at those of windows no older
+    than its own. Use as a ``foreachBatch`` function; the rows of all batches are the result.
+    """
+
+    def __init__(self, path: str, ts: str, size: str, user: str, arrival: str) -> None:
+        self.path, self.ts, self.size, self.user, self.arrival = path, ts, size, user, arrival
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        found = uniques.running(batch, self.ts, self.size, self.user, self.arrival)
+        if batch_id > 0:
+            found = self._beyond(batch, batch_id)
+        found.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def _beyond(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        start = F.window(self.ts, self.size)["start"]
+        oldest = batch.agg(F.min(start).alias("w")).first()["w"]
+        known = batch.sparkSession.read.parquet(self.path).where(
+            (F.col("batch") < batch_id) & (F.col("window_start") >= F.lit(oldest))
+        )
+        placed = batch.withColumn("window_start", start)
+        new = placed.join(known.select("window_start", self.user), ["window_start", self.user], "left_anti")
+        counted = uniques.running(new.drop("window_start"), self.ts, self.size, self.user, self.arrival)
+        before = known.groupBy("window_start").agg(F.max("uv").alias("_before"))
+        joined = counted.join(before, "window_start", "left")
+        return joined.withColumn("uv", F.col("uv") + F.coalesce("_before", F.lit(0))).drop("_before")
+
+
 def controlled_batch(
     batch: DataFrame, control: Callable[[], DataFrame], order: str, setting: str
 ) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import scratch
 
@@ -44,7 +46,13 @@ def drain(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out)
+    try:
+        return spark.read.parquet(out)
+    except AnalysisException as error:
+        # An empty source gives no batch and so no folder.
+        if per_batch is not None or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType([*df.schema.fields, T.StructField("batch", T.IntegerType())]))
 
 
 def run_until_quiet(df: DataFrame, mode: str, wait_s: float = 90.0) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import joins, patterns
+from millrace.plans import matching
 from millrace.plans.registry import HOUR_US
 from millrace.session import scratch
 from millrace.sources import tables
@@ -82,3 +83,20 @@ def test_running_again_goes_on(spark, feed):
     checkpoint, out = scratch(spark, "progress"), scratch(spark, "emitted")
     first = live.drain(events, "append", checkpoint=checkpoint, out=out).count()
     assert live.drain(events, "append", checkpoint=checkpoint, out=out).count() == first == 1000
+
+
+def test_empty_source(spark, tmp_path):
+    nothing = spark.readStream.schema(tables.EVENTS_SCHEMA).parquet(str(tmp_path))
+    got = live.drain(nothing.select("event_id"), "append")
+    assert got.count() == 0 and "event_id" in got.columns
+
+
+def test_interval_join_drops_old_state(spark, feed):
+    """Rows that no later row can join leave the join's state."""
+    events = spark.readStream.schema(tables.EVENTS_SCHEMA).parquet(feed)
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+    pairs = matching.interval_pairs(matching.of_type(timed, "purchase"), matching.of_type(timed, "click"))
+    query = pairs.writeStream.foreachBatch(lambda batch, n: batch.count()).option(
+        "checkpointLocation", scratch(spark, "progress")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sum(p.stateOperators[0].numRowsRemoved for p in query.recentProgress) > 300

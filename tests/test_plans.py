@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from millrace.operators import scan
+from millrace.sources import tables
 
 QUERIES = entry_point.queries()
 
@@ -55,3 +57,13 @@ def test_whole_table_scans_only_gather_chunks(spark, sf, name):
     at = [i for i, line in enumerate(lines) if "SinglePartition" in line]
     assert at
     assert all("HashAggregate" in lines[i + 1] or "SortAggregate" in lines[i + 1] for i in at)
+
+
+def test_cut_keys_use_bounded_broadcasts(spark, sf):
+    """Cuts and carries are hash joins; the rows themselves are shuffled once, by key and chunk."""
+    readings = tables.sensor(tables.events(spark, sf))
+    df = scan.keyed_scan(readings, ["id"], ["event_id"], scan.running_count("ct"), hot_rows=10)
+    text = plan(df)
+    assert "NestedLoop" not in text and "SortMergeJoin" not in text
+    assert text.count("BroadcastHashJoin") >= 2
+    assert "hashpartitioning(id" in text and "_chunk" in text
