@@ -35,25 +35,38 @@ def strict(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Colum
     )
 
 
-def followed_by(
-    df: DataFrame, key: str, order: Sequence[str], start: Column, then: Column, within: str, **kw
+def with_follower(
+    df: DataFrame, key: str, order: Sequence[str], start: Column, then: Column, **kw
 ) -> DataFrame:
-    """Each start row with the first later ``then`` row, whatever lies between.
+    """The start rows, with the time of the first later ``then`` row of their key in ``next_ts``.
 
-    ``outcome`` is ``match`` when that comes in less than ``within``, else ``timeout`` with
-    the time the wait ended. One backward scan finds the follower; only rows of the two
-    kinds are shuffled.
+    One backward scan; only rows of the two kinds are shuffled.
     """
-    ts = order[0]
+    kinds = df.where(start | then).withColumn("_start", start).withColumn("_at", F.when(then, F.col(order[0])))
     rows = scan.keyed_scan(
-        df.where(start | then).withColumn("_start", start).withColumn("_at", F.when(then, F.col(ts))),
-        [key], order, scan.running_last("_next", F.col("_at"), inclusive=False), reverse=True, **kw,
-    ).where("_start")
+        kinds, [key], order, scan.running_last("next_ts", F.col("_at"), inclusive=False), reverse=True, **kw
+    )
+    return rows.where("_start").drop("_start", "_at")
+
+
+def outcomes(starts: DataFrame, key: str, ts: str, within: str) -> DataFrame:
+    """``match`` for a start whose follower comes in less than ``within``, else ``timeout``."""
     due = F.col(ts) + interval(within)
-    matched = F.coalesce(F.col("_next") < due, F.lit(False))
-    return rows.select(
+    matched = F.coalesce(F.col("next_ts") < due, F.lit(False))
+    return starts.select(
         key,
         F.col(ts).alias("start_ts"),
-        F.when(matched, F.col("_next")).otherwise(due).alias("end_ts"),
+        F.when(matched, F.col("next_ts")).otherwise(due).alias("end_ts"),
         F.when(matched, "match").otherwise("timeout").alias("outcome"),
     )
+
+
+def followed_by(
+    df: DataFrame, key: str, order: Sequence[str], start: Column, then: Column, within: str, **kw
+) -> DataFrame:
+    """Each start row with the first later ``then`` row, whatever lies between.
+
+    ``outcome`` is ``match`` when that comes in less than ``within``, else ``timeout`` with
+    the time the wait ended.
+    """
+    return outcomes(with_follower(df, key, order, start, then, **kw), key, order[0], within)

@@ -190,7 +190,7 @@ def uv_exact_live(spark, sf):
 def item_top_n_live(spark, sf):
     events, end = _ended(spark, sf, "view")
     counts = ranking.live_item_counts(jobs.views(events))
-    return live.plain_time(_real(end.drain(counts, "append", ranking.top_n), "item"), "window_end")
+    return live.plain_time(_real(end.drain(counts, "append", lambda batch, _: ranking.top_n(batch)), "item"), "window_end")
 
 
 # Matching
@@ -228,6 +228,18 @@ def pat_live(spark, sf):
     return _real(end.drain(state.in_order(events, "user_id", stage, state.FollowedBy(24 * HOUR_US)), "append"), "user_id")
 
 
+@query("pat_batches_live", matching.PAT_SQL)
+def pat_batches_live(spark, sf):
+    """The same by a scan per batch, which splits a hot key."""
+    end = live.event_end(spark)
+    kind = F.col("event_type")
+    events = tables.event_stream(spark, sf).unionByName(end.stream()).select("user_id", "ts", "event_id", "event_type")
+    step = batched.FollowedBy(
+        scratch(spark, "open"), "user_id", ["ts", "event_id"], kind == "signup", kind == "purchase", "1 day", "0 seconds"
+    )
+    return live.plain_time(end.drain(events, "append", step).drop("batch"), "start_ts", "end_ts")
+
+
 @query("control_switch_live", f"""
 SELECT event_id, event_type || CASE (SELECT arg_max(event_id % 3, event_id) FROM events WHERE event_type = 'error')
   WHEN 1 THEN '{matching.SWITCHES["1"]}' WHEN 2 THEN '{matching.SWITCHES["2"]}' ELSE '{matching.OTHERWISE}' END AS value
@@ -239,7 +251,7 @@ def control_switch_live(spark, sf):
     errors.select("event_id", (F.col("event_id") % 3).cast("string").alias("setting")).write.parquet(stored)
     main = tables.event_stream(spark, sf).where("event_type <> 'error'").select("event_id", "event_type")
 
-    def apply(batch):
+    def apply(batch, _):
         now = batched.controlled_batch(batch, lambda: spark.read.parquet(stored), "event_id", "setting")
         return now.select("event_id", F.concat("event_type", matching.switched(F.col("setting"))).alias("value"))
 

@@ -6,12 +6,12 @@ that is run again reads the same value and overwrites its own output.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import uniques
+from millrace.operators import patterns, uniques
 from millrace.operators.eventtime import interval
 
 
@@ -78,6 +78,46 @@ class RunningUnique:
         return joined.withColumn("uv", F.col("uv") + F.coalesce("_before", F.lit(0))).drop("_before")
 
 
+class FollowedBy:
+    """The relaxed sequence of ``patterns.followed_by`` on a stream, as one bounded scan per batch.
+
+    For keys too hot for per-key state in one task: each batch scans its rows together with
+    those left open before, and the scan splits a hot key. Rows are in order once the
+    watermark (largest time so far less ``delay``) has passed them; rows that come after that
+    are dropped. What stays open is stored per batch under ``path``: rows the watermark has
+    not passed, and starts still waiting. Use as ``per_batch`` of ``live.drain``.
+    """
+
+    def __init__(self, path: str, key: str, order: Sequence[str], start: Column, then: Column,
+                 within: str, delay: str, **scan_options: int) -> None:
+        self.path, self.key, self.order, self.start, self.then = path, key, list(order), start, then
+        self.within, self.delay, self.scan_options = within, delay, scan_options
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        spark, ts = batch.sparkSession, self.order[0]
+        type_ = batch.schema[ts].dataType
+        rows = batch.where(self.start | self.then)
+        passed = None
+        if batch_id > 0:
+            passed = spark.read.parquet(f"{self.path}/watermark/batch={batch_id - 1}").first()["at"]
+            on_time = rows if passed is None else rows.where(F.col(ts) >= F.lit(passed))
+            rows = on_time.unionByName(spark.read.parquet(f"{self.path}/open/batch={batch_id - 1}"))
+        reached = batch.agg((F.max(ts) - interval(self.delay)).alias("m")).select(
+            F.greatest("m", F.lit(passed).cast(type_)).alias("at")
+        )
+        reached.write.mode("overwrite").parquet(f"{self.path}/watermark/batch={batch_id}")
+        now = F.lit(spark.read.parquet(f"{self.path}/watermark/batch={batch_id}").first()["at"]).cast(type_)
+
+        closed = F.coalesce(F.col(ts) < now, F.lit(False))
+        starts = patterns.with_follower(
+            rows.where(closed), self.key, self.order, self.start, self.then, **self.scan_options
+        )
+        over = F.col("next_ts").isNotNull() | (F.col(ts) + interval(self.within) <= now)
+        waiting = rows.where(~closed).unionByName(starts.where(~over).drop("next_ts"))
+        waiting.write.mode("overwrite").parquet(f"{self.path}/open/batch={batch_id}")
+        return patterns.outcomes(starts.where(over), self.key, ts, self.within)
+
+
 def controlled_batch(
     batch: DataFrame, control: Callable[[], DataFrame], order: str, setting: str
 ) -> DataFrame:

@@ -20,13 +20,13 @@ END_KEY = -1
 def drain(
     df: DataFrame,
     mode: str,
-    per_batch: Callable[[DataFrame], DataFrame] | None = None,
+    per_batch: Callable[[DataFrame, int], DataFrame] | None = None,
     checkpoint: str | None = None,
     out: str | None = None,
 ) -> DataFrame:
     """Run ``df`` until its sources are used up and return everything it emitted.
 
-    Each micro-batch overwrites its own folder, so a batch that is run again after a failure
+    ``per_batch`` turns a batch and its number into what is emitted. Each micro-batch overwrites its own folder, so a batch that is run again after a failure
     is not counted twice. ``batch`` numbers the batches. Running again with the same
     ``checkpoint`` and ``out`` goes on where the last run ended.
     """
@@ -35,7 +35,7 @@ def drain(
     checkpoint = checkpoint or scratch(spark, "progress")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = per_batch(batch) if per_batch else batch
+        result = per_batch(batch, batch_id) if per_batch else batch
         result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     query = (

@@ -8,7 +8,7 @@ from millrace.plans import matching
 from millrace.plans.registry import HOUR_US
 from millrace.session import scratch
 from millrace.sources import tables
-from millrace.streaming import live
+from millrace.streaming import batched, live
 from millrace.streaming import processors as state
 
 FILES = 3
@@ -100,3 +100,18 @@ def test_interval_join_drops_old_state(spark, feed):
         "checkpointLocation", scratch(spark, "progress")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sum(p.stateOperators[0].numRowsRemoved for p in query.recentProgress) > 300
+
+
+@pytest.mark.parametrize("hot_rows", [None, 5])
+def test_followed_by_scanned_per_batch(spark, sf, feed, hot_rows):
+    end = live.event_end(spark)
+    kind = F.col("event_type")
+    events = spark.readStream.schema(tables.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed)
+    both = events.withColumn("ts", F.col("ts").cast("timestamp")).unionByName(end.stream())
+    sequence = (kind == "signup", kind == "purchase", "1 day")
+    step = batched.FollowedBy(
+        scratch(spark, "open"), "user_id", ["ts", "event_id"], *sequence, "2 hours", hot_rows=hot_rows)
+    got = end.drain(both, "append", step)
+    assert got.select("batch").distinct().count() > 2
+    want = patterns.followed_by(tables.events(spark, sf), "user_id", ["ts", "event_id"], *sequence)
+    same(live.plain_time(got.drop("batch"), "start_ts", "end_ts"), want)
