@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import changelog, eventtime, running, scan
 from millrace.plans.registry import HOUR_US, SENSOR_SQL, WORDS_SQL, bucket, query
 from millrace.plans.rows import document_words, sensors
-from millrace.sources import logs, records, tables
+from millrace.sources import records, tables
 
 ARRIVAL = ["arrival", "event_id"]
 DELAY, LATENESS = "2 hours", "2 hours"

@@ -10,17 +10,12 @@ from millrace.operators import scan
 @pytest.fixture(scope="module")
 def skewed(spark):
     """Key 0 (null in places) holds a third of the rows; order values repeat but for ``i``."""
-    rows = spark.range(3000).select(
+    return spark.range(3000).select(
         F.col("id").alias("i"),
         F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 40).alias("k"),
         F.floor(F.col("id") / 7).alias("t"),
         F.when(F.pmod(F.hash("id"), F.lit(5)) > 0, F.pmod(F.xxhash64("id"), F.lit(1000))).alias("v"),
     )
-    return rows
-
-
-def outputs(w_values):
-    return w_values
 
 
 SPECS = {

@@ -7,7 +7,6 @@ from millrace.operators import changelog, eventtime, joins, patterns, running, s
 from millrace.sources import tables
 
 ORDER = ["ts", "event_id"]
-KIND = F.col
 
 
 @pytest.fixture(scope="module")
