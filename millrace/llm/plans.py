@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bottom_k, line_spread, max_plus, spaced_seeds, toxicity
+from millrace.llm import adaptive_rules, bottom_k, line_spread, max_plus, spaced_seeds, toxicity, unit_hashes, url_models
 from millrace.llm.registry import query
 from millrace.sources.tables import table
 
@@ -20,6 +20,21 @@ def fold(n: int):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n)), F.lit(0))
 
 
+# Verdict, host and path.
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+@query("op1_url_models")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict, by rule or by model."""
+    return url_models.filtered(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op2_max_plus")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document encoded, and the checksum of what its ids decode to."""
@@ -60,6 +75,53 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "removed_lines", F.md5("text").alias("text_md5"))
 
 
+WORD_SQL = "'[^\\x20\\x09-\\x0D]+'"
+QUALITY_SQL = f"""
+    WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {WORD_SQL}) AS ws FROM documents),
+    g AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM w),
+    r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 4], ' ')) AS c FROM g),
+    rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(5) t(k) WHERE c > 1 GROUP BY doc_id),
+    ln AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x, {BLANKS_SQL}) <> '') AS ls FROM w),
+    b AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                 CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                 CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+                 CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+          FROM w JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
+    f AS (SELECT *, n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed FROM b),
+    m AS (SELECT *, CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS symbol_permille,
+                 CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS dup_line_permille,
+                 CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_word_permille,
+                 CASE WHEN n_words > 0 THEN word_chars * 10 // n_words ELSE 0 END AS mean_word_decichars FROM f),
+    u AS (SELECT lang, source, unnest([
+            {{'m': 's', 'p': 95, 'v': symbol_permille}}, {{'m': 'd', 'p': 95, 'v': dup_line_permille}},
+            {{'m': 'r', 'p': 95, 'v': repeat_word_permille}}, {{'m': 'h', 'p': 95, 'v': mean_word_decichars}},
+            {{'m': 'l', 'p': 5, 'v': mean_word_decichars}}]) AS x FROM m WHERE NOT base_failed),
+    h AS (SELECT lang, source, x.m AS m, x.p AS p, greatest(length(bin(x.v)) - 6, 0) * 32 + (x.v >> greatest(length(bin(x.v)) - 6, 0)) AS bin FROM u),
+    lev AS (SELECT 0 AS level, lang, source, m, p, bin FROM h UNION ALL SELECT 1, lang, NULL, m, p, bin FROM h UNION ALL SELECT 2, NULL, NULL, m, p, bin FROM h),
+    c AS (SELECT level, lang, source, m, p, bin, count(*) AS c FROM lev GROUP BY ALL),
+    k AS (SELECT *, sum(c) OVER (PARTITION BY level, lang, source, m ORDER BY bin) AS upto, sum(c) OVER (PARTITION BY level, lang, source, m) AS total FROM c),
+    q AS (SELECT level, lang, source, m, total, min(bin) FILTER (upto * 100 >= total * 50) AS b50, min(bin) FILTER (upto * 100 >= total * p) AS bp FROM k GROUP BY ALL),
+    e AS (SELECT level, lang, source, m, total, (b50 - greatest(b50 // 32 - 1, 0) * 32) << greatest(b50 // 32 - 1, 0) AS mid,
+                 (bp - greatest(bp // 32 - 1, 0) * 32) << greatest(bp // 32 - 1, 0) AS far FROM q),
+    fen AS (SELECT level, lang, source, max(total) AS n,
+                 max(mid + greatest(4 * (far - mid), 100)) FILTER (m = 's') AS s, max(mid + greatest(4 * (far - mid), 400)) FILTER (m = 'd') AS d,
+                 max(mid + greatest(4 * (far - mid), 100)) FILTER (m = 'r') AS r, max(mid + greatest(4 * (far - mid), 40)) FILTER (m = 'h') AS h,
+                 max(mid - greatest(4 * (mid - far), 20)) FILTER (m = 'l') AS l FROM e GROUP BY level, lang, source),
+    pick AS (SELECT a.lang, a.source, CASE WHEN a.n >= 200 THEN a WHEN z.n >= 200 THEN z ELSE y END AS x
+             FROM (SELECT * FROM fen WHERE level = 0) a JOIN (SELECT * FROM fen WHERE level = 1) z ON a.lang IS NOT DISTINCT FROM z.lang,
+                  (SELECT * FROM fen WHERE level = 2) y)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND coalesce(symbol_permille <= x.s AND dup_line_permille <= x.d AND repeat_word_permille <= x.r
+             AND mean_word_decichars <= x.h AND mean_word_decichars >= x.l, true) AS kept
+    FROM m LEFT JOIN pick ON m.lang IS NOT DISTINCT FROM pick.lang AND m.source IS NOT DISTINCT FROM pick.source"""
+
+
+@query("op6_adaptive_rules", QUALITY_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and whether it is kept."""
+    return adaptive_rules.judged(table(spark, sf_dir, "documents"))
+
+
 @query("op8_spaced_seeds")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest overlap of each document with each benchmark item it overlaps with."""
@@ -67,6 +129,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), OVERLAP_TOKENS, OVERLAP_PERCENT)
 
 
+@query("op9_unit_hashes", f"""
+    WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+    l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS unit FROM raw),
+    p AS (SELECT *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORD_SQL}) AS ws,
+                 coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM l),
+    k AS (SELECT doc_id, unit, start, length(line) AS n_chars, array_to_string(ws, ' ') AS norm FROM p WHERE len(ws) >= {unit_hashes.MIN_WORDS}),
+    f AS (SELECT *, first_value(doc_id) OVER win AS first_doc_id, first_value(unit) OVER win AS first_unit FROM k
+          WINDOW win AS (PARTITION BY norm ORDER BY doc_id, unit))
+    SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(start AS BIGINT) AS start, CAST(n_chars AS BIGINT) AS n_chars, first_doc_id, CAST(first_unit AS INTEGER) AS first_unit
+    FROM f WHERE doc_id <> first_doc_id OR unit <> first_unit""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that repeat an earlier one, with their places in the text as it was."""
+    return unit_hashes.repeats(table(spark, sf_dir, "documents"), "line")
+
+
 @query("op10_bottom_k")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 85 % similarity of their five-word shingles."""
