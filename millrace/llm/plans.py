@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import adaptive_rules, bottom_k, line_spread, max_plus, spaced_seeds, toxicity, unit_hashes, url_models
+from millrace.llm import adaptive_rules, bottom_k, id_files, line_spread, max_plus, pitman_yor, spaced_seeds, toxicity, unit_hashes, url_models
 from millrace.llm.registry import query
+from millrace.session import scratch
 from millrace.sources.tables import table
 
 MIN_SITES = 10
@@ -44,6 +45,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_pieces", "chunks", "score", F.crc32("text").alias("text_crc32"))
 
 
+@query("op3_pitman_yor")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from nine in ten of them."""
+    return pitman_yor.scored(table(spark, sf_dir, "documents"), fold(10) == 0)
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from three quarters of the labels."""
@@ -122,6 +129,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_rules.judged(table(spark, sf_dir, "documents"))
 
 
+@query("op7_id_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's place, length and checksum in the id files written and read back."""
+    folder = scratch(spark, "ids")
+    written = id_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    written.write.parquet(scratch(spark, "ids-written"))
+    path = scratch(spark, "ids-read")
+    id_files.summaries(spark, folder).write.parquet(path)
+    return id_files.starts(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query("op8_spaced_seeds")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest overlap of each document with each benchmark item it overlaps with."""
