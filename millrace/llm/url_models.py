@@ -151,7 +151,8 @@ def filtered(pages: DataFrame, rules: Sequence[Rule], url: str = "url", key: str
         F.count(F.when(F.col("ruling") == "allow", 1)).alias("a"), F.count(F.when(F.col("ruling") == "block", 1)).alias("r"))
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # over at most 2 * BINS + 1 rows
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    error = F.coalesce(F.sum("a").over(below), F.lit(0)) / F.sum("a").over(whole) + 1 - F.coalesce(F.sum("r").over(below), F.lit(0)) / F.sum("r").over(whole)
+    share = lambda c: F.try_divide(F.coalesce(F.sum(c).over(below), F.lit(0)), F.sum(c).over(whole))
+    error = share("a") + 1 - share("r")  # null if a class is missing
     cuts = sure.select("bin", error.alias("error"))
     threshold = cuts.where("error IS NOT NULL").agg(F.min(F.struct("error", "bin"))["bin"] * BIN).scalar()
     verdict = F.coalesce("ruling", F.when(F.col("score") >= F.coalesce(threshold, F.lit(float("-inf"))), "allow").otherwise("block"))
