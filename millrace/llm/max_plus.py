@@ -30,8 +30,9 @@ from millrace.session import scratch
 
 CHUNK = 16_384
 FAN = 64
-MEMO = 300_000  # units whose encoding a task remembers
+MEMO = 800_000  # units whose encoding a task remembers
 MEMO_CHARS = 64  # longer units are not remembered
+GROUP = 16_384  # units searched together
 NONE = -np.inf
 
 CHUNKS = "row BIGINT, doc_id BIGINT, chunks INT, chunk INT, text STRING, ahead STRING"
@@ -119,11 +120,114 @@ def marked(text: str | None) -> str:
     return " " + text.replace("▁", " ") if text else ""
 
 
+class Trie:
+    """Pieces as a tree of characters, in arrays, to walk many units at once."""
+
+    def __init__(self, table: Pieces) -> None:
+        edges: dict[tuple[int, int], int] = {}
+        self.piece = [-1]
+        for text, i in table.ids.items():
+            node = 0
+            for c in map(ord, text):
+                following = edges.setdefault((node, c), len(self.piece))
+                if following == len(self.piece):
+                    self.piece.append(-1)
+                node = following
+            self.piece[node] = i
+        self.piece = np.array(self.piece)
+        self.score = np.where(self.piece >= 0, table.scores[self.piece], NONE)
+        self.bits = max(8, 2 * len(edges) - 1).bit_length() + 1
+        self.keys, self.nodes = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        keys = np.array([n << 21 | c for n, c in edges], np.int64)
+        nodes = np.array(list(edges.values()), np.int64)
+        slots = self._slot(keys)
+        while len(keys):  # open addressing: the first to come to a free slot has it
+            free = self.keys[slots] < 0
+            self.keys[slots[free]] = keys[free]
+            placed = self.keys[slots] == keys
+            self.nodes[slots[placed]] = nodes[placed]
+            keys, nodes, slots = keys[~placed], nodes[~placed], (slots[~placed] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node that a character leads to, or -1."""
+        keys = nodes << 21 | chars
+        slots = self._slot(keys)
+        found = self.keys[slots]
+        out = np.where(found == keys, self.nodes[slots], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & (len(self.keys) - 1)
+            found = self.keys[slots[open_]]
+            out[open_] = np.where(found == keys[open_], self.nodes[slots[open_]], -1)
+            open_ = open_[(found != keys[open_]) & (found >= 0)]
+        return out
+
+
 class Encoder(dict):
     """Ids of a unit, as bytes; short units are remembered."""
 
     def __init__(self, table: Pieces) -> None:
         self.table = table
+        self.trie: Trie | None = None
+
+    def texts(self, found: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts; the units that are new are searched together."""
+        split = [self.table.units(t) for t in found]
+        units = set().union(*split)
+        fresh = units - self.keys()
+        if len(self) + len(fresh) > MEMO:
+            self.clear()
+            fresh = units
+        fresh = [u for u in fresh if len(u) <= MEMO_CHARS]
+        ordered = sorted(fresh, key=len, reverse=True)
+        for a in range(0, len(ordered), GROUP):
+            self._learn(ordered[a:a + GROUP])
+        return [np.frombuffer(b"".join(map(self.__getitem__, units)), np.int32) for units in split]
+
+    def _learn(self, units: list[str]) -> None:
+        """The search of :meth:`Pieces.paths` for units from long to short, place by place in all of them."""
+        trie = self.trie = self.trie or Trie(self.table)
+        n, longest = len(units), len(units[0])
+        sizes = np.array([len(u) for u in units])
+        chars = np.zeros((longest, n), np.int64)
+        flat = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        row = np.repeat(np.arange(n), sizes)
+        chars[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes), row] = flat
+        best = np.full((longest + 1, n), NONE)
+        back, piece = np.zeros((longest + 1, n), np.int64), np.full((longest + 1, n), -1)
+        best[0] = 0.0
+        strange = np.zeros(n, bool)  # units with a character that is no piece
+        for i in range(longest):
+            lanes = np.arange(np.searchsorted(-sizes, -i, side="left"))  # those longer than i
+            nodes = trie.step(np.zeros(len(lanes), np.int64), chars[i, lanes])
+            unknown = (nodes < 0) | (trie.piece[nodes] < 0)
+            strange[lanes[unknown]] = True
+            j = i + 1
+            while len(lanes):
+                kept = nodes >= 0
+                lanes, nodes = lanes[kept], nodes[kept]
+                found = best[i, lanes] + trie.score[nodes]
+                better = found > best[j, lanes]
+                at = lanes[better]
+                best[j, at], back[j, at], piece[j, at] = found[better], i, trie.piece[nodes[better]]
+                kept = sizes[lanes] > j
+                lanes, nodes = lanes[kept], nodes[kept]
+                if len(lanes):
+                    nodes = trie.step(nodes, chars[j, lanes])
+                j += 1
+        ids = np.zeros((n, longest), np.int32)
+        used, place, lanes = np.full(n, longest), sizes.copy(), np.flatnonzero(~strange)
+        while len(lanes):
+            used[lanes] -= 1
+            ids[lanes, used[lanes]] = piece[place[lanes], lanes]
+            place[lanes] = back[place[lanes], lanes]
+            lanes = lanes[place[lanes] > 0]
+        raw, width, starts = ids.tobytes(), 4 * longest, (4 * used).tolist()
+        for k, (unit, odd) in enumerate(zip(units, strange.tolist())):
+            self[unit] = self.table.trace(unit, len(unit)) if odd else raw[k * width + starts[k]:(k + 1) * width]
 
     def __missing__(self, unit: str) -> bytes:
         ids = self.table.trace(unit, len(unit))
@@ -190,7 +294,8 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def _matrices(chunks: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces(path))
-        for batch in batches:
+        for batch in batches_of(batches, 4 << 20):
+            encoder.texts(batch.column("text").to_pylist())
             rows = [(r["row"], r["chunk"], encoder.matrix(r["text"], r["ahead"]).tobytes()) for r in batch.to_pylist()]
             yield _batch(rows, "row BIGINT, node INT, matrix BINARY")
 
@@ -275,13 +380,14 @@ def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces(model))
         for batch in batches_of(batches, 4 << 20):
-            pairs = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            yield _encoded_batch([(-1, doc, 1, 0, encoder.stretch(marked(text))) for doc, text in pairs], encoder.table)
+            ids = encoder.texts([marked(text) for text in batch.column("text").to_pylist()])
+            yield _encoded_batch([(-1, doc, 1, 0, i) for doc, i in zip(batch.column("doc_id").to_pylist(), ids)], encoder.table)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces(model))
-        for batch in batches:
+        for batch in batches_of(batches, 4 << 20):
             out = []
+            encoder.texts(batch.column("text").to_pylist())
             for r in batch.to_pylist():
                 size = len(r["text"])
                 inside = r["into"] < size
