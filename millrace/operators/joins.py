@@ -20,7 +20,7 @@ def interval_join(
     sides have watermarks.
     """
     (lk, rk), (lt, rt) = key, times
-    width = before_s + after_s
+    width = max(1, before_s + after_s)
     low = F.col(lt) - interval(f"{before_s} seconds")
     high = F.col(lt) + interval(f"{after_s} seconds")
     spread = left.withColumn("_bucket", F.explode(F.sequence(_bucket(low, width), _bucket(high, width))))

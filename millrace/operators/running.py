@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from millrace.operators import scan
 
+NAN = float("nan")  # one object, so that a dict finds it again
+
 
 def final_count(df: DataFrame, *keys: str, name: str = "ct") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -79,7 +81,7 @@ def user_aggregate(
 
     Each task folds its rows into one accumulator per key before anything is shuffled, so a
     hot key reaches the merge as one row per task. Accumulators travel pickled; ``flush``
-    bounds how many a task holds.
+    bounds how many a task holds. As in ``groupBy``, null is a key and NaN is another.
     """
     key_type = dict(df.dtypes)[key]
 
@@ -93,9 +95,13 @@ def user_aggregate(
         kind = None
         for batch in batches:
             kind = batch.schema.field(key).type
-            for k, rows in batch.to_pandas(integer_object_nulls=True).groupby(key, dropna=False):
-                k = None if pd.isna(k) else k
+            frame = batch.to_pandas(integer_object_nulls=True)
+            none = batch.column(key).is_null().to_numpy(zero_copy_only=False)
+            for k, rows in frame[~none].groupby(key, dropna=False):
+                k = NAN if k != k else k
                 held[k] = add(held.get(k, create()), rows)
+            if none.any():
+                held[None] = add(held.get(None, create()), frame[none])
             if len(held) >= flush:
                 yield packed(kind)
                 held.clear()
@@ -114,7 +120,7 @@ def user_aggregate(
             kind, done = batch.schema.field(key).type, []
             for k, packed in zip(batch[key].to_pylist(), batch["acc"].to_pylist()):
                 acc = pickle.loads(packed)
-                if current is not None and current[0] == k:
+                if current is not None and (current[0] == k or current[0] != current[0] and k != k):
                     current = (k, merge(current[1], acc))
                     continue
                 if current is not None:

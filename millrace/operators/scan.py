@@ -4,33 +4,37 @@
 table. :func:`keyed_scan` gives the same rows, but first cuts any key that is too big into
 chunks of its order:
 
-1. count rows per key (map-side combined) and keep the keys above ``hot_rows``;
-2. choose cut points for those keys from a hash-picked sample of their order columns, the
-   only rows ever listed; the choice moves work between tasks and never changes a result;
+1. one pass counts rows per key and, by the same map-side combined aggregate, picks a sample of
+   their order columns by hash; the keys above ``hot_rows`` get cut points from their sample. The
+   choice moves work between tasks and never changes a result;
+2. each row of a hot key is given its chunk: the join adds a number to the row, and the search looks
+   into the one array that holds all cut points, which no row carries;
 3. aggregate each (key, chunk), and carry the aggregate of the earlier chunks forward;
 4. run the window inside each (key, chunk) and merge the carry into its result.
 
-There are at most ``MAX_CUTS`` cut points in all, so the cuts and the carries, the only
-broadcast tables, are bounded. Keys below ``hot_rows`` are one chunk and carry nothing.
+There is a cut point for about every ``hot_rows`` rows of a hot key, and ``MAX_CUTS`` in all; beyond that
+chunks grow with the input. So the cuts and the carries, the only broadcast tables, are bounded.
+Keys below ``hot_rows`` are one chunk and carry nothing.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 4_000_000  # rows of one key that one task may hold
-SMALL_BYTES = 128 << 20  # below this estimate no key can be hot, so nothing is counted
 SAMPLES_PER_CUT = 16
+SAMPLE_STEP = 1024  # without a key, one row in so many is a candidate for a cut
 MAX_CUTS = 65_536
 
 CHUNK = "_chunk"
-_CUTS = "_cuts"
+_SLOT = "_slot"
+_POINTS = "_points"
 _UNBOUNDED = Window.unboundedPreceding
 
 
@@ -154,11 +158,6 @@ def _tail(n: int) -> str:
     return f"_tail{n}"
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; runs nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def _position(order: Sequence[str]) -> Column:
     if len(order) == 1:
         return F.col(order[0])
@@ -169,43 +168,55 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def cut_points(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
-) -> tuple[DataFrame, int] | None:
-    """Cut points per hot key as a small local table, and the most cuts of one key.
+@dataclass(frozen=True)
+class Cuts:
+    """Cut points of hot keys: ``slots`` numbers the keys, ``points`` is one row with all of them by number."""
+
+    slots: DataFrame
+    points: DataFrame
+    longest: int
 
-    None when no key needs cutting. Runs one pass that counts the keys, if the input is not
-    small, and one that lists the sample, if a key is hot. Give the result to
-    :func:`keyed_scan` as ``cuts`` when several scans go over the same rows.
+
+def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> Cuts | None:
+    """Cut points of the hot keys; None when no key needs cutting.
+
+    Runs one pass over the key and order columns. Give the result to :func:`keyed_scan` as ``cuts``
+    when several scans go over the same rows.
     """
-    if keys and hot_rows is None and plan_bytes(df) < SMALL_BYTES:
-        return None
-    limit = hot_rows or HOT_ROWS
     spark = df.sparkSession
-    counts = df.groupBy(*keys).count()
-    if keys:
-        total, biggest = counts.agg(F.sum("count"), F.max("count")).first()
-        chunk_rows = max(limit, math.ceil((total or 0) / MAX_CUTS))
-        if not biggest or biggest <= chunk_rows:
-            return None
-        hot = counts.where(F.col("count") > chunk_rows).drop("count")
-        hot = hot.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
-        # At most total / chunk_rows <= MAX_CUTS keys can be hot.
-        rows = df.join(F.broadcast(hot), _null_safe(df, hot, pairs), "left_semi")
+    limit = hot_rows or HOT_ROWS
+    step = max(1, limit // SAMPLES_PER_CUT)
+    if not keys:
+        step = min(step, SAMPLE_STEP)
+    picked = F.when(F.pmod(F.xxhash64(*order), F.lit(step)) == 0, F.struct(_position(order).alias("at")))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    counts = df.groupBy(*named, picked.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = counts.groupBy(*names).agg(
+        F.sum("_n").alias("_n"), F.sort_array(F.collect_list(F.col("_at.at"))).alias("_points"))
+    hot = per_key.where(F.col("_n") > limit) if keys else per_key.where(F.col("_n") > 0)
+    thin = max(1, limit // step)
+    if not keys:
+        # As many chunks as there are tasks at least, if the sample is fine enough.
+        wanted = F.greatest(F.lit(1), F.least(F.lit(thin), F.ceil(F.col("_n") / (step * max(1, spark.sparkContext.defaultParallelism)))))
+        hot = hot.withColumn("_thin", wanted.cast("int"))
     else:
-        total = counts.first()[0]
-        spread = math.ceil(total / max(1, spark.sparkContext.defaultParallelism))
-        chunk_rows = max(1, min(limit, spread), math.ceil(total / MAX_CUTS))
-        rows = df
-    step = max(1, chunk_rows // SAMPLES_PER_CUT)
-    sample = rows.where(F.pmod(F.xxhash64(*order), F.lit(step)) == 0)
-    listed = F.sort_array(F.collect_list(_position(order)))
-    cuts = F.filter(listed, lambda x, i: (i % SAMPLES_PER_CUT) == SAMPLES_PER_CUT - 1)
-    table = sample.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(cuts.alias(_CUTS))
-    # Bounded by MAX_CUTS positions; a local copy keeps the cuts the same for every reader.
-    listed = table.collect()
-    return spark.createDataFrame(listed, table.schema), max((len(r[_CUTS]) for r in listed), default=0)
+        hot = hot.withColumn("_thin", F.lit(thin))
+    hot = hot.select(*names, F.filter("_points", lambda x, i: (i % F.col("_thin")) == F.col("_thin") - 1).alias("_points"))
+    # One list of a point per hot_rows rows; a local copy keeps the cuts the same for every reader.
+    found = [r for r in hot.collect() if r["_points"]]
+    total = sum(len(r["_points"]) for r in found)
+    if not found:
+        return None
+    every = -(-total // MAX_CUTS)
+    points = [r["_points"][every - 1::every] for r in found]
+    keys_schema = T.StructType([*hot.schema.fields[:-1], T.StructField(_SLOT, T.IntegerType())])
+    points_schema = T.StructType([T.StructField("_points", T.ArrayType(hot.schema["_points"].dataType))])
+    return Cuts(
+        spark.createDataFrame([(*r[:-1], i) for i, r in enumerate(found)], keys_schema),
+        spark.createDataFrame([(points,)], points_schema),
+        max(map(len, points)),
+    )
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> DataFrame:
@@ -216,28 +227,28 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows:
     cuts = cut_points(df, keys, order, hot_rows)
     if cuts is None:
         return df.withColumn(CHUNK, F.lit(None).cast("int"))
-    return _with_chunks(df, keys, order, *cuts)
+    return _with_chunks(df, keys, order, cuts)
 
 
-def _with_chunks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame, longest: int
-) -> DataFrame:
+def _with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts) -> DataFrame:
     if keys:
         pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
-        joined = df.join(F.broadcast(cuts), _null_safe(df, cuts, pairs), "left")
+        joined = df.join(F.broadcast(cuts.slots), _null_safe(df, cuts.slots, pairs), "left")
         joined = joined.drop(*[f"_k{i}" for i in range(len(keys))])
     else:
-        joined = df.withColumn(_CUTS, cuts.scalar())
+        joined = df.withColumn(_SLOT, F.lit(0))
     # Binary search for how many cuts lie before this row. It is one expression rather than a
     # projection per halving: a filter on the chunk that is pushed down would multiply those.
-    strides = [1 << b for b in reversed(range(max(1, longest).bit_length()))]
-    here = _position(order)
+    strides = [1 << b for b in reversed(range(max(1, cuts.longest).bit_length()))]
+    here, points = _position(order), F.get(F.col(_POINTS), F.col(_SLOT))
     found = F.aggregate(
         F.array(*[F.lit(s) for s in strides]),
         F.lit(0),
-        lambda at, stride: F.when(F.get(F.col(_CUTS), at + stride - 1) < here, at + stride).otherwise(at),
+        lambda at, stride: F.when(F.get(points, at + stride - 1) < here, at + stride).otherwise(at),
     )
-    return joined.withColumn(CHUNK, F.when(F.col(_CUTS).isNotNull(), found)).drop(_CUTS)
+    # A subquery has to be a column of its own for the analyzer; the optimizer puts it into the search.
+    joined = joined.withColumn(_POINTS, cuts.points.scalar())
+    return joined.withColumn(CHUNK, F.when(F.col(_SLOT).isNotNull(), found)).drop(_SLOT, _POINTS)
 
 
 def keyed_scan(
@@ -247,7 +258,7 @@ def keyed_scan(
     *outputs: Running,
     reverse: bool = False,
     hot_rows: int | None = None,
-    cuts: tuple[DataFrame, int] | str | None = "find",
+    cuts: Cuts | str | None = "find",
 ) -> DataFrame:
     """``df`` with each running output added, per ``keys`` along ``order`` (or against it).
 
@@ -263,7 +274,7 @@ def keyed_scan(
         w = Window.partitionBy(*keys).orderBy(*directed)
         return df.select("*", *[o.finish(None, o.over(w)).alias(o.name) for o in outputs])
 
-    rows = _with_chunks(df, keys, order, *cuts)
+    rows = _with_chunks(df, keys, order, cuts)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*directed)
     names = {k: f"_c{i}" for i, k in enumerate([*keys, CHUNK])}
     hot = rows.where(F.col(CHUNK).isNotNull())

@@ -40,7 +40,7 @@ def text_lines(spark, sf):
 
 @query("inline_rows", """
 SELECT event_id, kind FROM events
-JOIN (VALUES ('view', 'touch'), ('click', 'touch'), ('signup', 'trade'), ('purchase', 'trade')) k(event_type, kind)
+LEFT JOIN (VALUES ('view', 'touch'), ('click', 'touch'), ('signup', 'trade'), ('purchase', 'trade')) k(event_type, kind)
 USING (event_type)""")
 def inline_rows(spark, sf):
     """Rows given in the program, used beside a stored table; they are four, so broadcast."""
@@ -49,7 +49,7 @@ def inline_rows(spark, sf):
         [("view", "touch"), ("click", "touch"), ("signup", "trade"), ("purchase", "trade")],
         "event_type STRING, kind STRING",
     )
-    return tables.events(spark, sf).join(F.broadcast(kinds), "event_type").select("event_id", "kind")
+    return tables.events(spark, sf).join(F.broadcast(kinds), "event_type", "left").select("event_id", "kind")
 
 
 @query("parse_records", """
@@ -104,18 +104,45 @@ def live_lines(spark, sf):
     return live.drain(logs.live_lines(spark, folder), "append").drop("batch").withColumnRenamed("value", "line")
 
 
+_EVENT_RECORD = "event_id BIGINT, user_id BIGINT, event_type STRING, ts STRING"
+
+
+def _event_text():
+    return F.to_json(F.struct("event_id", "user_id", "event_type", F.col("ts").cast("string").alias("ts")))
+
+
+def _event_records(spark, sf, *conditions):
+    """The events as records of a user-defined log, one commit for each condition."""
+    custom.register(spark)
+    path = scratch(spark, "records")
+    rows_ = tables.events(spark, sf)
+    for condition in conditions:
+        rows_.where(condition).select(_event_text().alias("value")).write.format("record_log").mode("append").option("path", path).save()
+    return path
+
+
+def _parsed(records_):
+    return records_.select(F.from_json("value", _EVENT_RECORD).alias("r")).select("r.*").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("custom_source", "SELECT event_id, user_id, event_type, ts FROM events")
 def custom_source(spark, sf):
-    custom.register(spark)
-    log = spark.read.format("event_log").option("path", f"{sf}/events.parquet").load()
-    return log.select("event_id", "user_id", "event_type", "ts")
+    path = _event_records(spark, sf, "true")
+    return _parsed(spark.read.format("record_log").option("path", path).load())
 
 
 @query("custom_source_live", "SELECT event_id, user_id, event_type FROM events")
 def custom_source_live(spark, sf):
-    custom.register(spark)
-    log = spark.readStream.format("event_log").option("path", f"{sf}/events.parquet").load()
-    return live.drain(log.select("event_id", "user_id", "event_type"), "append").drop("batch")
+    """Two commits, the second after the stream has read the first."""
+    checkpoint, out = scratch(spark, "progress"), scratch(spark, "emitted")
+    path = _event_records(spark, sf, "event_type = 'click'")
+    for condition in ("event_type <> 'click'", None):
+        log = _parsed(spark.readStream.format("record_log").option("path", path).load())
+        emitted = live.drain(log.select("event_id", "user_id", "event_type"), "append", checkpoint=checkpoint, out=out)
+        if condition:
+            later = tables.events(spark, sf).where(condition).select(_event_text().alias("value"))
+            later.write.format("record_log").mode("append").option("path", path).save()
+    return emitted.drop("batch")
 
 
 # Row transforms
@@ -168,12 +195,14 @@ def split_side(spark, sf):
 
 
 @query("union_all", """
-SELECT event_id, ts, user_id FROM events WHERE event_type = 'click'
-UNION ALL SELECT event_id, ts, user_id FROM events WHERE value > 50""")
+SELECT event_id AS id, ts, user_id FROM events
+UNION ALL SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP), o_custkey FROM orders""")
 def union_all(spark, sf):
-    events = tables.events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
-    kept = ["event_id", "ts", "user_id"]
-    return events.where("event_type = 'click'").select(*kept).unionByName(events.where("value > 50").select(*kept))
+    """Two whole inputs of one type; repeated rows stay."""
+    events = tables.events(spark, sf).select(F.col("event_id").alias("id"), "ts", "user_id")
+    orders = tables.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp_ntz").alias("ts"), F.col("o_custkey").alias("user_id"))
+    return events.unionByName(orders)
 
 
 @query("co_map", """
@@ -321,13 +350,31 @@ def sink_csv(spark, sf):
     return logs.csv_table(spark, path, "id STRING, ct BIGINT", "sensor_counts")
 
 
-@query("custom_sink", f"WITH {SENSOR_SQL} SELECT event_id, id, vc FROM s")
+_READINGS_SQL = f"WITH {SENSOR_SQL} SELECT event_id, id, vc FROM s"
+
+
+def _read_records(spark, path):
+    log = spark.read.format("record_log").option("path", path).load()
+    return log.select(F.from_json("value", "event_id BIGINT, id BIGINT, vc BIGINT").alias("r")).select("r.*")
+
+
+@query("custom_sink", _READINGS_SQL)
 def custom_sink(spark, sf):
     custom.register(spark)
-    path = scratch(spark, "json")
-    readings = sensors(spark, sf).select("event_id", "id", "vc")
-    readings.write.format("json_folder").mode("append").option("path", path).save()
-    return spark.read.schema("event_id BIGINT, id BIGINT, vc BIGINT").json(custom.committed_files(path))
+    path = scratch(spark, "records")
+    readings = sensors(spark, sf).select(F.to_json(F.struct("event_id", "id", "vc")).alias("value"))
+    readings.write.format("record_log").mode("append").option("path", path).save()
+    return _read_records(spark, path)
+
+
+@query("custom_sink_live", _READINGS_SQL)
+def custom_sink_live(spark, sf):
+    custom.register(spark)
+    path = scratch(spark, "records")
+    readings = tables.sensor(tables.event_stream(spark, sf)).select(F.to_json(F.struct("event_id", "id", "vc")).alias("value"))
+    readings.writeStream.format("record_log").option("path", path).option(
+        "checkpointLocation", scratch(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return _read_records(spark, path)
 
 
 # SQL over tables and named connectors

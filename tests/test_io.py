@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace import session
 from millrace.operators import sinks
+from millrace.streaming import live
 from millrace.sources import custom, logs, tables
 
 
@@ -68,21 +69,45 @@ def test_folder_of_text_files(spark, tmp_path):
     assert sorted(r.value for r in logs.text_lines(spark, str(tmp_path)).collect()) == ["", "four", "one", "three", "two"]
 
 
-def test_only_committed_files_are_listed(spark, sf, tmp_path):
+def _values(spark, path):
+    return sorted(r.value for r in spark.read.format("record_log").option("path", path).load().collect())
+
+
+def _append(df, path, mode="append"):
+    df.write.format("record_log").mode(mode).option("path", path).save()
+
+
+def test_only_committed_files_count(spark, sf, tmp_path):
     custom.register(spark)
     path = str(tmp_path / "out")
-    df = tables.events(spark, sf).select("event_id")
+    df = tables.events(spark, sf).select(F.col("event_id").cast("string").alias("value"))
+    _append(df, path)
+    failing = tables.events(spark, sf).select(F.when(F.col("event_id") > 5, F.raise_error(F.lit("no"))).otherwise("x").alias("value"))
+    with pytest.raises(Exception, match="no"):
+        _append(failing, path)
+    assert len(_values(spark, path)) == 1000
+    _append(df, path)
+    assert len(_values(spark, path)) == 2000
+    _append(spark.createDataFrame([("é\nx",), ("",)], "value STRING"), path, "overwrite")
+    assert _values(spark, path) == ["", "é\nx"]
 
-    def write(rows):
-        rows.write.format("json_folder").mode("append").option("path", path).save()
 
-    write(df)
-    kept = custom.committed_files(path)
-    failing = df.select(F.when(F.col("event_id") > 5, F.raise_error(F.lit("no")).cast("bigint")).alias("event_id"))
-    with pytest.raises(Exception, match="no"):
-        write(failing)
-    assert custom.committed_files(path) == kept
-    assert spark.read.json(kept).count() == 1000
+def test_record_stream_reads_each_commit_once(spark, tmp_path):
+    """Also if its files' names sort before those read earlier."""
+    custom.register(spark)
+    path, checkpoint, out = (str(tmp_path / x) for x in ("log", "progress", "emitted"))
+    for i in range(4):
+        _append(spark.createDataFrame([(f"r{i}",), (f"s{i}",)], "value STRING"), path)
+        stream = spark.readStream.format("record_log").option("path", path).load()
+        got = live.drain(stream, "append", checkpoint=checkpoint, out=out)
+    assert sorted(r.value for r in got.collect()) == sorted(f"{c}{i}" for c in "rs" for i in range(4))
+
+
+def test_committed_stream_batch_counts_once(tmp_path):
+    folder = custom.Folder(str(tmp_path))
+    for files in (["a"], ["b"]):
+        folder.commit(files, batch=3)
+    assert folder.live() == ["a"]
 
 
 def test_shared_folder_is_required_on_a_cluster():

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check import assert_same, connect
+from millrace.plans import catalog
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -34,5 +35,7 @@ def test_entry(spark):
 
 
 def test_names():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"uv_hll", "state_ttl"}
