@@ -128,21 +128,27 @@ def _verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, percent:
     sketch = reps.select("doc", "n", "sketch")
     left = sketch.select(F.col("doc").alias("a"), F.col("n").alias("an"), F.col("sketch").alias("asketch"))
     right = sketch.select(F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("sketch").alias("bsketch"))
+    spark = reps.sparkSession
     both = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
-    both = both.withColumn("common", F.array_intersect("asketch", "bsketch"))
+    both = both.withColumn("common", F.size(F.array_intersect("asketch", "bsketch")))
     whole = (F.col("an") <= FULL) & (F.col("bn") <= FULL)
-    exact = F.size("common") * (100 + percent) >= (F.col("an") + F.col("bn")) * percent
+    exact = F.col("common") * (100 + percent) >= (F.col("an") + F.col("bn")) * percent
+    both = spark.read.parquet(_written(both.where(F.when(whole, exact).otherwise(F.col("common") >= least(K, percent))), "near-common"))
     # Of the union's smallest values both sketches know those up to the smaller of their ends.
+    none = F.lit(2 ** 63 - 1)
     end = F.least(
-        F.when(F.col("an") > FULL, F.array_max("asketch")).otherwise(F.lit(2 ** 63 - 1)),
-        F.when(F.col("bn") > FULL, F.array_max("bsketch")).otherwise(F.lit(2 ** 63 - 1)))
-    known = F.size(F.filter(F.array_union("asketch", "bsketch"), lambda x: x <= F.col("end")))
-    hit = F.size(F.filter("common", lambda x: x <= F.col("end")))
-    estimated = both.where(~whole).withColumn("end", end).withColumn("seen", known).withColumn("hits", hit)
-    s = percent / 100
-    floor = F.col("seen") * s - SLACK * F.sqrt(F.col("seen") * s * (1 - s))
-    possible = estimated.where(F.col("hits") >= floor).select("a", "b")
-    spark = reps.sparkSession
+        F.when(F.col("an") > FULL, F.element_at("asketch", -1)).otherwise(none),
+        F.when(F.col("bn") > FULL, F.element_at("bsketch", -1)).otherwise(none))
+
+    def estimate(e: Column) -> Column:
+        known = F.size(F.filter(F.array_union("asketch", "bsketch"), lambda x: x <= e))
+        hits = F.size(F.filter(F.array_intersect("asketch", "bsketch"), lambda x: x <= e))
+        s = percent / 100
+        return hits >= known * s - SLACK * F.sqrt(known * s * (1 - s))
+
+    # The end is bound once for each pair, not for each value.
+    allowed = F.get(F.transform(F.array(end), estimate), F.lit(0))
+    possible = both.where(~whole).where(allowed).select("a", "b")
     large = spark.read.parquet(_written(possible, "near-large"))
     wanted = large.select(F.col("a").alias("doc_id")).unionByName(large.select(F.col("b").alias("doc_id"))).distinct()
     texts = documents.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
@@ -151,7 +157,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, percent:
     full = large.join(sa, "a").join(sb, "b")
     size = F.size(F.array_intersect("aset", "bset"))
     checked = full.where(size * (100 + percent) >= (F.size("aset") + F.size("bset")) * percent)
-    return both.where(whole & exact).select("a", "b").unionByName(checked.select("a", "b"))
+    return both.where(whole).select("a", "b").unionByName(checked.select("a", "b"))
 
 
 def _written(df: DataFrame, label: str) -> str:
