@@ -45,6 +45,8 @@ class SplitWords:
     """Words of a line; see ``rows.words``."""
 
     def eval(self, line: str) -> Iterator[tuple[int, str]]:
+        if line is None:
+            return
         kept = line.rstrip(" ")
         if kept or not line:
             yield from enumerate(kept.split(" "))

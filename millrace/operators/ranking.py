@@ -25,6 +25,9 @@ def top_n(counts: DataFrame, n: int = 5, item: str = "item", count: str = "ct")
 
 
 def live_item_counts(views: DataFrame, ts: str = "ts", item: str = "item", size="1 hour", slide="5 minutes"):
-    """Stream form of the counts. In append mode all counts of a window come in one batch, so
+    """Stream form of the counts: views are counted per slide-long pane first, and only a pane's
+    count is copied to the windows over it. In append mode all counts of a window come in one batch, so
     :func:`top_n` on each batch gives the final ranking without a second state."""
-    return sliding(views, ts, size, slide, [item], F.count(F.lit(1)).alias("ct"))
+    panes = views.groupBy(F.window(ts, slide).alias("pane"), item).agg(F.count(F.lit(1)).alias("n"))
+    panes = panes.select(F.window_time("pane").alias("pane_time"), item, "n")
+    return sliding(panes, "pane_time", size, slide, [item], F.sum("n").alias("ct"))

@@ -86,4 +86,4 @@ def replicate(df: DataFrame, n: int, consumer: str = "consumer") -> DataFrame:
 
 def to_one(aggregated: DataFrame) -> DataFrame:
     """All rows in one partition: for results that are already aggregated."""
-    return aggregated.coalesce(1)
+    return aggregated.repartition(1)

@@ -1,6 +1,6 @@
 """All named queries."""
 
-from millrace.plans import aggregates, jobs, live, matching, rows, windows  # noqa: F401
+from millrace.plans import aggregates, cuts, jobs, live, matching, rows, windows  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

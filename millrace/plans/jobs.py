@@ -55,9 +55,14 @@ def uv_bitmap(spark, sf):
     return uniques.by_bitmap(_views(spark, sf), "ts", "1 hour", "user_id")
 
 
-@query("uv_hll")
+@query("uv_hll", f"SELECT window_start, window_end, true AS close FROM ({UV_SQL})")
 def uv_hll(spark, sf):
-    return uniques.by_sketch(_views(spark, sf), "ts", "1 hour", "user_id")
+    """Whether each window's estimate lies within one visitor or 5 % of the exact count."""
+    views = _views(spark, sf)
+    exact = uniques.exact(views, "ts", "1 hour", "user_id").withColumnRenamed("uv", "exact")
+    both = uniques.by_sketch(views, "ts", "1 hour", "user_id").join(exact, ["window_start", "window_end"])
+    off = F.abs(F.col("uv") - F.col("exact"))
+    return both.select("window_start", "window_end", (off <= F.greatest(F.lit(1), F.col("exact") * 0.05)).alias("close"))
 
 
 @query("uv_running", f"""WITH {VIEWS_SQL}, f AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import ranking, rows, uniques, windows
@@ -117,21 +118,28 @@ _CLASSED_SQL = f"""{_BATCHES_SQL}, c AS (SELECT *,
 FROM w)"""
 
 
-def _in_files(spark, sf):
-    """The readings as a stream of four files in a made-up arrival order."""
+def _in_parts(spark, sf, run):
+    """Call ``run`` on the stream of readings each time another quarter of them has arrived, in a made-up order."""
     feed = scratch(spark, "feed")
     arrivals = aggregates.arrivals(spark, sf).select("event_id", "id", "ts", "vc", "arrival")
     ends = arrivals.agg((F.max("arrival") + 1).alias("n")).first()["n"]
     for part in range(_PARTS):
         here = arrivals.where(F.floor(F.col("arrival") * _PARTS / F.lit(ends)) == part)
-        here.coalesce(1).write.mode("append").parquet(feed)
-    return spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        here.write.mode("append").parquet(feed)
+        out = run(spark.readStream.schema(arrivals.schema).parquet(feed))
+    return out
 
 
-def _run_batches(spark, stream, each):
-    stream.writeStream.foreachBatch(each).option("checkpointLocation", scratch(spark, "progress")).trigger(
-        availableNow=True
-    ).start().awaitTermination()
+def _run_batches(spark, sf, each):
+    checkpoint = scratch(spark, "progress")
+
+    def whole(batch, n):
+        kept = batch.persist()
+        each(kept, n)
+        kept.unpersist()
+
+    _in_parts(spark, sf, lambda stream: stream.writeStream.foreachBatch(whole).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
 def _classed(spark, sf):
@@ -140,7 +148,7 @@ def _classed(spark, sf):
         scratch(spark, "watermark"), "ts", "1 hour", "2 hours", "2 hours",
         lambda classed, n: classed.write.mode("overwrite").parquet(f"{out}/batch={n}"),
     )
-    _run_batches(spark, _in_files(spark, sf), split)
+    _run_batches(spark, sf, split)
     return spark.read.parquet(out)
 
 
@@ -158,6 +166,26 @@ def win_late_sum_live(spark, sf):
     return kept.groupBy("id", "window_start").agg(F.sum("vc").alias("sum_vc"))
 
 
+@query("win_late_refires_live", f"""WITH {_CLASSED_SQL}, k AS (SELECT * FROM c WHERE class <> 'too_late')
+SELECT DISTINCT id, window_start, part, CAST(sum(vc) OVER (PARTITION BY id, window_start ORDER BY part) AS BIGINT) AS sum_vc FROM k""")
+def win_late_refires_live(spark, sf):
+    """Window sums in state: given out when rows come, and again, corrected, when accepted late rows do.
+
+    A window is open until the watermark is the allowed lateness past its end; rows of closed windows are dropped.
+    """
+    checkpoint, out = scratch(spark, "progress"), scratch(spark, "emitted")
+
+    def run(stream):
+        rows_ = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "4 hours")
+        sums = windows.tumbling(rows_, "ts", "1 hour", ["id"], F.sum("vc").alias("sum_vc"))
+        return live.drain(sums, "update", checkpoint=checkpoint, out=out)
+
+    emitted = _in_parts(spark, sf, run)
+    part = F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy("batch"))
+    batches = emitted.select("batch").distinct().withColumn("part", (part - 1).cast("bigint"))  # as many as there are parts
+    return live.plain_time(emitted.join(batches, "batch").select("id", "window_start", "part", "sum_vc"), "window_start")
+
+
 @query("uv_running_live", f"""WITH {_BATCHES_SQL}, f AS (
   SELECT window_start, id, arg_min(event_id, part * 100000000000 + event_id) AS event_id, min(part) AS part
   FROM b GROUP BY window_start, id)
@@ -165,7 +193,7 @@ SELECT window_start, id, event_id, row_number() OVER (PARTITION BY window_start
 def uv_running_live(spark, sf):
     """A row for each user first seen in an hour, over a stream of four files."""
     out = scratch(spark, "sightings")
-    _run_batches(spark, _in_files(spark, sf), batched.RunningUnique(out, "ts", "1 hour", "id", "event_id"))
+    _run_batches(spark, sf, batched.RunningUnique(out, "ts", "1 hour", "id", "event_id"))
     return spark.read.parquet(out).select("window_start", "id", "event_id", "uv")
 
 
@@ -240,22 +268,36 @@ def pat_batches_live(spark, sf):
     return live.plain_time(end.drain(events, "append", step).drop("batch"), "start_ts", "end_ts")
 
 
+_CONTROL_PARTS = 8
+
+
 @query("control_switch_live", f"""
-SELECT event_id, event_type || CASE (SELECT arg_max(event_id % 3, event_id) FROM events WHERE event_type = 'error')
-  WHEN 1 THEN '{matching.SWITCHES["1"]}' WHEN 2 THEN '{matching.SWITCHES["2"]}' ELSE '{matching.OTHERWISE}' END AS value
-FROM events WHERE event_type <> 'error'""")
+WITH p AS (SELECT event_id, event_type, event_id * {_CONTROL_PARTS} // (SELECT max(event_id) + 1 FROM events) AS part FROM events),
+c AS (SELECT r.part, arg_max(event_id % 3, event_id) AS setting
+      FROM range({_CONTROL_PARTS}) r(part) LEFT JOIN p ON event_type = 'error' AND p.part < r.part GROUP BY r.part)
+SELECT event_id, event_type || CASE setting WHEN 1 THEN '{matching.SWITCHES["1"]}' WHEN 2 THEN '{matching.SWITCHES["2"]}'
+  ELSE '{matching.OTHERWISE}' END AS value
+FROM p JOIN c USING (part) WHERE event_type <> 'error'""")
 def control_switch_live(spark, sf):
-    """Each batch is handled by the control value stored when it runs."""
-    stored = scratch(spark, "control")
-    errors = tables.events(spark, sf).where("event_type = 'error'")
-    errors.select("event_id", (F.col("event_id") % 3).cast("string").alias("setting")).write.parquet(stored)
-    main = tables.event_stream(spark, sf).where("event_type <> 'error'").select("event_id", "event_type")
+    """Main rows and control values arrive in turn; a batch is handled by the last value that came before it."""
+    stored, feed = scratch(spark, "control"), scratch(spark, "feed")
+    events = tables.events(spark, sf).select("event_id", "event_type")
+    ends = events.agg((F.max("event_id") + 1).alias("n")).first()["n"]
+    part = F.floor(F.col("event_id") * _CONTROL_PARTS / F.lit(ends))
+    control = events.where("event_type = 'error'").select("event_id", (F.col("event_id") % 3).cast("string").alias("setting"))
+    control.where("false").write.parquet(stored)
 
     def apply(batch, _):
         now = batched.controlled_batch(batch, lambda: spark.read.parquet(stored), "event_id", "setting")
         return now.select("event_id", F.concat("event_type", matching.switched(F.col("setting"))).alias("value"))
 
-    return live.drain(main, "append", apply).drop("batch")
+    checkpoint, out = scratch(spark, "progress"), scratch(spark, "emitted")
+    for n in range(_CONTROL_PARTS):
+        events.where("event_type <> 'error'").where(part == n).write.mode("append").parquet(feed)
+        main = spark.readStream.schema(events.schema).parquet(feed)
+        emitted = live.drain(main, "append", apply, checkpoint, out)
+        control.where(part == n).write.mode("append").parquet(stored)
+    return emitted.drop("batch")
 
 
 # Keyed state and timers
@@ -274,10 +316,22 @@ def state_value(spark, sf):
     return parts.groupBy("id").agg(F.max_by("vc", "arrival").alias("vc"))
 
 
-@query("state_list", f"WITH {SENSOR_SQL} SELECT id, count(*) AS n, CAST(sum(vc) AS BIGINT) AS total FROM s GROUP BY id")
+@query("state_list", f"""WITH {SENSOR_SQL} SELECT id, count(*) AS n, CAST(sum(vc) AS BIGINT) AS total,
+  array_to_string(list_sort(list(vc)), ',') AS contents FROM s GROUP BY id""")
 def state_list(spark, sf):
+    """The values kept for each key, as text, smallest first."""
     parts = live.newest(_state(spark, sf, state.Collected()), ["id", "salt"])
-    return parts.groupBy("id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    whole = parts.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("contents"))).alias("v"))
+    total = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return whole.select("id", F.size("v").cast("bigint").alias("n"), total.alias("total"), F.array_join(F.col("v").cast("array<string>"), ",").alias("contents"))
+
+
+@query("state_clear", f"""WITH {SENSOR_SQL}
+SELECT id, CASE WHEN arg_max(event_type, event_id) <> 'error' THEN arg_max(vc, event_id) END AS vc FROM s GROUP BY id""")
+def state_clear(spark, sf):
+    """The value of a key's last row, unless an error has cleared it."""
+    parts = live.newest(_state(spark, sf, state.Cleared("error")), ["id", "salt"])
+    return parts.groupBy("id").agg(F.max(F.struct("arrival", "vc"))["vc"].alias("vc"))
 
 
 @query("state_map", f"WITH {SENSOR_SQL} SELECT id, event_type, count(*) AS ct FROM s GROUP BY id, event_type")
@@ -300,13 +354,18 @@ def state_aggregate(spark, sf):
     return parts.groupBy("id").agg((F.sum("total") / F.sum("n")).alias("mean"))
 
 
-@query("state_ttl")
+@query("state_ttl", "SELECT user_id AS id, count(*) AS ct FROM events GROUP BY user_id")
 def state_ttl(spark, sf):
-    """Counts in state that is forgotten ten seconds after a key's last row."""
-    readings = tables.sensor(tables.event_stream(spark, sf))
-    counts = state.salted_state(readings, "id", state.Expiring(10_000), time_mode="ProcessingTime")
-    parts = live.newest(live.run_until_quiet(counts, "update"), ["id", "salt"])
-    return parts.groupBy("id").agg(F.sum("ct").alias("ct"))
+    """Counts in state that is forgotten four seconds after a key's last row: when all rows come a second time
+    after that, they are counted from nothing."""
+    feed, checkpoint, out = scratch(spark, "feed"), scratch(spark, "progress"), scratch(spark, "emitted")
+    rows_ = tables.events(spark, sf).select("event_id", F.col("user_id").alias("id"))
+    for _ in range(2):
+        rows_.write.mode("append").parquet(feed)
+        readings = spark.readStream.schema(rows_.schema).parquet(feed)
+        counts = state.salted_state(readings, "id", state.Expiring(4_000), time_mode="ProcessingTime")
+        emitted = live.run_until_quiet(counts, "update", checkpoint, out)
+    return live.newest(emitted, ["id", "salt"]).groupBy("id").agg(F.sum("ct").alias("ct"))
 
 
 @query("timer_event", """

@@ -18,7 +18,7 @@ def sensors(spark, sf):
 
 def lines(spark, sf):
     documents = tables.table(spark, sf, "documents").select("doc_id", "text")
-    return tables.document_lines(tables.spread(documents))
+    return tables.document_lines(tables.spread(documents, tables.read_tasks(spark)))
 
 
 def _epoch():
@@ -225,7 +225,7 @@ def table_filter(spark, sf):
 @query("layout_key", "SELECT user_id, CAST(1 AS BIGINT) AS partitions, count(*) AS ct FROM events GROUP BY user_id")
 def layout_key(spark, sf):
     """Every key in one partition, after redistribution by key."""
-    placed = rows.by_key(tables.events(spark, sf).select("user_id"), 8, "user_id")
+    placed = rows.by_key(tables.events(spark, sf).select("user_id"), tables.tasks(spark), "user_id")
     return placed.select("user_id", F.spark_partition_id().alias("p")).groupBy("user_id").agg(
         F.count_distinct("p").alias("partitions"), F.count(F.lit(1)).alias("ct")
     )
@@ -234,12 +234,12 @@ def layout_key(spark, sf):
 @query("layout_spread", "SELECT event_id, user_id FROM events UNION ALL SELECT event_id, user_id FROM events")
 def layout_spread(spark, sf):
     events = tables.events(spark, sf).select("event_id", "user_id")
-    return rows.spread_random(events, 8).unionByName(rows.spread_evenly(events, 8))
+    return rows.spread_random(events, tables.tasks(spark)).unionByName(rows.spread_evenly(events, tables.tasks(spark)))
 
 
 @query("layout_rescale", "SELECT event_id, user_id FROM events")
 def layout_rescale(spark, sf):
-    return rows.rescale(tables.events(spark, sf).select("event_id", "user_id"), 2)
+    return rows.rescale(tables.events(spark, sf).select("event_id", "user_id"), max(1, tables.tasks(spark) // 2))
 
 
 @query("layout_replicate", "SELECT event_id, CAST(i AS INTEGER) AS consumer FROM events, range(4) r(i)")
@@ -284,12 +284,12 @@ def udtf_words(spark, sf):
 
 @query("udaf_count", "SELECT event_type, count(*) AS ct FROM events GROUP BY event_type")
 def udaf_count(spark, sf):
-    return udfs.count_by_key(tables.spread(tables.events(spark, sf).select("event_type")), "event_type")
+    return udfs.count_by_key(tables.events(spark, sf).select("event_type"), "event_type")
 
 
 @query("udaf_mean", f"WITH {SENSOR_SQL} SELECT id, CAST(sum(vc) AS DOUBLE) / count(*) AS mean FROM s GROUP BY id")
 def udaf_mean(spark, sf):
-    return udfs.mean_by_key(tables.spread(sensors(spark, sf).select("id", "vc")), "id", "vc")
+    return udfs.mean_by_key(sensors(spark, sf).select("id", "vc"), "id", "vc")
 
 
 _JSON_SQL = """

@@ -26,14 +26,20 @@ def stream(spark: SparkSession, sf_dir: str, name: str, schema: str, files_per_b
     return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def spread(stored: DataFrame) -> DataFrame:
-    """A stored table over all cores, for work that is heavy per row.
-
-    Only a table read in fewer tasks than there are cores is moved; a large one already has
-    more, and stays as it is.
-    """
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
+def tasks(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def read_tasks(spark: SparkSession) -> int | None:
+    """How many tasks to deal a stored table to before heavy work per row; unset leaves it as it is read."""
+    n = spark.conf.get("millrace.read.tasks", None)
+    return int(n) if n else None
+
+
+def spread(stored: DataFrame, n: int | None) -> DataFrame:
+    """A stored table over ``n`` tasks, if a number is given: for a table of few, large files."""
+    return stored.repartition(n) if n else stored
 
 
 def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:

@@ -35,8 +35,12 @@ def drain(
     checkpoint = checkpoint or scratch(spark, "progress")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = per_batch(batch, batch_id) if per_batch else batch
-        result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if per_batch is None:
+            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            return
+        kept = batch.persist()  # looked at more than once
+        per_batch(kept, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        kept.unpersist()
 
     query = (
         df.writeStream.outputMode(mode)
@@ -62,7 +66,7 @@ def _emitted(df: DataFrame, out: str, per_batch: Callable[[DataFrame, int], Data
     return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())]))
 
 
-def run_until_quiet(df: DataFrame, mode: str) -> DataFrame:
+def run_until_quiet(df: DataFrame, mode: str, checkpoint: str | None = None, out: str | None = None) -> DataFrame:
     """Run a clock-driven stream until its input is read and its state is empty.
 
     State on processing time gives a batch at every trigger, so such a stream never comes to
@@ -70,10 +74,10 @@ def run_until_quiet(df: DataFrame, mode: str) -> DataFrame:
     behind; what it does with its state must come to an end, by a timer or by expiry.
     """
     spark = df.sparkSession
-    out = scratch(spark, "emitted")
+    out = out or scratch(spark, "emitted")
     query = (
         df.writeStream.outputMode(mode)
-        .option("checkpointLocation", scratch(spark, "progress"))
+        .option("checkpointLocation", checkpoint or scratch(spark, "progress"))
         .trigger(processingTime="1 second")
         .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}"))
         .start()

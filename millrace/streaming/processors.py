@@ -7,6 +7,7 @@ instead, so a hot key is spread and its parts are merged when the result is read
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
@@ -240,8 +241,8 @@ class KeyTimers(Named):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in rows:
-            self.handle.registerTimer(row["us"] // 1000 + self.delay_ms)
+        for ms in {row["us"] // 1000 for row in rows}:
+            self.handle.registerTimer(ms + self.delay_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -296,9 +297,9 @@ class LastValue(Stateful):
 
 
 class Collected(Stateful):
-    """List state: every value, kept; emits how many there are and their sum."""
+    """List state: every value, kept; emits the list."""
 
-    schema = "n BIGINT, total BIGINT"
+    schema = "contents ARRAY<BIGINT>"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getListState("values", "vc BIGINT")
@@ -306,10 +307,33 @@ class Collected(Stateful):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         while block := [(r["vc"],) for r in islice(rows, BLOCK)]:
             self.state.appendList(block)
-        n = total = 0
-        for (vc,) in self.state.get():
-            n, total = n + 1, total + vc
-        yield self.row(*key, n, total)
+        yield self.row(*key, [vc for (vc,) in self.state.get()])
+
+
+class Cleared(Stateful):
+    """Value state that an event clears: the value since, or none."""
+
+    schema = "arrival BIGINT, vc BIGINT"
+
+    def __init__(self, clears: str) -> None:
+        self.clears = clears
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("value", self.schema)
+        self.last = handle.getValueState("last", "arrival BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last = self.last.get()[0] if self.last.exists() else -1
+        for row in sorted(((r["event_id"], r["event_type"], r["vc"]) for r in rows)):
+            if row[0] <= last:
+                continue
+            last = row[0]
+            if row[1] == self.clears:
+                self.state.clear()
+            else:
+                self.state.update((last, row[2]))
+        self.last.update((last,))
+        yield self.row(*key, last, self.state.get()[1] if self.state.exists() else None)
 
 
 class CountByField(Stateful):
@@ -321,10 +345,9 @@ class CountByField(Stateful):
         self.state = handle.getMapState("counts", "event_type STRING", "ct BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for row in rows:
-            sub = (row["event_type"],)
+        for sub, more in Counter((row["event_type"],) for row in rows).items():
             n = self.state.getValue(sub)[0] if self.state.containsKey(sub) else 0
-            self.state.updateValue(sub, (n + 1,))
+            self.state.updateValue(sub, (n + more,))
         for (sub,), (n,) in self.state.iterator():
             yield self.row(*key, sub, n)
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import udfs
 from millrace.operators import joins, patterns, rows, running, uniques, windows
-from millrace.sources import records
+from millrace.sources import records, tables
+from millrace.streaming import live, processors
 
 T0 = datetime(2024, 1, 1)
 
@@ -184,3 +185,33 @@ def test_reconcile_against_brute_force(spark, hot_rows):
 def test_mean_with_null_key(spark):
     df = spark.createDataFrame([(None, 1), (None, 3), (5, 10)], "k BIGINT, v BIGINT")
     assert {(r.k, r.mean) for r in udfs.mean_by_key(df, "k", "v").collect()} == {(None, 2.0), (5, 10.0)}
+
+
+def test_null_and_nan_keys_stay_apart(spark):
+    rows = [(None, 3.0), (float("nan"), 1.0), (float("nan"), 5.0), (2.0, 4.0), (None, 5.0)]
+    df = spark.createDataFrame(rows, "k DOUBLE, v DOUBLE").repartition(4)
+    got = udfs.mean_by_key(df, "k", "v").collect()
+    assert sorted((repr(r.k), r.mean) for r in got) == [("2.0", 4.0), ("None", 4.0), ("nan", 3.0)]
+
+
+def test_interval_join_of_no_width(spark):
+    left = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ '2024-01-01 00:00:05' AS t UNION ALL SELECT 1, TIMESTAMP_NTZ '2024-01-01 00:00:06'")
+    right = spark.sql("SELECT 1 AS rk, TIMESTAMP_NTZ '2024-01-01 00:00:05' AS rt")
+    assert joins.interval_join(left, right, ("k", "rk"), ("t", "rt"), 0, 0).count() == 1
+
+
+def test_clock_stream_reads_all_files(spark, tmp_path):
+    """A timer longer than a batch must not end the run before the last file is read."""
+    feed = str(tmp_path / "feed")
+    for i in range(2):
+        spark.range(i * 500, i * 500 + 500).selectExpr("id AS event_id", "id % 7 AS id").coalesce(1).write.mode("append").parquet(feed)
+    rows = spark.readStream.schema("event_id BIGINT, id BIGINT").option("maxFilesPerTrigger", 1).parquet(feed)
+    fired = rows.withColumn("salt", F.lit(0)).groupBy("id", "salt").transformWithState(
+        processors.ClockTimer(6_000), "id BIGINT, salt INT, seen BIGINT", "append", "ProcessingTime")
+    assert live.run_until_quiet(fired, "append").agg({"seen": "sum"}).first()[0] == 1000
+
+
+def test_append_mode_refuses_an_updating_query(spark, sf):
+    counts = tables.event_stream(spark, sf).groupBy("event_type").count()
+    with pytest.raises(Exception, match="append"):
+        live.drain(counts, "append")
