@@ -1,8 +1,9 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
 1. A task hashes the word shingles of each whole text with one function; the set's size, a 128-bit
-   digest of the set and its smallest values (all of a set up to ``FULL``, else ``K``) are kept.
-   Texts with equal sets form a class; only its smallest ``doc_id`` goes on.
+   digest of the set and its ``FIRST`` smallest values are kept. Texts with equal sets form a class;
+   only its smallest ``doc_id`` goes on, and only if others share enough of its first values. Of
+   those texts the smallest values are taken (all of a set up to ``FULL``, else ``K``).
 2. Inverted lists of retained values generate overlaps. Two sets of similarity s share each of the
    smallest values of their union with probability s, so a pair above the threshold shares at
    least ``need`` values of its sketches (surely, if both are whole; else but for about one pair
@@ -33,13 +34,15 @@ from pyspark.sql import functions as F
 from millrace.llm.words import WordHashes, batches_of, hashed, lists, mixed, shingles, texts, words
 from millrace.session import scratch
 
-K = 128
-FULL = 256
+K = 256
+FULL = 1024
 FIRST = 16  # smallest values that the first, cheap round looks at
 SLACK = 6.5  # standard deviations granted to a sketch
+MOST_BROADCAST = 1 << 19  # ids of documents to read again that are sent to all tasks
 BLOCK_ROWS = 4096  # list members that one side of a block holds, about
 
-SKETCH = "doc_id BIGINT, n_shingles BIGINT, digest BINARY, first ARRAY<BIGINT>, sketch ARRAY<BIGINT>"
+SIGNATURE = "doc_id BIGINT, n_shingles BIGINT, digest BINARY, first ARRAY<BIGINT>"
+SKETCH = "doc BIGINT, n BIGINT, sketch ARRAY<BIGINT>"
 
 
 def _digest(values: np.ndarray) -> bytes:
@@ -50,20 +53,38 @@ def _digest(values: np.ndarray) -> bytes:
     return a.tobytes() + b.tobytes() + len(values).to_bytes(8, "little")
 
 
-def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
-    """Sketch of each row with an id and a word."""
+def signatures(documents: DataFrame, width: int = 5) -> DataFrame:
+    """Size, digest and smallest values of each row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches_of(batches):
             sets = [shingles(hashed(words(t), memo), width) for t in texts(batch)]
-            kept = [s if len(s) <= FULL else s[:K] for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_digest(s) for s in sets], pa.binary()),
-                lists([s[:FIRST] for s in kept], pa.int64()), lists(kept, pa.int64()),
-            ], names=["doc_id", "n_shingles", "digest", "first", "sketch"])
+                pa.array([_digest(s) for s in sets], pa.binary()), lists([s[:FIRST] for s in sets], pa.int64()),
+            ], names=["doc_id", "n_shingles", "digest", "first"])
+
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNATURE)
+
+
+def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
+    """The bottom-k sketch of each row; all of a small set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
+        for batch in batches_of(batches):
+            sets = [shingles(hashed(words(t), memo), width) for t in texts(batch)]
+            kept = [s if len(s) <= FULL else s[:K] for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), lists(kept, pa.int64())], names=["doc", "n", "sketch"])
+
+    return documents.mapInArrow(run, SKETCH)
+
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SKETCH)
+def _texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of some ids, one of each: the ids go to all tasks if they are few, else both sides are shuffled."""
+    ids = ids.sparkSession.read.parquet(_written(ids.select("doc_id"), "near-wanted"))
+    few = ids.count() <= MOST_BROADCAST  # 8 bytes each
+    return documents.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
 def _full_sets(documents: DataFrame, width: int) -> DataFrame:
@@ -151,8 +172,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, percent:
     possible = both.where(~whole).where(allowed).select("a", "b")
     large = spark.read.parquet(_written(possible, "near-large"))
     wanted = large.select(F.col("a").alias("doc_id")).unionByName(large.select(F.col("b").alias("doc_id"))).distinct()
-    texts = documents.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
-    sets = spark.read.parquet(_written(_full_sets(texts.dropDuplicates(["doc_id"]), width), "near-sets"))
+    sets = spark.read.parquet(_written(_full_sets(_texts_of(documents, wanted).dropDuplicates(["doc_id"]), width), "near-sets"))
     sa, sb = sets.select(F.col("_id").alias("a"), F.col("_set").alias("aset")), sets.select(F.col("_id").alias("b"), F.col("_set").alias("bset"))
     full = large.join(sa, "a").join(sb, "b")
     size = F.size(F.array_intersect("aset", "bset"))
@@ -201,21 +221,23 @@ def linked(documents: DataFrame, percent: int = 85, width: int = 5) -> DataFrame
     equal results. A null ``doc_id`` is linked with nothing and kept. Other columns are not read.
     """
     spark = documents.sparkSession
-    stored = spark.read.parquet(_written(sketches(documents, width), "near-sketches"))
-    slim = stored.select("doc_id", "n_shingles", "digest", "first")
+    slim = spark.read.parquet(_written(signatures(documents, width), "near-signatures"))
     usable = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     classes = slim.where(usable).groupBy("digest").agg(F.min("doc_id").alias("rep"))
     rows = slim.join(classes, "digest", "left").withColumn("rep", F.when(usable, F.col("rep")))
     first = F.when(F.col("doc_id") == F.col("rep"), F.col("first")).alias("first")
     base = spark.read.parquet(_written(rows.select("doc_id", "n_shingles", "rep", first), "near-classes"))
-    alive = stored.select(F.col("doc_id").alias("doc"), "sketch").join(_alive(base), "doc").dropDuplicates(["doc"])
-    reps = spark.read.parquet(_written(alive, "near-reps"))
-    lists = spark.read.parquet(_written(_lists(reps, percent), "near-lists"))
+    own = base.where("doc_id = rep")
+    alive = _texts_of(documents, _alive(base).select(F.col("doc").alias("doc_id")))
+    if not own.groupBy("doc_id").count().where("count > 1").isEmpty():  # rows that repeat an id
+        alive = alive.dropDuplicates(["doc_id"])
+    reps = spark.read.parquet(_written(sketches(alive, width), "near-reps"))
+    indexed = spark.read.parquet(_written(_lists(reps, percent), "near-lists"))
 
     lone = F.col("n") - F.col("shared")
-    top = lists.groupBy("value").agg(F.min(F.struct(lone.alias("lone"), "doc", "n", "shared")).alias("top"), F.count(F.lit(1)).alias("size"))
+    top = indexed.groupBy("value").agg(F.min(F.struct(lone.alias("lone"), "doc", "n", "shared")).alias("top"), F.count(F.lit(1)).alias("size"))
     top = top.where("size > 1").select("value", F.col("top.doc").alias("a"), F.col("top.n").alias("an"), F.col("top.shared").alias("ashared"))
-    b = lists.select("value", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("shared").alias("bshared"))
+    b = indexed.select("value", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("shared").alias("bshared"))
     stars = b.join(top, "value").where("a <> b").where(_both_pass(percent, "a", "b"))
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     tried = spark.read.parquet(_written(stars.distinct(), "near-stars"))
@@ -223,7 +245,7 @@ def linked(documents: DataFrame, percent: int = 85, width: int = 5) -> DataFrame
     parts = components(links)
 
     # Members of a list that are still apart, if any other component could reach them.
-    labelled = lists.join(parts, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    labelled = indexed.join(parts, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     spread = labelled.groupBy("value").agg(
         F.min("component").alias("lowest"), F.max("component").alias("highest"), F.count(F.lit(1)).alias("size"),
     ).where("lowest < highest").select("value", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks"))
