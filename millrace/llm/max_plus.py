@@ -37,6 +37,7 @@ NONE = -np.inf
 
 CHUNKS = "row BIGINT, doc_id BIGINT, chunks INT, chunk INT, text STRING, ahead STRING"
 ENCODED = "row BIGINT, doc_id BIGINT, chunks INT, chunk INT, score DOUBLE, ids ARRAY<INT>"
+COLUMNS = ["row", "doc_id", "chunks", "chunk", "score", "ids"]
 
 
 class Pieces:
@@ -336,11 +337,10 @@ def _descended(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(done, STATES)])
 
 
-def cut_states(matrices: DataFrame, longest: int) -> DataFrame:
-    """(row, node, into, out): the states at both ends of every chunk on a best path."""
+def cut_states(matrices: DataFrame, longest: int, most: int) -> DataFrame:
+    """(row, node, into, out): the states at both ends of every chunk on a best path; ``most`` is the last chunk's number."""
     spark = matrices.sparkSession
     levels = [matrices]
-    most = matrices.agg(F.max("node")).first()[0] or 0
     while True:
         path = scratch(spark, "scan-level")
         levels[-1].withColumn("parent", F.floor(F.col("node") / FAN).cast("int")).write.parquet(path)
@@ -366,8 +366,8 @@ def _encoded_batch(rows: list[tuple], table: Pieces) -> pa.RecordBatch:
 
 
 def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
-    """Ids of each row's text, a row per chunk: ``row`` (negative for texts of one chunk, else one
-    number per text), ``doc_id``, ``chunks``, ``chunk``, ``score`` and ``ids``.
+    """Ids of each row's text, a row per chunk: ``row`` (one number for each text of several chunks),
+    ``doc_id``, ``chunks``, ``chunk``, ``score``, ``ids``, and ``whole``: whether it is all of a text.
 
     Null and empty texts have one chunk without ids. Repeated rows and null ids are encoded like any
     other. Other columns are not read. ``model`` is the path of a model file that every executor has.
@@ -398,9 +398,11 @@ def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     path = scratch(spark, "scan-chunks")
     _chunks(rows.where(long_), chunk).write.parquet(path)
     chunks = spark.read.parquet(path)
-    states = cut_states(_matrices(chunks, model), longest).withColumnRenamed("node", "chunk")
-    return rows.where(~long_).mapInArrow(whole, ENCODED).unionByName(
-        chunks.join(states, ["row", "chunk"]).mapInArrow(part, ENCODED))
+    last = chunks.agg(F.max("chunk")).first()[0] or 0
+    states = cut_states(_matrices(chunks, model), longest, last).withColumnRenamed("node", "chunk")
+    # ``whole`` is a constant of each side, so a reader of one side does not run the other.
+    return rows.where(~long_).mapInArrow(whole, ENCODED).withColumn("whole", F.lit(True)).unionByName(
+        chunks.join(states, ["row", "chunk"]).mapInArrow(part, ENCODED).withColumn("whole", F.lit(False)))
 
 
 def decoded(encodings: DataFrame, model: str) -> DataFrame:
@@ -422,11 +424,11 @@ def decoded(encodings: DataFrame, model: str) -> DataFrame:
                 [*(batch.column(c) for c in ("row", "doc_id", "chunks", "chunk", "score")), counts, pa.array(parts, pa.binary())],
                 names=["row", "doc_id", "chunks", "chunk", "score", "n_pieces", "part"])
 
-    parts = encodings.mapInArrow(run, schema)
     text = F.decode(F.col("part"), "UTF-8")
-    alone = parts.where("row < 0").select("doc_id", text.alias("text"), "n_pieces", "chunks", "score")
+    alone = encodings.where("whole").select(*COLUMNS).mapInArrow(run, schema).select("doc_id", text.alias("text"), "n_pieces", "chunks", "score")
     ordered = F.sort_array(F.collect_list(F.struct("chunk", "part")))["part"]
-    joined = parts.where("row >= 0").groupBy("row", "doc_id").agg(
+    parts = encodings.where("NOT whole").select(*COLUMNS).mapInArrow(run, schema)
+    joined = parts.groupBy("row", "doc_id").agg(
         ordered.alias("parts"), F.sum("n_pieces").alias("n_pieces"), F.max("chunks").alias("chunks"), F.sum("score").alias("score"))
     joined = joined.select("doc_id", F.decode(F.aggregate("parts", F.lit(b""), lambda a, b: F.concat(a, b)), "UTF-8").alias("text"), "n_pieces", "chunks", "score")
     # The space before a text is no part of it.
