@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,20 +27,43 @@ def upsert(batch: DataFrame, batch_id: int, path: str, key: str, order: str) ->
     Only the batch's newest row per key is written, to the batch's own folder: no stored
     data is rewritten, and a batch that is run again replaces itself.
     """
-    newest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    newest_per_key(batch, key, order).write.mode("overwrite").parquet(f"{path}/batches/batch={batch_id}")
+
+
+def _pointer(spark: SparkSession, path: str) -> Row | None:
+    """The newest pointer: its ``version`` names a snapshot, which holds the batches ``upto`` a number."""
+    try:
+        return spark.read.parquet(f"{path}/pointers").orderBy(F.col("version").desc()).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def upserted(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
-    """The keyed table as it stands: newest row per key over all batches."""
-    stored = spark.read.parquet(path)
+    """The keyed table as it stands: newest row per key over the last snapshot and the batches after it."""
+    stored = spark.read.parquet(f"{path}/batches")
+    point = _pointer(spark, path)
+    if point is not None:
+        snapshot = spark.read.parquet(f"{path}/snapshots/{point['version']}").withColumn("batch", F.lit(-1))
+        stored = stored.where(F.col("batch") > point["upto"]).unionByName(snapshot)
     at = F.struct(F.col(order).alias("o"), F.col("batch").alias("b"))
     kept = stored.withColumn("_at", at).drop("batch")
     return newest_per_key(kept, key, "_at").drop("_at")
 
 
-def compact(spark: SparkSession, path: str, target: str, key: str, order: str) -> None:
-    """Write the table as it stands to a new folder that later batches can build on."""
-    upserted(spark, path, key, order).write.mode("overwrite").parquet(f"{target}/batch=-1")
+def compact(spark: SparkSession, path: str, key: str, order: str) -> None:
+    """Write the table as it stands as a new snapshot, then point readers to it.
+
+    The pointer is a new file that appears when it is complete, so a reader sees the old snapshot or the new one.
+    One compaction runs at a time; batches may be added meanwhile.
+    """
+    point = _pointer(spark, path)
+    version = 1 if point is None else point["version"] + 1
+    upto = spark.read.parquet(f"{path}/batches").select(F.max("batch")).first()[0]
+    seen = f"{path}/snapshots/{version}"
+    upserted(spark, path, key, order).write.mode("overwrite").parquet(seen)
+    spark.createDataFrame([(upto,)], "upto INT").coalesce(1).write.parquet(f"{path}/pointers/version={version}")
 
 
 def upsert_external(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators import ranking, rows, uniques, windows
+from millrace.operators import eventtime, ranking, rows, uniques, windows
 from millrace.plans import aggregates, jobs, matching
 from millrace.plans import windows as bounded
 from millrace.plans.registry import HOUR_US, ORACLES, SENSOR_SQL, WORDS_SQL, bucket, query
 from millrace.session import scratch
-from millrace.sources import tables
+from millrace.sources import records, tables
 from millrace.streaming import batched, live
 from millrace.streaming import processors as state
 
@@ -63,6 +63,30 @@ def restart_word_count(spark, sf):
     return live.newest(emitted, ["word"])
 
 
+@query("running_count_live", "SELECT 2 * count(*) AS seen FROM events")
+def running_count_live(spark, sf):
+    """The count of all rows so far, kept through a stop and a new start."""
+    feed, checkpoint, out = scratch(spark, "feed"), scratch(spark, "progress"), scratch(spark, "emitted")
+    events = tables.events(spark, sf).select("event_id")
+    for _ in range(2):
+        events.write.mode("append").parquet(feed)
+        seen = spark.readStream.schema(events.schema).parquet(feed).agg(F.count(F.lit(1)).alias("seen"))
+        emitted = live.drain(seen, "update", checkpoint=checkpoint, out=out)
+    return emitted.agg(F.max_by("seen", "batch").alias("seen"))
+
+
+@query("rowtime_live", f"""WITH r AS (SELECT date_trunc('second', ts) AS rt FROM events),
+w AS (SELECT {bucket(HOUR_US, "rt")} AS window_start, count(*) AS ct FROM r GROUP BY ALL)
+SELECT window_start, ct FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(rt) - INTERVAL 5 SECOND FROM r)""")
+def rowtime_live(spark, sf):
+    """Hourly counts by a time computed from CSV messages, given out once the watermark, five seconds behind, closes the hour."""
+    readings = tables.sensor(tables.event_stream(spark, sf))
+    text = F.concat_ws(",", "id", F.unix_timestamp("ts"), "vc").alias("value")
+    timed = eventtime.with_event_time(records.parse(readings.select(text), records.SENSOR), "ts", delay="5 seconds")
+    counts = windows.tumbling(timed, "rt", "1 hour", [], F.count(F.lit(1)).alias("ct"))
+    return live.plain_time(live.drain(counts, "append").select("window_start", "ct"), "window_start")
+
+
 @query("win_tumbling_sum_live", bounded.TUMBLING_SUM_SQL)
 def win_tumbling_sum_live(spark, sf):
     sums = windows.tumbling(

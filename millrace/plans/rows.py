@@ -318,10 +318,11 @@ SELECT id, arg_max(event_id, event_id) AS event_id, arg_max(ts, event_id) AS ts,
 
 @query("sink_upsert", _NEWEST)
 def sink_upsert(spark, sf):
-    """Two batches into a keyed table, the later one changing rows of the earlier."""
+    """A batch into a keyed table, a snapshot, and a batch that changes rows of the snapshot."""
     path = scratch(spark, "keyed")
     readings = sensors(spark, sf)
     sinks.upsert(readings.where("vc < 30"), 0, path, "id", "event_id")
+    sinks.compact(spark, path, "id", "event_id")
     sinks.upsert(readings.where("vc >= 30"), 1, path, "id", "event_id")
     return sinks.upserted(spark, path, "id", "event_id")
 

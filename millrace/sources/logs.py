@@ -39,7 +39,7 @@ class Log:
     transport: str = "kafka"
     servers: str = ""
     group: str = ""
-    start: str = "latest"
+    start: str = "earliest"
     options: dict[str, str] = field(default_factory=dict)
 
     def _kafka(self, io):
@@ -49,7 +49,9 @@ class Log:
         return io
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
-        """Messages as strings in ``value``."""
+        """Messages as strings in ``value``. A folder is read from its first file; only a topic can start later."""
+        if self.transport == "files" and self.start != "earliest":
+            raise ValueError("a folder of messages has no other start than the earliest")
         if self.transport == "files":
             return live_lines(spark, self.topic)
         reader = self._kafka(spark.readStream).option("subscribe", self.topic).option("startingOffsets", self.start)

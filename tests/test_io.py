@@ -19,11 +19,14 @@ def test_upsert_replay_changes_nothing(spark):
         sinks.upsert(batch, batch_id, path, "id", "at")
     want = {("a", 3, 3), ("b", 4, 9), ("c", 5, 5)}
     assert {tuple(r) for r in sinks.upserted(spark, path, "id", "at").collect()} == want
-    target = session.scratch(spark, "compacted")
-    sinks.compact(spark, path, target, "id", "at")
-    sinks.upsert(spark.createDataFrame([("c", 6, 0)], "id STRING, at BIGINT, vc INT"), 2, target, "id", "at")
-    want = {("a", 3, 3), ("b", 4, 9), ("c", 6, 0)}
-    assert {tuple(r) for r in sinks.upserted(spark, target, "id", "at").collect()} == want
+    for batch_id, vc in ((2, 0), (3, 7)):
+        sinks.compact(spark, path, "id", "at")
+        sinks.upsert(spark.createDataFrame([("c", 4 + batch_id, vc)], "id STRING, at BIGINT, vc INT"), batch_id, path, "id", "at")
+    want = {("a", 3, 3), ("b", 4, 9), ("c", 7, 7)}
+    table = sinks.upserted(spark, path, "id", "at")
+    assert {tuple(r) for r in table.collect()} == want
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert any(p.startswith("isnotnull(batch") for p in plan.split("PartitionFilters: [")[1:])  # only later batches are read
 
 
 def test_sql_upsert_sends_newest_in_batches(spark, tmp_path):
