@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-MEMO_WORDS = 1_000_000  # words whose hash a task remembers; beyond it the memory starts anew
+MEMO_WORDS = 300_000  # words whose hash a task remembers; beyond it the memory starts anew
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
