@@ -8,7 +8,8 @@
    smallest values of their union with probability s, so a pair above the threshold shares at
    least ``need`` values of its sketches (surely, if both are whole; else but for about one pair
    in 10^8). A document with fewer values that any other holds is out. The others list only their
-   rarest values: with c values that others hold too, the rarest c - need + 1 meet any partner.
+   rarest values: with c values that others hold too, the rarest c - need + 1 meet any partner. At the
+   rarest value that a pair shares, both must have enough shared values left for the threshold.
    A common passage is thus no key unless it fills most of a text.
 3. In each list every member is compared with the most typical member first (the one with the
    fewest values of its own). What these links leave in different components, and could still
@@ -113,12 +114,15 @@ def _need(percent: int, n: str) -> Column:
 
 
 def _both_pass(percent: int, a: str, b: str) -> Column:
-    """Size and shared-value bounds of a pair: |A & B| >= p (|A| + |B|) / (100 + p)."""
+    """Size and position bounds of a pair: |A & B| >= p (|A| + |B|) / (100 + p).
+
+    At the rarest value that both hold, all they share is yet to come on either side.
+    """
     na, nb = F.col(f"{a}n"), F.col(f"{b}n")
     sizes = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
     wanted = (na + nb) * percent
     whole = (na <= FULL) & (nb <= FULL)
-    most = F.least(F.col(f"{a}shared"), F.col(f"{b}shared")) * (100 + percent)
+    most = F.least(F.col(f"{a}ahead"), F.col(f"{b}ahead")) * (100 + percent)
     return sizes & (~whole | (most >= wanted))
 
 
@@ -133,7 +137,10 @@ def _alive(base: DataFrame) -> DataFrame:
 
 
 def _lists(alive: DataFrame, percent: int) -> DataFrame:
-    """(value, doc, n, shared) of the rarest values of each document that may have a partner."""
+    """(value, doc, n, lone, ahead) of the rarest values of each document that may have a partner.
+
+    ``lone``: values that no other holds; ``ahead``: shared values from this one on, by rarity.
+    """
     values = alive.select("doc", "n", F.explode("sketch").alias("value"))
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = values.join(counts, "value").groupBy("doc").agg(
@@ -141,7 +148,8 @@ def _lists(alive: DataFrame, percent: int) -> DataFrame:
     shared = shared.withColumn("shared", F.size("held")).withColumn("need", _need(percent, "n"))
     shared = shared.where("shared >= need")
     rare = F.slice("held", F.lit(1), F.col("shared") - F.col("need") + 1)
-    return shared.select("doc", "n", "shared", F.explode(rare["value"]).alias("value"))
+    placed = shared.select("doc", "n", "shared", F.posexplode(rare["value"]).alias("at", "value"))
+    return placed.select("doc", "n", "value", (F.col("n") - F.col("shared")).alias("lone"), (F.col("shared") - F.col("at")).alias("ahead"))
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, documents: DataFrame, percent: int, width: int) -> DataFrame:
@@ -234,10 +242,9 @@ def linked(documents: DataFrame, percent: int = 85, width: int = 5) -> DataFrame
     reps = spark.read.parquet(_written(sketches(alive, width), "near-reps"))
     indexed = spark.read.parquet(_written(_lists(reps, percent), "near-lists"))
 
-    lone = F.col("n") - F.col("shared")
-    top = indexed.groupBy("value").agg(F.min(F.struct(lone.alias("lone"), "doc", "n", "shared")).alias("top"), F.count(F.lit(1)).alias("size"))
-    top = top.where("size > 1").select("value", F.col("top.doc").alias("a"), F.col("top.n").alias("an"), F.col("top.shared").alias("ashared"))
-    b = indexed.select("value", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("shared").alias("bshared"))
+    top = indexed.groupBy("value").agg(F.min(F.struct("lone", "doc", "n", "ahead")).alias("top"), F.count(F.lit(1)).alias("size"))
+    top = top.where("size > 1").select("value", F.col("top.doc").alias("a"), F.col("top.n").alias("an"), F.col("top.ahead").alias("aahead"))
+    b = indexed.select("value", F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("ahead").alias("bahead"))
     stars = b.join(top, "value").where("a <> b").where(_both_pass(percent, "a", "b"))
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     tried = spark.read.parquet(_written(stars.distinct(), "near-stars"))
@@ -252,9 +259,9 @@ def linked(documents: DataFrame, percent: int = 85, width: int = 5) -> DataFrame
     open_ = labelled.join(spread, "value")
     open_ = open_.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     left = open_.select("value", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-                        F.col("doc").alias("a"), F.col("n").alias("an"), F.col("shared").alias("ashared"), F.col("component").alias("ac"))
+                        F.col("doc").alias("a"), F.col("n").alias("an"), F.col("ahead").alias("aahead"), F.col("component").alias("ac"))
     right = open_.select("value", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("block").alias("other"),
-                         F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("shared").alias("bshared"), F.col("component").alias("bc"))
+                         F.col("doc").alias("b"), F.col("n").alias("bn"), F.col("ahead").alias("bahead"), F.col("component").alias("bc"))
     rest = left.join(right, ["value", "block", "other"]).where("a < b AND ac <> bc").where(_both_pass(percent, "a", "b"))
     rest = rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     rest = spark.read.parquet(_written(rest, "near-rest"))
