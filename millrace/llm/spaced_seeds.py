@@ -8,12 +8,15 @@ along which the tokens of both sides are compared: an overlap is the longest str
 least ``min_tokens`` (or the whole item, if shorter) that begins and ends with equal tokens and of which
 at least ``percent`` in a hundred are equal. Substituted tokens are thus tolerated.
 
-Items shorter than ``SHORT`` tokens say too little and are not looked for. Items shorter than a
-mask's span are hashed whole, without gaps.
+With at least 80 percent of at least ``SPAN`` tokens equal, every overlap holds a seed of some mask (a longer
+one than 33 tokens holds a shorter one, and tests enumerate the rest). Items shorter than ``SPAN`` tokens
+must be met whole: they have masks of their own length, such that one is left by any substitutions that ``percent``
+allows. Items shorter than ``SHORT`` tokens say too little and are not looked for.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,17 +27,16 @@ from pyspark.sql import functions as F
 from millrace.llm.words import WordHashes, batches_of, hashed, lists, mixed, run_hashes, texts, words
 from millrace.session import scratch
 
-# Places of a span of 11 to 13 tokens that each mask reads; seven of them, spread differently.
+# Places of a span of 7 to 11 tokens that each mask reads: six of them, spread so that no overlap misses all masks.
 MASKS = (
-    (0, 1, 2, 3, 4, 5, 6),
-    (0, 1, 2, 4, 7, 9, 10),
-    (0, 1, 3, 6, 7, 10, 11),
-    (0, 2, 3, 5, 8, 11, 12),
+    (0, 1, 2, 4, 5, 6),
+    (0, 1, 3, 6, 9, 10),
+    (0, 1, 3, 7, 9, 10),
 )
 SHORT = 5
 AROUND = 80  # tokens kept on each side of a hit
 FILTER_BITS = 1 << 24
-SPAN = max(m[-1] for m in MASKS) + 1
+SPAN = 13  # the masks are for overlaps of so many tokens or more
 GAP = 64  # hits of a document closer than this share one stretch of tokens
 
 SEEDS = "item_id BIGINT, tokens ARRAY<BIGINT>, at ARRAY<INT>, hash ARRAY<BIGINT>"
@@ -50,11 +52,25 @@ def _seeds(h: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _whole(h: np.ndarray) -> np.ndarray:
-    return mixed(run_hashes(h, list(range(len(h)))) + np.uint64(1000 + len(h)))
+def short_masks(n: int, percent: int) -> list[tuple[int, ...]]:
+    """Masks as long as an item of ``n`` tokens: both ends, and the inner tokens in blocks, two more than
+    may differ, of which each mask reads two."""
+    differ = n * (100 - percent) // 100
+    blocks = np.array_split(np.arange(1, n - 1), max(1, min(n - 2, differ + 2))) if differ else [np.arange(1, n - 1)]
+    read = max(0, len(blocks) - differ)
+    return [(0, *map(int, np.concatenate([*some, []])), n - 1) for some in itertools.combinations(blocks, read)]
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
+def _short_seeds(h: np.ndarray, n: int, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(starts, hashes) of each mask for items of ``n`` tokens."""
+    out = []
+    for i, mask in enumerate(short_masks(n, percent)):
+        found = run_hashes(h, list(mask)) + np.uint64(1000 * n + i)
+        out.append((np.arange(len(found)), mixed(found)))
+    return out
+
+
+def item_seeds(items: DataFrame, percent: int = 80) -> DataFrame:
     """Tokens of each item with the starts and hashes of its seeds; null ids and texts give no row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -63,7 +79,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
             for item, text in zip(batch.column("item_id").to_pylist(), texts(batch)):
                 h = hashed(words(text), memo)
                 if item is not None and len(h) >= SHORT:
-                    seeds = _seeds(h) if len(h) >= SPAN else [(np.zeros(1, int), _whole(h))]
+                    seeds = _seeds(h) if len(h) >= SPAN else _short_seeds(h, len(h), percent)
                     out.append((item, h, np.concatenate([s for s, _ in seeds]), np.concatenate([f for _, f in seeds])))
             yield pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in out], pa.int64()), lists([r[1].view(np.int64) for r in out], pa.int64()),
@@ -97,7 +113,7 @@ def _filter(seeds: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int]) -> DataFrame:
+def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int], percent: int) -> DataFrame:
     """Stretches of a document's tokens with the starts and hashes of possible seeds in them."""
     shipped = documents.sparkSession.sparkContext.broadcast(packed)
 
@@ -111,9 +127,8 @@ def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int]) ->
                 if doc is None or len(h) < SHORT:
                     continue
                 seeds = _seeds(h)
-                for n in lengths:  # items too short for a mask
-                    found = run_hashes(h, list(range(n)))
-                    seeds.append((np.arange(len(found)), mixed(found + np.uint64(1000 + n))))
+                for n in lengths:  # items too short for the masks
+                    seeds += _short_seeds(h, n, percent)
                 starts = np.concatenate([s for s, _ in seeds])
                 found = np.concatenate([f for _, f in seeds])
                 a, b = _bits(found)
@@ -168,13 +183,13 @@ def overlaps(documents: DataFrame, items: DataFrame, min_tokens: int = 13, perce
     """
     spark = documents.sparkSession
     stored = scratch(spark, "seed-items")
-    item_seeds(items).write.parquet(stored)
+    item_seeds(items, percent).write.parquet(stored)
     stored = spark.read.parquet(stored)
     seeds = _exploded(stored, "item_id").withColumnRenamed("at", "item_at")
     short = stored.select(F.size("tokens").alias("n")).where(F.col("n") < SPAN).distinct()
     lengths = sorted(r.n for r in short.collect())  # fewer than SPAN numbers
     found = scratch(spark, "seed-stretches")
-    _stretches(documents, _filter(seeds), lengths).write.parquet(found)
+    _stretches(documents, _filter(seeds), lengths, percent).write.parquet(found)
     found = spark.read.parquet(found)
     hits = _exploded(found, "doc_id", "offset").join(seeds, "hash")
     # Hits on one diagonal of a stretch are verified together.

@@ -1,5 +1,6 @@
 """Line spread, near duplicates, decontamination and unit hashing against brute force."""
 
+import itertools
 from collections import defaultdict
 
 import numpy as np
@@ -141,6 +142,47 @@ def test_overlaps(spark, documents, items):
     assert left.count() == docs.count() - sum(d in {a for a, _ in want} for d, _ in own)
 
 
+def test_masks_miss_no_substitutions():
+    """Every overlap of 13 to 20 tokens, ends equal, with as many substitutions as 80 percent allows."""
+    for n in range(spaced_seeds.SHORT, 21):
+        masks = spaced_seeds.MASKS if n >= 13 else spaced_seeds.short_masks(n, 80)
+        fitted = [frozenset(i + p for p in m) for m in masks for i in range(n - m[-1])]
+        for gone in itertools.combinations(range(1, n - 1), n // 5):
+            assert any(f.isdisjoint(gone) for f in fitted), (n, gone)
+
+
+def test_masks_miss_no_longer_overlap():
+    """The fewest substitutions that keep all masks out of 13 to 33 tokens are more than 80 percent allows.
+
+    A longer overlap holds one of these: one half of it is equal enough, and is so without unequal ends.
+    """
+    span = max(m[-1] for m in spaced_seeds.MASKS)
+    masks = [sum(1 << (m[-1] - p) for p in m) for m in spaced_seeds.MASKS]
+    fewest = {1: 0}  # by the last tokens as bits, set if equal
+    for n in range(2, 34):
+        equal, other = {}, {}
+        for last, gone in fewest.items():
+            bits = last << 1
+            other[bits % (1 << span)] = min(gone + 1, other.get(bits % (1 << span), n))
+            if not any((bits | 1) & m == m for m in masks):
+                key = (bits | 1) % (1 << span)
+                equal[key] = min(gone, equal.get(key, n))
+        assert n < 13 or min(equal.values()) > n // 5
+        fewest = other | equal
+
+
+def test_substituted_overlaps_are_found(spark):
+    """Patterns that four masks of seven places missed, and short items with a substituted word."""
+    whole = [(0, [f"a{i}" for i in range(13)], (4, 8)), (1, [f"b{i}" for i in range(15)], (3, 7, 11)), (2, [f"c{i}" for i in range(20)], (4, 8, 12, 16))]
+    whole += [(n, [f"n{n}x{i}" for i in range(n)], (n // 2,) if n < 10 else (3, n - 4)) for n in range(5, 13)]
+    whole.append((50, [f"d{i}" for i in range(9)], (3, 6)))  # too few are equal
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w, _ in whole], "item_id BIGINT, text STRING")
+    docs = spark.createDataFrame(
+        [(100 + i, " ".join(["y"] * 20 + [f"other{k}" if k in gone else x for k, x in enumerate(w)] + ["z"] * 20)) for i, w, gone in whole], "doc_id BIGINT, text STRING")
+    got = {tuple(r) for r in spaced_seeds.overlaps(docs, items, 13, 80).collect()}
+    assert got == {(100 + i, i, 20, len(w), len(w) - len(gone)) for i, w, gone in whole if i < 50}
+
+
 def test_nothing_to_overlap(spark, documents, nothing, items):
     none = spark.createDataFrame([], "item_id BIGINT, text STRING")
     assert spaced_seeds.overlaps(nothing, items).collect() == []
