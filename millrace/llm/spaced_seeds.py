@@ -3,8 +3,8 @@
 A mask names the places of a span of tokens that are hashed; the others may differ. Every start of
 every item and document is hashed under a few fixed masks. Documents emit only starts whose hash
 passes a Bloom filter of the items' hashes (a fixed ``FILTER_BITS``, so safe to send to all tasks),
-each with the token hashes around it; those join the items' hashes. Each hit sets a diagonal,
-along which the tokens of both sides are compared: an overlap is the longest stretch through the hit of at
+each with as many token hashes around it as the longest item has; those join the items' hashes. Each hit sets
+a diagonal, on all of which the tokens of both sides are compared: an overlap is the longest stretch of it of at
 least ``min_tokens`` (or the whole item, if shorter) that begins and ends with equal tokens and of which
 at least ``percent`` in a hundred are equal. Substituted tokens are thus tolerated.
 
@@ -34,10 +34,9 @@ MASKS = (
     (0, 1, 3, 7, 9, 10),
 )
 SHORT = 5
-AROUND = 80  # tokens kept on each side of a hit
 FILTER_BITS = 1 << 24
 SPAN = 13  # the masks are for overlaps of so many tokens or more
-GAP = 64  # hits of a document closer than this share one stretch of tokens
+PIECE = 1024  # hits of a document over so many tokens, or four longest items, have a stretch of tokens of their own
 
 SEEDS = "item_id BIGINT, tokens ARRAY<BIGINT>, at ARRAY<INT>, hash ARRAY<BIGINT>"
 STRETCHES = "doc_id BIGINT, offset BIGINT, n_tokens BIGINT, tokens ARRAY<BIGINT>, at ARRAY<INT>, hash ARRAY<BIGINT>"
@@ -113,8 +112,8 @@ def _filter(seeds: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int], percent: int) -> DataFrame:
-    """Stretches of a document's tokens with the starts and hashes of possible seeds in them."""
+def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int], percent: int, around: int) -> DataFrame:
+    """Stretches of a document's tokens with the starts and hashes of possible seeds in them, and ``around`` more on each side."""
     shipped = documents.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +138,11 @@ def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int], per
                 starts, found = starts[hit], found[hit]
                 order = np.argsort(starts, kind="stable")
                 starts, found = starts[order], found[order]
-                for part in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) > GAP) + 1):
+                for part in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) > 2 * around) + 1):
                     # A long run of hits is cut as well, each piece with its own surroundings.
-                    for piece in np.split(part, np.flatnonzero(np.diff((starts[part] - starts[part[0]]) // 1024)) + 1):
-                        lo = max(0, int(starts[piece[0]]) - AROUND)
-                        hi = int(starts[piece[-1]]) + AROUND
+                    for piece in np.split(part, np.flatnonzero(np.diff((starts[part] - starts[part[0]]) // max(PIECE, 4 * around))) + 1):
+                        lo = max(0, int(starts[piece[0]]) - around)
+                        hi = int(starts[piece[-1]]) + around
                         out.append((doc, lo, len(h), h[lo:hi].view(np.int64), (starts[piece] - lo).astype(np.int32), found[piece].view(np.int64)))
             yield pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.int64()),
@@ -153,21 +152,22 @@ def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int], per
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, STRETCHES)
 
 
-def longest_overlap(equal: np.ndarray, at: int, least: int, percent: int) -> tuple[int, int] | None:
-    """Ends of the longest stretch through ``at`` with enough equal tokens, itself ending in equal ones.
+def longest_overlap(equal: np.ndarray, least: int, percent: int) -> tuple[int, int] | None:
+    """Ends of the first longest stretch with enough equal tokens, itself ending in equal ones.
 
     With gain 100 - percent for an equal token and -percent for another, a stretch qualifies if its
-    gains sum to zero or more. ``at`` must be equal.
+    gains sum to zero or more.
     """
+    left = np.flatnonzero(equal)
+    if not len(left):
+        return None
     gain = np.concatenate([[0], np.cumsum(np.where(equal, 100 - percent, -percent))])
-    left = np.flatnonzero(equal[:at + 1])
-    right = np.flatnonzero(equal[at:]) + at + 1
-    best = None
-    for lo in left:  # at most AROUND of them
-        good = right[gain[right] >= gain[lo]]
-        if len(good) and (best is None or good[-1] - lo > best[1] - best[0]):
-            best = (int(lo), int(good[-1]))
-    return best if best and best[1] - best[0] >= least else None
+    # The greatest gain at this or a later end falls from end to end; the last that suffices is itself an end's.
+    greatest = np.maximum.accumulate(gain[left + 1][::-1])
+    last = len(left) - 1 - np.searchsorted(greatest, gain[left])
+    sizes = left[last] + 1 - left
+    best = int(sizes.argmax())
+    return (int(left[best]), int(left[last[best]]) + 1) if sizes[best] >= least else None
 
 
 def _exploded(rows: DataFrame, *ids: str) -> DataFrame:
@@ -188,38 +188,39 @@ def overlaps(documents: DataFrame, items: DataFrame, min_tokens: int = 13, perce
     seeds = _exploded(stored, "item_id").withColumnRenamed("at", "item_at")
     short = stored.select(F.size("tokens").alias("n")).where(F.col("n") < SPAN).distinct()
     lengths = sorted(r.n for r in short.collect())  # fewer than SPAN numbers
+    longest = stored.agg(F.max(F.size("tokens"))).first()[0] or 0
     found = scratch(spark, "seed-stretches")
-    _stretches(documents, _filter(seeds), lengths, percent).write.parquet(found)
+    _stretches(documents, _filter(seeds), lengths, percent, longest).write.parquet(found)
     found = spark.read.parquet(found)
     hits = _exploded(found, "doc_id", "offset").join(seeds, "hash")
-    # Hits on one diagonal of a stretch are verified together.
+    # Hits on one diagonal of a stretch are verified together, on all tokens that both sides have there.
     place = ["doc_id", "offset", "item_id", "diagonal"]
-    diagonals = hits.withColumn("diagonal", F.col("at") - F.col("item_at")).groupBy(*place).agg(F.collect_set("item_at").alias("item_at"))
+    diagonals = hits.withColumn("diagonal", F.col("at") - F.col("item_at")).select(*place).distinct()
     joined = diagonals.join(stored.select("item_id", F.col("tokens").alias("item")).dropDuplicates(["item_id"]), "item_id")
     joined = joined.join(found.select("doc_id", "offset", F.col("tokens").alias("own")).distinct(), ["doc_id", "offset"])
+    skipped = F.greatest(-F.col("diagonal"), F.lit(0))
+    first = F.greatest(F.col("diagonal"), F.lit(0))
+    size = F.least(F.size("item") - skipped, F.size("own") - first)
+    joined = joined.select(
+        "doc_id", "item_id", (F.col("offset") + first).alias("start"), F.size("item").alias("n"),
+        F.slice("item", skipped + 1, size).alias("item"), F.slice("own", first + 1, size).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                own, item, shift = np.array(r["own"]), np.array(r["item"]), r["diagonal"]
-                done = -1
-                for at in sorted(r["item_at"]):
-                    if at < done:
-                        continue
-                    lo = max(0, -shift, at - AROUND)
-                    hi = min(len(item), len(own) - shift, at + AROUND)
-                    equal = own[lo + shift:hi + shift] == item[lo:hi]
-                    best = longest_overlap(equal, at - lo, min(min_tokens, len(item)), percent) if hi > at and equal[at - lo] else None
-                    if best:
-                        done = lo + best[1]
-                        rows.append((r["doc_id"], r["item_id"], r["offset"] + lo + shift + best[0], best[1] - best[0], int(equal[best[0]:best[1]].sum())))
+            own, item = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("own", "item"))
+            ends = np.cumsum([0, *batch.column("own").value_lengths().to_pylist()])
+            same = own == item
+            for i, (doc, item_id, start, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "start", "n")))):
+                equal = same[ends[i]:ends[i + 1]]
+                best = longest_overlap(equal, min(min_tokens, n), percent)
+                if best:
+                    rows.append((doc, item_id, start + best[0], best[1] - best[0], int(equal[best[0]:best[1]].sum())))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in rows], pa.int64()) for i in range(5)],
                 names=["doc_id", "item_id", "start", "n_tokens", "n_equal"])
 
-    checked = joined.select(*place, "item_at", "item", "own").mapInArrow(
-        run, "doc_id BIGINT, item_id BIGINT, start BIGINT, n_tokens BIGINT, n_equal BIGINT")
+    checked = joined.mapInArrow(run, "doc_id BIGINT, item_id BIGINT, start BIGINT, n_tokens BIGINT, n_equal BIGINT")
     best = checked.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_tokens", (-F.col("start")).alias("s"), "n_equal")).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.s")).alias("start"), "best.n_tokens", "best.n_equal")
 

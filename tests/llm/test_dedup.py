@@ -183,6 +183,24 @@ def test_substituted_overlaps_are_found(spark):
     assert got == {(100 + i, i, 20, len(w), len(w) - len(gone)) for i, w, gone in whole if i < 50}
 
 
+def test_long_overlaps_are_whole(spark):
+    """A long item copied whole, and one with a long part replaced in the middle: one overlap each, of all tokens."""
+    a, b = [f"a{i}" for i in range(3000)], [f"b{i}" for i in range(400)]
+    items = spark.createDataFrame([(0, " ".join(a)), (1, " ".join(b))], "item_id BIGINT, text STRING")
+    docs = spark.createDataFrame(
+        [(10, " ".join(["y"] * 500 + a + ["z"] * 500)), (11, " ".join(["y"] * 7 + b[:170] + ["other"] * 70 + b[240:]))], "doc_id BIGINT, text STRING")
+    got = {tuple(r) for r in spaced_seeds.overlaps(docs, items, 13, 80).collect()}
+    assert got == {(10, 0, 500, 3000, 3000), (11, 1, 7, 400, 330)}
+
+
+def test_longest_overlap():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        equal = rng.random(rng.integers(1, 40)) < 0.75
+        fits = [(lo - hi, lo, hi) for lo in np.flatnonzero(equal) for hi in np.flatnonzero(equal) + 1 if hi - lo >= 5 and 100 * equal[lo:hi].sum() >= 80 * (hi - lo)]
+        assert spaced_seeds.longest_overlap(equal, 5, 80) == (min(fits)[1:] if fits else None)
+
+
 def test_nothing_to_overlap(spark, documents, nothing, items):
     none = spark.createDataFrame([], "item_id BIGINT, text STRING")
     assert spaced_seeds.overlaps(nothing, items).collect() == []
