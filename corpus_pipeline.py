@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many sites show; ``n_chars`` follows the text."""
-    cut = line_spread.cleaned(docs, plans.MIN_SITES)
+    cut = line_spread.cleaned(docs, plans.MIN_SITES, spare_copies=False)
     chars = F.when(F.col("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return cut.withColumn("n_chars", chars).select(*docs.columns)
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from conftest import lower_words
 
+import corpus_pipeline
 from millrace.llm import bottom_k, line_spread, spaced_seeds, unit_hashes
 
 
@@ -33,6 +34,25 @@ def test_boilerplate_lines(documents, rows):
         assert sorted(found, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("most", [line_spread.MOST_BROADCAST, 0])
+def test_every_boilerplate_line_is_cut(spark, most):
+    """Also from texts that hold little or nothing else."""
+    long = "All rights reserved by the owners of this and of all the other sites"
+    data = [(i, f"own text {i} {'of some length ' * 9}\n{long}", f"s{i}", 0) for i in range(4)]
+    data += [(4, f"short\n{long}", "s4", 0), (5, long, "s5", 0), (6, f"{long}\n\n{long}", "s5", 0), (7, "short\nowned", "s5", 0)]
+    docs = spark.createDataFrame(data, "doc_id BIGINT, text STRING, source STRING, n_chars BIGINT")
+    got = {r.doc_id: (r.text, r.removed_lines) for r in line_spread.cleaned(docs, 4, most_broadcast=most, spare_copies=False).collect()}
+    assert got == {i: (t[:-len(long) - 1], 1) for i, t, _, _ in data[:4]} | {4: ("short", 1), 5: ("", 1), 6: ("", 2), 7: ("short\nowned", 0)}
+
+
+def test_pipeline_cuts_every_boilerplate_line(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source", "n_chars")
+    header = "A header that every one of these sites shows above its pages"
+    extra = spark.createDataFrame([(10 ** 9 + i, f"{header}\npage {i}", f"site{i}", 0) for i in range(12)], docs.schema)
+    out = corpus_pipeline.drop_boilerplate(spark, docs.union(extra), sf).where("doc_id >= 1000000000").collect()
+    assert {(r.text, r.n_chars) for r in out} == {(f"page {i}", len(f"page {i}")) for i in range(12)}
+
+
 def test_sketch_and_exact_counts_agree(spark):
     data = [(i, f"line {k} text", f"site{s}") for k in range(1, 40) for i, s in enumerate(range(k))]
     docs = spark.createDataFrame(data, "doc_id BIGINT, text STRING, source STRING")
