@@ -1,15 +1,16 @@
 """URL filters: host and path rules, and a character language-model ratio for what no rule judges.
 
 Two variable-order Markov models over characters, one of accepted and one of rejected URLs, are
-counted from URLs that the rules judge. A gram (a character and up to ``ORDER`` before it) is kept by a
-model if it makes up at least ``1 / GRAMS`` of the model's characters: contexts grow longer only where
-they are frequent, a kept gram's shorter forms are kept too, and a model has at most ``GRAMS`` grams
-of each length. Probabilities are interpolated down to a uniform base by Witten-Bell weights.
+counted from whole URLs that the rules judge: query and fragment too, and what has no ``://``. A model keeps
+every gram (a character and up to ``ORDER`` before it) that it has seen, so rare ones count at any
+input size. Probabilities are interpolated down to a uniform base by Witten-Bell weights.
 
 The log probability of a URL is a sum over its substrings: each kept context adds the weight of
 the shorter one, each kept gram corrects what the shorter one estimates. Scoring is therefore one
 explosion, one join with a weight per substring, and one sum that starts in the task that reads the
-URL. The weights, at most 2 * (ORDER + 1) * GRAMS rows, are all that is broadcast. A score is the
+URL. Up to ``MOST_BROADCAST`` weights are broadcast. Beyond that only those of frequent grams are, which make up
+at least ``1 / GRAMS`` of a model's characters (at most ``GRAMS`` of each length and model); the substrings
+that are none of these are joined with the other weights by shuffle. A score is the
 difference of both models' log probabilities by predicted character (but for a constant, which the
 threshold takes up); URLs kept out of the counts set the threshold that parts them with the least error.
 
@@ -27,6 +28,7 @@ from millrace.session import scratch
 
 ORDER = 4
 GRAMS = 20_000
+MOST_BROADCAST = 2 * (ORDER + 1) * GRAMS
 ALPHABET = 65_536  # characters that the base is spread over
 BEGIN, END = "\x02", "\x03"
 BIN, BINS = 0.005, 2000  # width and number, on each side of zero, of the bins that calibrate
@@ -51,6 +53,12 @@ def path(url: Column) -> Column:
     return F.regexp_extract(_after(url), "^[^/?#]*([^?#]*)", 1)
 
 
+def full(url: Column) -> Column:
+    """The URL as the models see it: all of it, its host in lower case; empty for a null."""
+    before = F.when(F.instr(url, "://") > 0, F.left(url, F.instr(url, "://") + 2)).otherwise(url)
+    return F.coalesce(F.concat(before, host(url), F.substr(_after(url), F.length(host(url)) + 1)), F.lit(""))
+
+
 def judged(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame:
     """``pages`` with ``host``, ``path``, and the ``rule`` and its ``ruling`` that fit, or nulls.
 
@@ -78,7 +86,8 @@ def _grams(rows: DataFrame, *others: str) -> DataFrame:
 
 
 def weights(urls: DataFrame) -> DataFrame:
-    """(gram, weight): what each substring adds to the difference, from ``_text`` and ``accepted`` of ``urls``.
+    """(gram, weight, frequent): what each substring adds to the difference, from ``_text`` and ``accepted`` of
+    ``urls``, and whether it may be broadcast.
 
     Empty if a class has no URL.
     """
@@ -86,10 +95,11 @@ def weights(urls: DataFrame) -> DataFrame:
     size = F.length("_text") - 1
     counts = _grams(urls, "accepted").where(F.col("gram") != BEGIN).groupBy("gram").agg(
         *[F.count(F.when(on, 1)).alias(f"c_{s}") for s, on in sides.items()])
+    frequent = F.lit(False)
     for s, on in sides.items():
         total = urls.agg(F.sum(F.when(on, size))).scalar()
-        counts = counts.withColumn(f"c_{s}", F.when(F.col(f"c_{s}") * GRAMS >= F.greatest(total, F.lit(1)), F.col(f"c_{s}")))
-    counts = counts.where("c_a IS NOT NULL OR c_r IS NOT NULL").withColumn("n", F.length("gram"))
+        frequent = frequent | F.coalesce(F.col(f"c_{s}") * GRAMS >= F.greatest(total, F.lit(1)), F.lit(False))
+    counts = counts.withColumns({"frequent": frequent, "n": F.length("gram")} | {f"c_{s}": F.nullif(f"c_{s}", F.lit(0)) for s in sides})
     within = Window.partitionBy(F.expr("left(gram, n - 1)"))
     counts = counts.withColumns({f"{k}_{s}": v for s in sides for k, v in (
         ("kinds", F.count(f"c_{s}").over(within)), ("all", F.sum(f"c_{s}").over(within)))})
@@ -110,16 +120,16 @@ def weights(urls: DataFrame) -> DataFrame:
     for k in range(1, ORDER + 2):
         level = level.withColumns({f"p_{s}": smoothed(s, F.col(f"low_{s}")) for s in sides})
         corrections = {s: F.coalesce(F.log(F.col(f"p_{s}") / (backoff(s) * F.col(f"low_{s}"))), F.lit(0.0)) for s in sides}
-        part = level.select("gram", (corrections["a"] - corrections["r"]).alias("weight"))
+        part = level.select("gram", (corrections["a"] - corrections["r"]).alias("weight"), "frequent")
         done = part if done is None else done.unionByName(part)
         if k <= ORDER:
-            # Kept grams of one length: at most 2 * GRAMS.
-            lower = F.broadcast(level.select(F.col("gram").alias("_suffix"), *[F.col(f"p_{s}").alias(f"low_{s}") for s in sides]))
+            lower = level.select(F.col("gram").alias("_suffix"), *[F.col(f"p_{s}").alias(f"low_{s}") for s in sides])
             level = counts.where(F.col("n") == k + 1).join(lower, F.expr(f"right(gram, {k})") == F.col("_suffix")).drop("_suffix")
     contexts = counts.where("n > 1").groupBy(F.expr("left(gram, n - 1)").alias("gram")).agg(
         *[F.max(F.when(F.col(f"kinds_{s}") > 0, F.log(backoff(s)))).alias(f"b_{s}") for s in sides])
-    contexts = contexts.select("gram", (F.coalesce("b_a", F.lit(0.0)) - F.coalesce("b_r", F.lit(0.0))).alias("weight"))
-    return done.unionByName(contexts).groupBy("gram").agg(F.sum("weight").alias("weight"))
+    # A context is a gram as well, but for the beginning, which every URL has.
+    contexts = contexts.select("gram", (F.coalesce("b_a", F.lit(0.0)) - F.coalesce("b_r", F.lit(0.0))).alias("weight"), (F.col("gram") == BEGIN).alias("frequent"))
+    return done.unionByName(contexts).groupBy("gram").agg(F.sum("weight").alias("weight"), F.max("frequent").alias("frequent"))
 
 
 def filtered(pages: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "page_id") -> DataFrame:
@@ -132,16 +142,28 @@ def filtered(pages: DataFrame, rules: Sequence[Rule], url: str = "url", key: str
     """
     spark = pages.sparkSession
     rows = judged(pages.select(F.col(key).alias("_key"), F.col(url).alias("_url")), rules, "_url")
-    rows = rows.withColumn("_text", F.concat(F.lit(BEGIN), "host", "path", F.lit(END)))
+    rows = rows.withColumn("_text", F.concat(F.lit(BEGIN), full(F.col("_url")), F.lit(END)))
     held = F.pmod(F.crc32("_text"), F.lit(HELD_OUT)) == 0
     learned = rows.where(F.col("ruling").isNotNull() & ~held).select("_text", (F.col("ruling") == "allow").alias("accepted"))
     found = scratch(spark, "url-weights")
     weights(learned).write.parquet(found)
-    table = spark.read.parquet(found)  # at most 2 * (ORDER + 1) * GRAMS rows
+    table = spark.read.parquet(found)
     wide = rows.select(F.monotonically_increasing_id().alias("_row"), "_key", "host", "path", "rule", "ruling", held.alias("held"), "_text")
     keys = ["_row", "_key", "host", "path", "rule", "ruling", "held"]
-    hits = _grams(wide.withColumn("_size", F.length("_text") - 1), *keys, "_size").join(F.broadcast(table), "gram", "left")
-    scores = hits.groupBy(*keys, "_size").agg((F.coalesce(F.sum("weight"), F.lit(0.0)) / F.col("_size")).alias("score"))
+    wide = wide.withColumn("_size", F.length("_text") - 1)
+    few = table.count() <= MOST_BROADCAST
+    if not few:
+        numbered = scratch(spark, "url-rows")  # so that numbers stay the same
+        wide.write.parquet(numbered)
+        wide = spark.read.parquet(numbered)
+    frequent = F.broadcast((table if few else table.where("frequent")).select("gram", "weight"))
+    hits = _grams(wide, *keys, "_size").join(frequent, "gram", "left")
+    sums = hits.groupBy(*keys, "_size").agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("_sum"))
+    if not few:
+        others = _grams(wide, "_row").join(frequent, "gram", "left_anti").join(table.where("NOT frequent").hint("shuffle_merge"), "gram")
+        sums = sums.join(others.groupBy("_row").agg(F.sum("weight").alias("_more")), "_row", "left")
+        sums = sums.withColumn("_sum", F.col("_sum") + F.coalesce("_more", F.lit(0.0)))
+    scores = sums.select(*keys, (F.col("_sum") / F.col("_size")).alias("score"))
     stored = scratch(spark, "url-scores")
     scores.write.parquet(stored)
     scores = spark.read.parquet(stored)

@@ -88,6 +88,38 @@ def test_model_tells_hosts_apart(spark):
     assert free == {"good.example.com": "allow", "bad.shop.com": "block"}
 
 
+def test_query_and_odd_urls_are_judged_by_the_models(spark):
+    """What follows ? or #, and a URL without a scheme, are part of what the models see."""
+    urls = [f"http://shop.net/p{i}?spam=win&cash={i}" for i in range(80)] + [f"http://example.net/en/p{i}?page={i}" for i in range(80)]
+    urls += ["http://a.com/p7?page=7", "http://a.com/p7?spam=win&cash=7", "http://a.com/p7#page=7", "http://a.com/p7#spam=win&cash=7", "page=7", "spam=win&cash=7"]
+    got = sorted(url_models.filtered(pages(spark, urls), RULES).collect(), key=lambda r: r.page_id)[160:]
+    assert all(good.score > 0.1 + bad.score for good, bad in zip(got[::2], got[1::2]))
+    assert [r.path for r in got] == ["/p7"] * 4 + [""] * 2
+
+
+def test_whole_urls(spark):
+    urls = [None, "", "No Scheme", "HTTP://A.Net", "HTTP://A.Net/X?Y#Z", "http://A.net?Q", "x://", "http://a.net/x://B"]
+    want = ["", "", "No Scheme", "HTTP://a.net", "HTTP://a.net/X?Y#Z", "http://a.net?Q", "x://", "http://a.net/x://B"]
+    assert [r[0] for r in pages(spark, urls).orderBy("page_id").select(url_models.full(F.col("url"))).collect()] == want
+
+
+def test_rare_grams_count_at_any_size(spark, monkeypatch):
+    """Grams far below a fixed share of the input have weights, and are found by either join."""
+    b, e = url_models.BEGIN, url_models.END
+    monkeypatch.setattr(url_models, "GRAMS", 20)
+    rows = [(b + "http://a.org/" + e, True)] * 300 + [(b + "http://b.org/" + e, False)] * 300 + [(b + "http://a.org/zq" + e, False)] * 2
+    weights = {r.gram: r.weight for r in url_models.weights(spark.createDataFrame(rows, "_text STRING, accepted BOOLEAN")).collect()}
+    assert weights["/zq"] < 0
+
+    urls = [f"http://a{i}.shop.net/{i}" for i in range(60)] + [f"http://b{i}.example.net/en/{i}" for i in range(60)] + ["http://c.com/en/7", "http://shop.com/7", "", None]
+    one = {r.page_id: r for r in url_models.filtered(pages(spark, urls), RULES).collect()}
+    monkeypatch.setattr(url_models, "MOST_BROADCAST", 0)
+    two = {r.page_id: r for r in url_models.filtered(pages(spark, urls), RULES).collect()}
+    assert len(two) == len(urls)
+    for i, r in one.items():
+        assert two[i].score == pytest.approx(r.score, abs=1e-9) and two[i][:4] == r[:4] and two[i].verdict == r.verdict
+
+
 def brute_counts(text):
     text = text or ""
     w = [x.decode() for x in text.encode().split()]
