@@ -162,6 +162,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_hashes.repeats(table(spark, sf_dir, "documents"), "line")
 
 
+@query("op9_passages")
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines and the passages, inside lines or over several, that repeat an earlier one."""
+    documents = table(spark, sf_dir, "documents")
+    found = [unit_hashes.repeats(documents, by).withColumn("by", F.lit(by)) for by in ("line", "passage")]
+    return found[0].unionByName(found[1])
+
+
 @query("op10_bottom_k")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 85 % similarity of their five-word shingles."""

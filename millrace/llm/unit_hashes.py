@@ -1,6 +1,9 @@
-"""Substring dedup by hashing lines or paragraphs.
+"""Substring dedup by hashing lines, paragraphs or passages.
 
-A unit is a line, or a paragraph (what empty lines part). It is normalised to its words, A-Z
+A unit is a line, a paragraph (what empty lines part) or a passage. Passages part a text, whatever its lines, before
+the words at which the hash of three words is the least of those up to ``REACH`` words away. Cuts thus depend on
+the words around them only: what two texts share is cut alike in both, so a shared run inside longer lines or over
+several is found but for its ends, and a changed word costs the passages next to it. A unit is normalised to its words, A-Z
 lower-cased, with single spaces, and hashed to 128 bits. Of all units with one digest the earliest,
 by document id and place, stays; the others are removed. Units of fewer than ``min_words`` words
 are left alone.
@@ -14,16 +17,19 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import batches_of
+from millrace.llm.words import WordHashes, batches_of, hashed, run_hashes
 from millrace.session import scratch
 
 UNITS = "doc_id BIGINT, unit INT, start BIGINT, n_chars BIGINT, high BIGINT, low BIGINT"
 MIN_WORDS = 5
+REACH = 4  # a passage has more words than this, but for the ends of a text, and about twice as many
+_WORD = re.compile(r"[^\x20\x09-\x0d]+")
 _PARTS = {"line": r"\n", "paragraph": r"\n[\x20\x09\x0b-\x0d]*\n\s*"}
 
 
@@ -43,17 +49,39 @@ def places(text: str, part: re.Pattern) -> Iterator[tuple[int, int]]:
     yield at, len(text)
 
 
+def cuts(h: np.ndarray) -> np.ndarray:
+    """Numbers of the words that begin a passage, other than the first; of equal hashes near each other none, or the first."""
+    v = run_hashes(h, [0, 1, 2])
+    if not len(v):
+        return np.empty(0, np.int64)
+    most = np.full(REACH, np.iinfo(np.uint64).max)
+    least = np.lib.stride_tricks.sliding_window_view(np.concatenate([most, v, most]), REACH).min(axis=1)
+    found = np.flatnonzero((v < least[:len(v)]) & (v <= least[REACH + 1:]))
+    return found[found > 0]
+
+
+def passages(text: str, memo: WordHashes) -> Iterator[tuple[int, int]]:
+    """Start and end of each passage, in characters."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    if not spans:
+        return
+    bounds = [0, *cuts(hashed(text.encode().lower().split(), memo)).tolist(), len(spans)]
+    for a, b in zip(bounds, bounds[1:]):
+        yield spans[a][0], spans[b - 1][1]
+
+
 def units(documents: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
     """The units of every text that has an id, with their place and digest."""
-    part = re.compile(_PARTS[by])
+    part = re.compile(_PARTS[by]) if by != "passage" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
         for batch in batches_of(batches, 8 << 20):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if doc is None or not text:
                     continue
-                for i, (a, b) in enumerate(places(text, part)):
+                for i, (a, b) in enumerate(places(text, part) if part else passages(text, memo)):
                     n, high, low = _digest(text[a:b])
                     if n >= min_words:
                         rows.append((doc, i, a, b - a, high, low))

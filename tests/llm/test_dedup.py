@@ -269,6 +269,34 @@ def test_units_cut(documents, rows):
     assert got.columns == [*documents.columns, "removed"]
 
 
+def test_passages_inside_lines(spark):
+    """A run of 60 words shared inside longer lines, broken into lines elsewhere, with a changed word: all but its ends."""
+    rng = np.random.default_rng(6)
+    own = lambda n: [f"u{i}" for i in rng.integers(0, 10 ** 9, n)]
+    shared = own(60)
+    other = [*shared[:30], "changed", *shared[31:]]
+    texts = [" ".join(own(40) + shared + own(40)), " ".join(own(33)) + "  é " + " ".join(shared).upper() + " " + " ".join(own(7)),
+             "\n".join(shared[i:i + 7] and " ".join(shared[i:i + 7]) for i in range(0, 60, 7)) + "\n" + " ".join(own(20)), " ".join(own(9) + other + own(9)), " ".join(own(50))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    assert unit_hashes.repeats(docs, "line").collect() == []
+    words = defaultdict(set)
+    for r in unit_hashes.repeats(docs, "passage").collect():
+        unit = texts[r.doc_id][r.start:r.start + r.n_chars].lower().split()
+        assert len(unit) >= unit_hashes.MIN_WORDS and r.first_doc_id < r.doc_id
+        assert " ".join(unit) in " ".join(texts[r.first_doc_id].lower().split())
+        words[r.doc_id] |= set(unit)
+    assert {d: w <= set(shared) for d, w in words.items()} == {1: True, 2: True, 3: True}
+    assert len(words[1]) >= 35 and len(words[2]) >= 35 and len(words[3]) >= 15
+
+
+def test_passages_part_a_text(documents, rows):
+    got = {(r.doc_id, r.unit): r for r in unit_hashes.units(documents, "passage", 0).collect()}
+    for r in rows:
+        if r["doc_id"] is not None:
+            mine = sorted((u for (d, _), u in got.items() if d == r["doc_id"]), key=lambda u: u.unit)
+            assert [w for u in mine for w in lower_words(r["text"][u.start:u.start + u.n_chars])] == lower_words(r["text"])
+
+
 def test_no_units(nothing):
     assert unit_hashes.repeats(nothing).collect() == []
     assert unit_hashes.cleaned(nothing).collect() == []
