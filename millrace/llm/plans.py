@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import adaptive_rules, bottom_k, id_files, line_spread, max_plus, pitman_yor, spaced_seeds, toxicity, unit_hashes, url_models
+from millrace.llm import adaptive_rules, bottom_k, content_sort, filter_audit, fim_frames, id_files, line_spread, max_plus, pitman_yor, spaced_seeds, toxicity, unit_hashes, url_models
 from millrace.llm.registry import query
 from millrace.session import scratch
 from millrace.sources.tables import table
@@ -174,3 +174,73 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents linked by 85 % similarity of their five-word shingles."""
     return bottom_k.linked(table(spark, sf_dir, "documents"), 85, 5)
+
+
+AUDIT_SQL = f"""
+    WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {WORD_SQL}) AS ws FROM documents),
+    m AS (SELECT doc_id, part, [
+            CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END,
+            CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END,
+            CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END,
+            CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+            CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END] AS fails FROM w),
+    f AS (SELECT part, array_to_string(fails, '') AS fails, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+                 doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS bad FROM m),
+    c AS (SELECT part, fails, good, bad, count(*) AS n FROM f GROUP BY ALL),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+          WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+    s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier FROM o, range(1, 6) r(step)),
+    j AS (SELECT part, filter_order, step, own, good, bad, n, fails = own AS only_own, contains(fails, own) AS failing,
+                 length(translate(earlier, fails, '')) < length(earlier) AS gone FROM c, s),
+    g AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT failing AND NOT gone THEN n ELSE 0 END) AS kept,
+                 sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+                 sum(CASE WHEN only_own THEN n ELSE 0 END) AS unique_fails,
+                 sum(CASE WHEN failing AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+                 sum(CASE WHEN failing AND NOT gone AND bad THEN n ELSE 0 END) AS toxic_lost
+          FROM j GROUP BY ALL)
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+           CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of each of their 120 orders, per language."""
+    documents = filter_audit.stream(spark, f"{sf_dir}/documents.parquet")
+    return filter_audit.report(filter_audit.counters(documents, table(spark, sf_dir, "labels")))
+
+
+@query("op12_content_sort", r"""
+    WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+    g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+                 row_number() OVER (PARTITION BY t ORDER BY doc_id) AS nth FROM n)
+    SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(t) AS text_sha256 FROM g""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's group of equal texts, and the one of the group that stays."""
+    return content_sort.classes(table(spark, sf_dir, "documents"))
+
+
+# Markers, forms and the digits drawn are fixed values.
+@query("op13_fim_frames", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                      sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+    h AS (SELECT doc_id, t, u, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+    p AS (SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+                 coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM c)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                            ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's order of parts, and checksums of the output and of the text rebuilt from it."""
+    store, output = scratch(spark, "fim-store"), scratch(spark, "fim-output")
+    fim_frames.stored(table(spark, sf_dir, "documents")).write.parquet(store)
+    fim_frames.transformed(spark.read.parquet(store)).write.parquet(output)
+    return fim_frames.digests(spark.read.parquet(output))

@@ -33,7 +33,7 @@ def test_matches_sql(spark, sf, con, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_url_rules(spark, sf, con):
