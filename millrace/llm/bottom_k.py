@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import WordHashes, batches_of, hashed, lists, mixed, shingles, texts, words
+from millrace.llm.words import WordHashes, batches_of, hashed, lists, mixed, shingles, texts, tidied, words
 from millrace.session import scratch
 
 K = 256
@@ -65,7 +65,7 @@ def signatures(documents: DataFrame, width: int = 5) -> DataFrame:
                 pa.array([_digest(s) for s in sets], pa.binary()), lists([s[:FIRST] for s in sets], pa.int64()),
             ], names=["doc_id", "n_shingles", "digest", "first"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNATURE)
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), SIGNATURE)
 
 
 def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
@@ -78,7 +78,7 @@ def sketches(documents: DataFrame, width: int = 5) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), lists(kept, pa.int64())], names=["doc", "n", "sketch"])
 
-    return documents.mapInArrow(run, SKETCH)
+    return documents.mapInArrow(tidied(run), SKETCH)
 
 
 def _texts_of(documents: DataFrame, ids: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def _full_sets(documents: DataFrame, width: int) -> DataFrame:
             sets = [shingles(hashed(words(t), memo), width) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists(sets, pa.int64())], names=["_id", "_set"])
 
-    return documents.mapInArrow(run, "_id BIGINT, _set ARRAY<BIGINT>")
+    return documents.mapInArrow(tidied(run), "_id BIGINT, _set ARRAY<BIGINT>")
 
 
 def least(k: int, percent: int) -> int:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.words import batches_of
+from millrace.llm.words import batches_of, tidied
 from millrace.session import scratch
 
 HEAD = 64  # bytes of a text that a splitter may hold
@@ -146,7 +146,7 @@ def classes(documents: DataFrame, ranges: int | None = None) -> DataFrame:
     """
     spark = documents.sparkSession
     path = scratch(spark, "sorted")
-    _ordered(documents, ranges).mapInArrow(_marked, ROWS).write.parquet(path)
+    _ordered(documents, ranges).mapInArrow(tidied(_marked), ROWS).write.parquet(path)
     rows = spark.read.parquet(path)
     ends = scratch(spark, "sorted-ends")
     _joined_ends(rows).write.parquet(ends)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.llm.words import batches_of, texts
+from millrace.llm.words import batches_of, texts, tidied
 from millrace.session import ROCKSDB, scratch
 
 LETTERS = "ABCDE"
@@ -78,7 +78,7 @@ def marked(documents: DataFrame, part: str = "lang") -> DataFrame:
     return documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"),
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.col("text").cast("string").alias("text"),
-    ).mapInArrow(run, MARKED)
+    ).mapInArrow(tidied(run), MARKED)
 
 
 def flags(labels: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def folded(rows: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return rows.mapInArrow(run, FOLDED)
+    return rows.mapInArrow(tidied(run), FOLDED)
 
 
 class Firsts(StatefulProcessor):

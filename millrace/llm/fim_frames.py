@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import batches_of
+from millrace.llm.words import batches_of, tidied
 
 FRAME = 1 << 16  # bytes of text in a frame, but for a character at its end
 LEVEL = 3
@@ -173,7 +173,7 @@ def stored(documents: DataFrame, unit: str = "line", frame: int = FRAME) -> Data
                 rows.append((out.units + kind.last(whole), out.chars, any(m in whole for m in MARKERS), out.rows))
             yield _batch(STORED, batch.column("doc_id"), rows, (pa.int64(), pa.int64(), pa.bool_()))
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, STORED)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), STORED)
 
 
 def _batch(schema: str, ids: pa.Array, rows: list[tuple], kinds: Sequence[pa.DataType]) -> pa.RecordBatch:
@@ -220,7 +220,7 @@ def transformed(store: DataFrame, seed: int = 7, percent: int = 100, spm_percent
                 rows.append((r["n"], r["form"], a[2], b[2] - a[2], out.rows))
             yield _batch(OUTPUT, batch.column("doc_id"), rows, (pa.int64(), pa.string(), pa.int64(), pa.int64()))
 
-    return chosen.mapInArrow(run, OUTPUT)
+    return chosen.mapInArrow(tidied(run), OUTPUT)
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -285,7 +285,7 @@ def digests(output: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, *map(pa.array, shas)], names=[*kept.schema.names, "output_sha256", "restored_sha256"])
 
-    return output.mapInArrow(run, schema)
+    return output.mapInArrow(tidied(run), schema)
 
 
 def restored(output: DataFrame) -> DataFrame:
@@ -308,4 +308,4 @@ def _texts(framed: DataFrame, parts, columns: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [one.column("doc_id"), pa.array([raw], pa.large_binary()).cast(pa.large_string())], names=["doc_id", "text"])
 
-    return framed.select(*columns).mapInArrow(run, "doc_id BIGINT, text STRING")
+    return framed.select(*columns).mapInArrow(tidied(run), "doc_id BIGINT, text STRING")

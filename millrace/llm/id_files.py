@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.range_coder import packed, unpacked
-from millrace.llm.words import batches_of
+from millrace.llm.words import batches_of, tidied
 
 FILE_IDS = 1 << 22
 TEXT_BYTES = 1 << 20  # given to the tokenizer at once
@@ -96,7 +96,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end: int = 2) -> Da
             yield close()
 
     ordered = documents.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(run, "file STRING, docs BIGINT, ids BIGINT")
+    return ordered.mapInArrow(tidied(run), "file STRING, docs BIGINT, ids BIGINT")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,7 +117,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(docs[a:b], pa.int64()), lists.cast(pa.list_(pa.int64()))], names=["file", "at", "doc_id", "ids"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.ids").load(folder).select("path", "content")
-    return files.mapInArrow(run, "file STRING, at BIGINT, doc_id BIGINT, ids ARRAY<BIGINT>")
+    return files.mapInArrow(tidied(run), "file STRING, at BIGINT, doc_id BIGINT, ids ARRAY<BIGINT>")
 
 
 def summaries(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,7 +135,7 @@ def summaries(spark: SparkSession, folder: str) -> DataFrame:
                     names=["file", "at", "doc_id", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.ids").load(folder).select("path", "content")
-    return files.mapInArrow(run, "file STRING, at BIGINT, doc_id BIGINT, n_tokens BIGINT, ids_crc32 BIGINT")
+    return files.mapInArrow(tidied(run), "file STRING, at BIGINT, doc_id BIGINT, n_tokens BIGINT, ids_crc32 BIGINT")
 
 
 def starts(found: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import batches_of, lists
+from millrace.llm.words import batches_of, lists, tidied
 from millrace.session import scratch
 
 CHUNK = 16_384
@@ -281,7 +281,7 @@ def _chunks(documents: DataFrame, size: int) -> DataFrame:
                 row += 1
             yield _batch(out, CHUNKS)
 
-    return documents.mapInArrow(run, CHUNKS)
+    return documents.mapInArrow(tidied(run), CHUNKS)
 
 
 _KINDS = {"BIGINT": pa.int64(), "INT": pa.int32(), "STRING": pa.string(), "DOUBLE": pa.float64(), "BINARY": pa.binary(), "ARRAY<DOUBLE>": pa.list_(pa.float64())}
@@ -300,7 +300,7 @@ def _matrices(chunks: DataFrame, path: str) -> DataFrame:
             rows = [(r["row"], r["chunk"], encoder.matrix(r["text"], r["ahead"]).tobytes()) for r in batch.to_pylist()]
             yield _batch(rows, "row BIGINT, node INT, matrix BINARY")
 
-    return chunks.mapInArrow(run, "row BIGINT, node INT, matrix BINARY")
+    return chunks.mapInArrow(tidied(run), "row BIGINT, node INT, matrix BINARY")
 
 
 def _square(raw: bytes) -> np.ndarray:
@@ -401,8 +401,8 @@ def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     last = chunks.agg(F.max("chunk")).first()[0] or 0
     states = cut_states(_matrices(chunks, model), longest, last).withColumnRenamed("node", "chunk")
     # ``whole`` is a constant of each side, so a reader of one side does not run the other.
-    return rows.where(~long_).mapInArrow(whole, ENCODED).withColumn("whole", F.lit(True)).unionByName(
-        chunks.join(states, ["row", "chunk"]).mapInArrow(part, ENCODED).withColumn("whole", F.lit(False)))
+    return rows.where(~long_).mapInArrow(tidied(whole), ENCODED).withColumn("whole", F.lit(True)).unionByName(
+        chunks.join(states, ["row", "chunk"]).mapInArrow(tidied(part), ENCODED).withColumn("whole", F.lit(False)))
 
 
 def decoded(encodings: DataFrame, model: str) -> DataFrame:
@@ -425,9 +425,9 @@ def decoded(encodings: DataFrame, model: str) -> DataFrame:
                 names=["row", "doc_id", "chunks", "chunk", "score", "n_pieces", "part"])
 
     text = F.decode(F.col("part"), "UTF-8")
-    alone = encodings.where("whole").select(*COLUMNS).mapInArrow(run, schema).select("doc_id", text.alias("text"), "n_pieces", "chunks", "score")
+    alone = encodings.where("whole").select(*COLUMNS).mapInArrow(tidied(run), schema).select("doc_id", text.alias("text"), "n_pieces", "chunks", "score")
     ordered = F.sort_array(F.collect_list(F.struct("chunk", "part")))["part"]
-    parts = encodings.where("NOT whole").select(*COLUMNS).mapInArrow(run, schema)
+    parts = encodings.where("NOT whole").select(*COLUMNS).mapInArrow(tidied(run), schema)
     joined = parts.groupBy("row", "doc_id").agg(
         ordered.alias("parts"), F.sum("n_pieces").alias("n_pieces"), F.max("chunks").alias("chunks"), F.sum("score").alias("score"))
     joined = joined.select("doc_id", F.decode(F.aggregate("parts", F.lit(b""), lambda a, b: F.concat(a, b)), "UTF-8").alias("text"), "n_pieces", "chunks", "score")

@@ -14,6 +14,7 @@ from millrace.sources.tables import table
 MIN_SITES = 10
 OVERLAP_TOKENS = 13
 OVERLAP_PERCENT = 80
+REPEATED_WORDS = 50
 
 
 def fold(n: int):
@@ -69,12 +70,10 @@ BLANKS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     k AS (SELECT *, trim(line, {BLANKS_SQL}) AS bare FROM l),
     b AS (SELECT bare FROM k WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= {MIN_SITES}),
     m AS (SELECT k.*, b.bare IS NOT NULL AS known FROM k LEFT JOIN b USING (bare)),
-    d AS (SELECT doc_id, coalesce(sum(length(bare)) FILTER (known), 0) AS cut, coalesce(sum(length(bare)) FILTER (NOT known), 0) AS rest,
-                 count(*) FILTER (known) AS n,
+    d AS (SELECT doc_id, count(*) FILTER (known) AS n,
                  coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT known), '') AS left_text
           FROM m GROUP BY doc_id)
-    SELECT doc_id, CASE WHEN cut > rest THEN 0 ELSE coalesce(n, 0) END AS removed_lines,
-           CASE WHEN cut > rest OR n = 0 OR n IS NULL THEN md5(text) ELSE md5(left_text) END AS text_md5
+    SELECT doc_id, coalesce(n, 0) AS removed_lines, CASE WHEN coalesce(n, 0) = 0 THEN md5(text) ELSE md5(left_text) END AS text_md5
     FROM raw LEFT JOIN d USING (doc_id)""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines cut from each document, and the checksum of the text left."""
@@ -147,7 +146,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), OVERLAP_TOKENS, OVERLAP_PERCENT)
 
 
-@query("op9_unit_hashes", f"""
+@query("op9_lines", f"""
     WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
     l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS unit FROM raw),
     p AS (SELECT *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORD_SQL}) AS ws,
@@ -157,17 +156,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
           WINDOW win AS (PARTITION BY norm ORDER BY doc_id, unit))
     SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(start AS BIGINT) AS start, CAST(n_chars AS BIGINT) AS n_chars, first_doc_id, CAST(first_unit AS INTEGER) AS first_unit
     FROM f WHERE doc_id <> first_doc_id OR unit <> first_unit""")
-def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines that repeat an earlier one, with their places in the text as it was."""
     return unit_hashes.repeats(table(spark, sf_dir, "documents"), "line")
 
 
-@query("op9_passages")
-def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines and the passages, inside lines or over several, that repeat an earlier one."""
-    documents = table(spark, sf_dir, "documents")
-    found = [unit_hashes.repeats(documents, by).withColumn("by", F.lit(by)) for by in ("line", "passage")]
-    return found[0].unionByName(found[1])
+@query("op9_unit_hashes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of about 50 words or more that repeat an earlier one, inside lines or over several."""
+    return unit_hashes.runs(table(spark, sf_dir, "documents"), REPEATED_WORDS)
 
 
 @query("op10_bottom_k")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import WordHashes, batches_of, hashed, lists, mixed, run_hashes, texts, words
+from millrace.llm.words import WordHashes, batches_of, hashed, lists, mixed, run_hashes, texts, tidied, words
 from millrace.session import scratch
 
 # Places of a span of 7 to 11 tokens that each mask reads: six of them, spread so that no overlap misses all masks.
@@ -85,7 +85,7 @@ def item_seeds(items: DataFrame, percent: int = 80) -> DataFrame:
                 lists([r[2].astype(np.int32) for r in out], pa.int32()), lists([r[3].view(np.int64) for r in out], pa.int64()),
             ], names=["item_id", "tokens", "at", "hash"])
 
-    return items.select(F.col("item_id").cast("long"), "text").mapInArrow(run, SEEDS)
+    return items.select(F.col("item_id").cast("long"), "text").mapInArrow(tidied(run), SEEDS)
 
 
 def _bits(hashes: np.ndarray) -> list[np.ndarray]:
@@ -106,7 +106,7 @@ def _filter(seeds: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(set_, pa.int64())], names=["bit"])
 
     bits = np.zeros(FILTER_BITS, bool)
-    found = seeds.select("hash").mapInArrow(run, "bit BIGINT").distinct()
+    found = seeds.select("hash").mapInArrow(tidied(run), "bit BIGINT").distinct()
     for batch in found.groupBy(F.floor(F.col("bit") / 65536).alias("part")).agg(F.collect_list("bit").alias("bits")).toLocalIterator():
         bits[batch.bits] = True
     return np.packbits(bits)
@@ -149,7 +149,7 @@ def _stretches(documents: DataFrame, packed: np.ndarray, lengths: list[int], per
                 lists([r[3] for r in out], pa.int64()), lists([r[4] for r in out], pa.int32()), lists([r[5] for r in out], pa.int64()),
             ], names=["doc_id", "offset", "n_tokens", "tokens", "at", "hash"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, STRETCHES)
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidied(run), STRETCHES)
 
 
 def longest_overlap(equal: np.ndarray, least: int, percent: int) -> tuple[int, int] | None:
@@ -220,7 +220,7 @@ def overlaps(documents: DataFrame, items: DataFrame, min_tokens: int = 13, perce
                 [pa.array([x[i] for x in rows], pa.int64()) for i in range(5)],
                 names=["doc_id", "item_id", "start", "n_tokens", "n_equal"])
 
-    checked = joined.mapInArrow(run, "doc_id BIGINT, item_id BIGINT, start BIGINT, n_tokens BIGINT, n_equal BIGINT")
+    checked = joined.mapInArrow(tidied(run), "doc_id BIGINT, item_id BIGINT, start BIGINT, n_tokens BIGINT, n_equal BIGINT")
     best = checked.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_tokens", (-F.col("start")).alias("s"), "n_equal")).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.s")).alias("start"), "best.n_tokens", "best.n_equal")
 

@@ -6,13 +6,15 @@ lower-cased. Both are what ``bytes.lower`` and ``bytes.split`` do.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-MEMO_WORDS = 300_000  # words whose hash a task remembers; beyond it the memory starts anew
+MEMO_WORDS = 150_000  # words whose hash a task remembers; beyond it the memory starts anew
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
@@ -81,3 +83,20 @@ def batches_of(found: Iterator[pa.RecordBatch], most_bytes: int = 32 << 20) -> I
         step = max(1, -(-batch.num_rows // parts))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidied(run: Task) -> Task:
+    """``run``, giving back what it took when its task ends: the same worker serves later tasks, or waits for some."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+                trim(0)
+
+    return tidy

@@ -1,11 +1,12 @@
 """Line spread, near duplicates, decontamination and unit hashing against brute force."""
 
 import itertools
+import random
 from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import lower_words
+from conftest import lower_words, prose
 
 import corpus_pipeline
 from millrace.llm import bottom_k, line_spread, spaced_seeds, unit_hashes
@@ -22,9 +23,7 @@ def test_boilerplate_lines(documents, rows):
 
     def expected(text):
         lines = (text or "").split("\n")
-        cut = sum(len(x.strip()) for x in lines if x.strip() in known)
-        rest = sum(len(x.strip()) for x in lines if x.strip() not in known)
-        return text if not cut or cut > rest else "\n".join(x for x in lines if x.strip() not in known)
+        return "\n".join(x for x in lines if x.strip() not in known) if known & {x.strip() for x in lines} else text
 
     for most in (line_spread.MOST_BROADCAST, 0):  # both ways of reaching the texts
         got = line_spread.cleaned(documents, 4, most_broadcast=most)
@@ -41,7 +40,7 @@ def test_every_boilerplate_line_is_cut(spark, most):
     data = [(i, f"own text {i} {'of some length ' * 9}\n{long}", f"s{i}", 0) for i in range(4)]
     data += [(4, f"short\n{long}", "s4", 0), (5, long, "s5", 0), (6, f"{long}\n\n{long}", "s5", 0), (7, "short\nowned", "s5", 0)]
     docs = spark.createDataFrame(data, "doc_id BIGINT, text STRING, source STRING, n_chars BIGINT")
-    got = {r.doc_id: (r.text, r.removed_lines) for r in line_spread.cleaned(docs, 4, most_broadcast=most, spare_copies=False).collect()}
+    got = {r.doc_id: (r.text, r.removed_lines) for r in line_spread.cleaned(docs, 4, most_broadcast=most).collect()}
     assert got == {i: (t[:-len(long) - 1], 1) for i, t, _, _ in data[:4]} | {4: ("short", 1), 5: ("", 1), 6: ("", 2), 7: ("short\nowned", 0)}
 
 
@@ -297,6 +296,62 @@ def test_passages_part_a_text(documents, rows):
             assert [w for u in mine for w in lower_words(r["text"][u.start:u.start + u.n_chars])] == lower_words(r["text"])
 
 
+def longest_repeats(texts, inside):
+    """For each id, the most words in a row that an earlier text, or with ``inside`` the same one before, holds too; runs of ten words and more."""
+    seen, out = set(), {}
+    for i in sorted(texts):
+        words = lower_words(texts[i])
+        grams = [tuple(words[k:k + 10]) for k in range(len(words) - 9)]
+        run = best = 0
+        for g in grams:
+            run = run + 1 if g in seen else 0
+            best = max(best, run + 9 if run else 0)
+            if inside:
+                seen.add(g)
+        seen.update(grams)
+        out[i] = best
+    return out
+
+
+def test_runs_against_all_word_runs(spark):
+    """On the given texts: all repeats of 50 words across documents are found, texts without a repeat of 30 words are left alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    found = {}
+    for r in unit_hashes.runs(docs).collect():
+        span = texts[r.doc_id][r.start:r.start + r.n_chars]
+        assert len(lower_words(span)) == r.n_words and (r.first_doc_id, r.first_start) < (r.doc_id, r.start)
+        found[r.doc_id] = max(found.get(r.doc_id, 0), r.n_words)
+    want = {i for i, n in longest_repeats(texts, False).items() if n >= 50}
+    assert len(want) > 50 and len(want & set(found)) >= 0.98 * len(want)
+    longest = longest_repeats(texts, True)
+    assert all(longest[i] >= 30 for i in found)
+
+
+def test_planted_runs(spark):
+    """Passages across lines and inside them, with other line ends and case; boilerplate lines and short repeats are no runs."""
+    rng = random.Random(4)
+    passage = [prose(rng, n, 10 ** 6) for n in (55, 60, 80, 200)]
+    texts = {}
+    for i in range(160):
+        own = [prose(rng, rng.randint(20, 60), 10 ** 6) for _ in range(3)]
+        if i % 2:
+            own.insert(rng.randrange(4), passage[i // 2 % 4].replace(" ", "\n" if i % 3 else "  ", 7).upper())
+        texts[i] = "\n".join([*own, "All rights reserved by the owners of this site and of others"]) if i % 5 else " ".join(own)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING").repartition(4)
+    found = {r.doc_id for r in unit_hashes.runs(docs).collect()}
+    assert found <= {i for i in texts if i % 2 and i > 7}
+    assert len(found) >= 0.97 * len([i for i in texts if i % 2 and i > 7])
+
+
+def test_hot_digest(spark):
+    """A unit that most rows hold is joined apart from the others."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "CASE WHEN id % 4 = 0 THEN concat('only here number ', id, ' and so on') ELSE 'the same line in all of them' END AS text")
+    found = unit_hashes.repeats(docs).collect()
+    assert {r.doc_id for r in found} == {i for i in range(400) if i % 4} - {1} and {r.first_doc_id for r in found} == {1}
+
+
 def test_no_units(nothing):
     assert unit_hashes.repeats(nothing).collect() == []
     assert unit_hashes.cleaned(nothing).collect() == []
+    assert unit_hashes.runs(nothing).collect() == []
