@@ -1,6 +1,9 @@
 """Training-data pipeline: toxic texts go, boilerplate lines go, copies go, benchmark leaks go, ids are made.
 
 Each stage works on all rows its predecessor kept and returns the columns of ``documents``; the last returns ids.
+Null and empty texts go through: they are not toxic unless a text without words is, hold no lines, have no copies and
+overlap with nothing, and give no ids. Null ids stay, but for near copies, where they are linked with nothing. Rows that repeat an id are copies, so
+one stays. An empty table gives an empty table. Other columns pass, also those named like a stage's own.
 """
 
 from __future__ import annotations
@@ -14,17 +17,22 @@ from millrace.session import scratch
 from millrace.sources.tables import table
 
 
+CUT = "_pipeline_cut_lines"
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below their language's threshold."""
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"), plans.fold(4) != 2)
-    return toxicity.scored(docs, model).where("NOT toxic").select(*docs.columns)
+    return toxicity.clean(docs, model)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sites show; ``n_chars`` follows the text."""
-    cut = line_spread.cleaned(docs, plans.MIN_SITES, spare_copies=False)
-    chars = F.when(F.col("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return cut.withColumn("n_chars", chars).select(*docs.columns)
+    """Documents without the lines that many sites show; ``n_chars``, if there is one, follows the text."""
+    cut = line_spread.cleaned(docs, plans.MIN_SITES, count=CUT)
+    if "n_chars" in docs.columns:
+        chars = F.when(F.col(CUT) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
+    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
