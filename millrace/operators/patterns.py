@@ -44,7 +44,7 @@ def with_follower(
     """
     kinds = df.where(start | then).withColumn("_start", start).withColumn("_at", F.when(then, F.col(order[0])))
     rows = scan.keyed_scan(
-        kinds, [key], order, scan.running_last("next_ts", F.col("_at"), inclusive=False), reverse=True, **kw
+        kinds, [key], order, scan.running_last("next_ts", F.col("_at"), inclusive=False), reverse=True, bound=df, **kw
     )
     return rows.where("_start").drop("_start", "_at")
 

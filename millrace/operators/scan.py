@@ -4,17 +4,19 @@
 table. :func:`keyed_scan` gives the same rows, but first cuts any key that is too big into
 chunks of its order:
 
-1. one pass counts rows per key and, by the same map-side combined aggregate, picks a sample of
-   their order columns by hash; the keys above ``hot_rows`` get cut points from their sample. The
-   choice moves work between tasks and never changes a result;
-2. each row of a hot key is given its chunk: the join adds a number to the row, and the search looks
-   into the one array that holds all cut points, which no row carries;
+1. the rows are counted, which for a stored table reads no column: if they are not above ``hot_rows``, no key is.
+   Otherwise a count-min sketch of ``BUCKETS`` counters, by hash of the key, rules out the keys of all small counters, and
+   the others are counted exactly. Hot keys get cut points from a sample of their order columns, picked by
+   hash. The choice moves work between tasks and never changes a result;
+2. each row of a hot key is given its chunk: the key's range is parted into equal steps, and a second join says how many
+   cuts lie before the row's step and which in it, mostly one or none; a row carries only those;
 3. aggregate each (key, chunk), and carry the aggregate of the earlier chunks forward;
 4. run the window inside each (key, chunk) and merge the carry into its result.
 
 There is a cut point for about every ``hot_rows`` rows of a hot key, and ``MAX_CUTS`` in all; beyond that
 chunks grow with the input. So the cuts and the carries, the only broadcast tables, are bounded.
-Keys below ``hot_rows`` are one chunk and carry nothing.
+Keys below ``hot_rows`` are one chunk and carry nothing. Without a key the sample is ``SAMPLES_PER_CUT`` rows a
+cut, whatever the input, since its share follows from the count of rows.
 """
 
 from __future__ import annotations
@@ -28,13 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_ROWS = 4_000_000  # rows of one key that one task may hold
-SAMPLES_PER_CUT = 16
-SAMPLE_STEP = 1024  # without a key, one row in so many is a candidate for a cut
+SAMPLES_PER_CUT = 32
+CHUNK_ROWS = 1000  # without a key: rows that are worth a task of their own
 MAX_CUTS = 65_536
+BUCKETS = 65_536  # counters of the sketch of keys
+STEPS_PER_CUT = 2
 
 CHUNK = "_chunk"
-_SLOT = "_slot"
-_POINTS = "_points"
+_SLOT = "_scan_slot"
+_SLOT_COLUMNS = (_SLOT, "_scan_low", "_scan_scale", "_scan_steps")
+_STEP_COLUMNS = ("_scan_of", "_scan_nth", "_scan_first", "_scan_within")
 _UNBOUNDED = Window.unboundedPreceding
 
 
@@ -170,53 +175,132 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
 
 @dataclass(frozen=True)
 class Cuts:
-    """Cut points of hot keys: ``slots`` numbers the keys, ``points`` is one row with all of them by number."""
+    """Cut points of hot keys: ``slots`` numbers the keys and gives the steps of their ranges, ``steps`` has the cuts by slot and step.
+
+    Without a key there is one slot, and ``whole`` has its steps: start, steps per unit and number.
+    """
 
     slots: DataFrame
-    points: DataFrame
-    longest: int
+    steps: DataFrame
+    whole: tuple[float, float, int]
 
 
-def cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> Cuts | None:
+def cut_points(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None, bound: DataFrame | None = None
+) -> Cuts | None:
     """Cut points of the hot keys; None when no key needs cutting.
 
-    Runs one pass over the key and order columns. Give the result to :func:`keyed_scan` as ``cuts``
+    ``bound`` is a table with no fewer rows that is cheaper to count. Give the result to :func:`keyed_scan` as ``cuts``
     when several scans go over the same rows.
     """
-    spark = df.sparkSession
     limit = hot_rows or HOT_ROWS
-    step = max(1, limit // SAMPLES_PER_CUT)
-    if not keys:
-        step = min(step, SAMPLE_STEP)
-    picked = F.when(F.pmod(F.xxhash64(*order), F.lit(step)) == 0, F.struct(_position(order).alias("at")))
-    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    least = limit if keys else min(limit, CHUNK_ROWS)
+    if bound is not None and bound.count() <= least:
+        return None
+    total = df.count()
+    if total <= least:
+        return None
+    rows = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], _position(order).alias("_at"), _leading(df, order[0]).alias("_lead"))
     names = [f"_k{i}" for i in range(len(keys))]
-    counts = df.groupBy(*named, picked.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
-    per_key = counts.groupBy(*names).agg(
-        F.sum("_n").alias("_n"), F.sort_array(F.collect_list(F.col("_at.at"))).alias("_points"))
-    hot = per_key.where(F.col("_n") > limit) if keys else per_key.where(F.col("_n") > 0)
+    return _keyed_cuts(rows, names, total, limit) if keys else _global_cuts(rows, total, limit)
+
+
+def _keyed_cuts(rows: DataFrame, names: Sequence[str], total: int, limit: int) -> Cuts | None:
+    spark = rows.sparkSession
+    # A counter holds total / BUCKETS rows of small keys; one key must stand out from that.
+    limit = max(limit, 4 * total // BUCKETS)
+    bucket = F.pmod(F.xxhash64(*names), F.lit(BUCKETS))
+    full = rows.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    full = [r["_b"] for r in full.select("_b").collect()]  # less than a quarter of BUCKETS
+    if not full:
+        return None
+    step = max(1, limit // SAMPLES_PER_CUT)
+    buckets = spark.createDataFrame([(b,) for b in full], "_full BIGINT")
+    possible = rows.withColumn("_b", bucket).join(F.broadcast(buckets), F.col("_b") == F.col("_full"), "left_semi")
+    picked = F.when(F.pmod(F.xxhash64("_at"), F.lit(step)) == 0, F.struct("_at", "_lead"))
+    counts = possible.groupBy(*names, picked.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.groupBy(*names).agg(F.sum("_n").alias("_n"), F.sort_array(F.collect_list("_p")).alias("_points")).where(F.col("_n") > limit)
     thin = max(1, limit // step)
-    if not keys:
-        # As many chunks as there are tasks at least, if the sample is fine enough.
-        wanted = F.greatest(F.lit(1), F.least(F.lit(thin), F.ceil(F.col("_n") / (step * max(1, spark.sparkContext.defaultParallelism)))))
-        hot = hot.withColumn("_thin", wanted.cast("int"))
-    else:
-        hot = hot.withColumn("_thin", F.lit(thin))
-    hot = hot.select(*names, F.filter("_points", lambda x, i: (i % F.col("_thin")) == F.col("_thin") - 1).alias("_points"))
-    # One list of a point per hot_rows rows; a local copy keeps the cuts the same for every reader.
-    found = [r for r in hot.collect() if r["_points"]]
-    total = sum(len(r["_points"]) for r in found)
+    found = hot.select(*names, F.filter("_points", lambda x, i: (i % thin) == thin - 1).alias("_points"))
+    # A point per hot_rows rows; a local copy keeps the cuts the same for every reader.
+    return _cuts(found, [r for r in found.collect() if r["_points"]])
+
+
+def _global_cuts(rows: DataFrame, total: int, limit: int) -> Cuts | None:
+    """Cuts of the whole table, from a sample that is the same size for any table."""
+    tasks = max(1, rows.sparkSession.sparkContext.defaultParallelism)
+    size = min(limit, max(CHUNK_ROWS, total // tasks))
+    wanted = min(-(-total // size), MAX_CUTS)
+    step = max(1, total // (wanted * SAMPLES_PER_CUT))
+    sample = rows.where(F.pmod(F.xxhash64("_at"), F.lit(step)) == 0)
+    nth = F.row_number().over(Window.orderBy("_at"))  # SAMPLES_PER_CUT rows a cut
+    every = max(1, total // (step * wanted))
+    kept = sample.withColumn("_nth", nth).where(F.col("_nth") % every == 0).orderBy("_at")
+    points = [r["_p"] for r in kept.select(F.struct("_at", "_lead").alias("_p")).collect()]
+    kind = T.StructType([T.StructField("_points", T.ArrayType(kept.select(F.struct("_at", "_lead").alias("_p")).schema["_p"].dataType))])
+    return _cuts(rows.sparkSession.createDataFrame([], kind), [(points,)]) if points else None
+
+
+def _cuts(shape: DataFrame, found: list) -> Cuts | None:
+    """The tables of cuts from rows of keys and sorted points; ``shape`` has their columns."""
+    spark = shape.sparkSession
     if not found:
         return None
-    every = -(-total // MAX_CUTS)
-    points = [r["_points"][every - 1::every] for r in found]
-    keys_schema = T.StructType([*hot.schema.fields[:-1], T.StructField(_SLOT, T.IntegerType())])
-    points_schema = T.StructType([T.StructField("_points", T.ArrayType(hot.schema["_points"].dataType))])
+    every = -(-sum(len(r[-1]) for r in found) // MAX_CUTS)
+    slots, steps = [], []
+    for slot, r in enumerate(found):
+        points = r[-1][every - 1::every]
+        low, scale, n = _steps([p["_lead"] for p in points])
+        slots.append((*r[:-1], slot, low, scale, n))
+        places, first = [_step(p["_lead"], low, scale, n) for p in points], 0
+        for step in range(n + 2):
+            last = first
+            while last < len(points) and places[last] == step:
+                last += 1
+            steps.append((slot, step, first, [p["_at"] for p in points[first:last]]))
+            first = last
+    number, real = T.IntegerType(), T.DoubleType()
+    at = shape.schema["_points"].dataType.elementType["_at"].dataType
+    slot_schema = T.StructType([*shape.schema.fields[:-1], *[T.StructField(n, t) for n, t in zip(_SLOT_COLUMNS, (number, real, real, number))]])
+    step_schema = T.StructType([T.StructField(n, t) for n, t in zip(_STEP_COLUMNS, (number, number, number, T.ArrayType(at)))])
     return Cuts(
-        spark.createDataFrame([(*r[:-1], i) for i, r in enumerate(found)], keys_schema),
-        spark.createDataFrame([(points,)], points_schema),
-        max(map(len, points)),
-    )
+        spark.createDataFrame(slots, slot_schema, verifySchema=False), spark.createDataFrame(steps, step_schema, verifySchema=False),
+        slots[0][-3:])
+
+
+def _steps(leads: Sequence[float | None]) -> tuple[float, float, int]:
+    """Equal steps over the range of some sorted values: start, steps per unit and number."""
+    known = [x for x in leads if x is not None and abs(x) < float("inf")]
+    low, high = (known[0], known[-1]) if known else (0.0, 0.0)
+    n = STEPS_PER_CUT * max(1, len(leads))
+    return low, n / (high - low) if high > low and n / (high - low) < float("inf") else 0.0, n
+
+
+def _step(x: float | None, low: float, scale: float, n: int) -> int:
+    """The same as in :func:`_with_chunks`: 0 below the range, 1 to n in it, n + 1 at its end and above."""
+    if x is None or x < low:
+        return 0
+    place = (x - low) * scale if x < float("inf") else float("inf")
+    return 1 + int(min(place, n)) if place == place else 1
+
+
+def _leading(df: DataFrame, name: str) -> Column:
+    """A number that never falls along a column's order; null comes first, as in the order."""
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.isnan(col), F.lit(float("inf"))).otherwise(col.cast("double"))
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return col.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(kind, T.TimestampNTZType):  # by its fields, in no zone
+        days, seconds = F.unix_date(col.cast("date")), F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+        return (days.cast("double") * 86_400 + seconds)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.when(col.isNotNull(), F.lit(0.0))
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> DataFrame:
@@ -234,21 +318,15 @@ def _with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts:
     if keys:
         pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
         joined = df.join(F.broadcast(cuts.slots), _null_safe(df, cuts.slots, pairs), "left")
-        joined = joined.drop(*[f"_k{i}" for i in range(len(keys))])
     else:
-        joined = df.withColumn(_SLOT, F.lit(0))
-    # Binary search for how many cuts lie before this row. It is one expression rather than a
-    # projection per halving: a filter on the chunk that is pushed down would multiply those.
-    strides = [1 << b for b in reversed(range(max(1, cuts.longest).bit_length()))]
-    here, points = _position(order), F.get(F.col(_POINTS), F.col(_SLOT))
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in strides]),
-        F.lit(0),
-        lambda at, stride: F.when(F.get(points, at + stride - 1) < here, at + stride).otherwise(at),
-    )
-    # A subquery has to be a column of its own for the analyzer; the optimizer puts it into the search.
-    joined = joined.withColumn(_POINTS, cuts.points.scalar())
-    return joined.withColumn(CHUNK, F.when(F.col(_SLOT).isNotNull(), found)).drop(_SLOT, _POINTS)
+        joined = df.withColumns(dict(zip(_SLOT_COLUMNS, map(F.lit, (0, *cuts.whole)))))
+    here, lead, n = _position(order), _leading(df, order[0]), F.col("_scan_steps").cast("double")
+    place = F.when(lead == float("inf"), n).otherwise(F.nanvl((lead - F.col("_scan_low")) * F.col("_scan_scale"), F.lit(0.0)))
+    step = F.when(lead.isNull() | (lead < F.col("_scan_low")), 0).otherwise(1 + F.least(place, n).cast("int"))
+    placed = joined.withColumn("_scan_step", F.when(F.col(_SLOT).isNotNull(), step))
+    found = placed.join(F.broadcast(cuts.steps), (F.col(_SLOT) == F.col("_scan_of")) & (F.col("_scan_step") == F.col("_scan_nth")), "left")
+    chunk = F.col("_scan_first") + F.size(F.filter("_scan_within", lambda p: p < here))
+    return found.select(*[df[c] for c in df.columns], chunk.alias(CHUNK))
 
 
 def keyed_scan(
@@ -259,17 +337,18 @@ def keyed_scan(
     reverse: bool = False,
     hot_rows: int | None = None,
     cuts: Cuts | str | None = "find",
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with each running output added, per ``keys`` along ``order`` (or against it).
 
     ``keys`` may be empty: the scan then runs over the whole table. ``order`` must tell the
     rows of a key apart. ``hot_rows`` overrides the size at which a key is cut; ``cuts``
-    takes what :func:`cut_points` found before.
+    takes what :func:`cut_points` found before; ``bound`` is as there.
     """
     keys, order = list(keys), list(order)
     directed = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
     if cuts == "find":
-        cuts = cut_points(df, keys, order, hot_rows)
+        cuts = cut_points(df, keys, order, hot_rows, bound)
     if cuts is None:
         w = Window.partitionBy(*keys).orderBy(*directed)
         return df.select("*", *[o.finish(None, o.over(w)).alias(o.name) for o in outputs])

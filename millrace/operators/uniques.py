@@ -43,4 +43,4 @@ def by_sketch(df: DataFrame, ts: str, size: str, user: str, rsd: float = 0.02) -
 def running(df: DataFrame, ts: str, size: str, user: str, arrival: str, **kw) -> DataFrame:
     """One row for each user first seen in a window, with the window's count so far."""
     first = df.groupBy(F.window(ts, size)["start"].alias(BOUNDS[0]), user).agg(F.min(arrival).alias(arrival))
-    return scan.keyed_scan(first, [BOUNDS[0]], [arrival], scan.running_count("uv"), **kw)
+    return scan.keyed_scan(first, [BOUNDS[0]], [arrival], scan.running_count("uv"), bound=df, **kw)

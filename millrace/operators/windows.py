@@ -61,7 +61,7 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], sums: dict[s
     slots = df.groupBy(*keys, F.window(ts, gap).alias("_slot")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), *[c.alias(n) for n, c in sums.items()]
     ).drop("_slot")
-    cuts = scan.cut_points(slots, keys, ["_first"], **kw)
+    cuts = scan.cut_points(slots, keys, ["_first"], bound=df, **kw)
     after = scan.keyed_scan(
         slots, keys, ["_first"], scan.running_max("_prev", F.col("_last"), inclusive=False), cuts=cuts
     )
