@@ -237,7 +237,6 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM p""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's order of parts, and checksums of the output and of the text rebuilt from it."""
-    store, output = scratch(spark, "fim-store"), scratch(spark, "fim-output")
+    store = scratch(spark, "fim-store")
     fim_frames.stored(table(spark, sf_dir, "documents")).write.parquet(store)
-    fim_frames.transformed(spark.read.parquet(store)).write.parquet(output)
-    return fim_frames.digests(spark.read.parquet(output))
+    return fim_frames.digests(fim_frames.transformed(spark.read.parquet(store)))
