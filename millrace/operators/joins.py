@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +57,16 @@ def reconcile(
     both = left.select(key, ts, order, F.lit(True).alias("_left")).unionByName(
         right.select(key, ts, order, F.lit(False).alias("_left"))
     )
-    by = [ts, "_left", order]
+    rows = chained(both, key, [ts, "_left", order], wait_right, wait_left, **kw)
+    return outcomes(paired(rows, key, ts), key)
+
+
+def chained(both: DataFrame, key: str, by: Sequence[str], wait_right: str, wait_left: str, **kw) -> DataFrame:
+    """Rows of both sides with their number ``_rn`` in the key, and that of the row that begins their ``_pair``.
+
+    ``by`` is the time, ``_left`` and the column that tells rows apart.
+    """
+    ts = by[0]
     cuts = scan.cut_points(both, [key], by, **kw)
     seen = scan.keyed_scan(
         both, [key], by,
@@ -64,21 +75,27 @@ def reconcile(
     prev = F.get("_prev", F.lit(0))
     due = prev[ts] + F.when(prev["_left"], interval(wait_right)).otherwise(interval(wait_left))
     fits = F.coalesce((prev["_left"] != F.col("_left")) & (F.col(ts) <= due), F.lit(False))
-    chained = scan.keyed_scan(
+    linked = scan.keyed_scan(
         seen.withColumn("_start", F.when(~fits, F.col("_rn"))).drop("_prev"), [key], by,
         scan.running_max("_chain", F.col("_start")), cuts=cuts,
     )
-    pair = F.col("_rn") - (F.col("_rn") - F.col("_chain")) % 2
-    grouped = chained.withColumn("_pair", pair).groupBy(key, "_pair").agg(
+    return linked.withColumn("_pair", F.col("_rn") - (F.col("_rn") - F.col("_chain")) % 2).drop("_start", "_chain")
+
+
+def paired(rows: DataFrame, key: str, ts: str) -> DataFrame:
+    return rows.groupBy(key, "_pair").agg(
         F.max(F.when(F.col("_left"), F.col(ts))).alias("left_ts"),
         F.max(F.when(~F.col("_left"), F.col(ts))).alias("right_ts"),
     )
+
+
+def outcomes(pairs: DataFrame, key: str) -> DataFrame:
     outcome = (
         F.when(F.col("right_ts").isNull(), "left_only")
         .when(F.col("left_ts").isNull(), "right_only")
         .otherwise("matched")
     )
-    return grouped.select(key, "left_ts", "right_ts", outcome.alias("outcome"))
+    return pairs.select(key, "left_ts", "right_ts", outcome.alias("outcome"))
 
 
 def controlled(main: DataFrame, control: DataFrame, order: str, value: str, setting: str, **kw) -> DataFrame:

@@ -11,7 +11,7 @@ from millrace.plans import windows as bounded
 from millrace.plans.registry import HOUR_US, ORACLES, SENSOR_SQL, WORDS_SQL, bucket, query
 from millrace.session import scratch
 from millrace.sources import records, tables
-from millrace.streaming import batched, live
+from millrace.streaming import batched, live, resumed
 from millrace.streaming import processors as state
 
 BOUNDS = windows.BOUNDS
@@ -113,20 +113,41 @@ def win_session_sum_live(spark, sf):
     return live.plain_time(_real(end.drain(sums, "append"), "id"), *BOUNDS)
 
 
+_FEEDS = 3
+_HOT = 20  # so that keys of small tables are cut too
+
+
+def _resumed(spark, sf, operator):
+    """Run a resumed scan over events that arrive in three parts by time, and then the row that ends the stream."""
+    feed, checkpoint, out = scratch(spark, "feed"), scratch(spark, "progress"), scratch(spark, "emitted")
+    events = tables.events(spark, sf)
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    low, span = F.unix_timestamp(F.lit(first).cast("timestamp")), max(1.0, (last - first).total_seconds() + 1)
+    part = F.floor((seconds - low) * _FEEDS / F.lit(span))
+    end = live.event_end(spark).row().withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    for rows_ in (*[events.where(part == n) for n in range(_FEEDS)], end):
+        rows_.write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(events.schema).parquet(feed)
+        emitted = live.drain(stream, "append", operator, checkpoint, out)
+    return emitted.drop("batch")
+
+
 @query("win_count_tumbling_live", ORACLES["win_count_tumbling"].replace("AS sum_vc", "AS total"))
 def win_count_tumbling_live(spark, sf):
-    events, end = _ended(spark, sf)
-    readings = tables.sensor(events)
-    return _real(end.drain(state.in_order(readings, "id", F.col("vc"), state.CountTumbling(5)), "append"), "id")
+    """Numbers go on from batch to batch, and open groups are carried."""
+    order, value = ["ts", "event_id"], F.floor("value")
+    sums = resumed.CountTumbling(
+        scratch(spark, "carried"), "user_id", order, 5, ["value"], [F.sum(value).alias("total")], "0 seconds", hot_rows=_HOT)
+    return _resumed(spark, sf, sums).withColumnRenamed("user_id", "id")
 
 
 @query("changelog_count_live", f"""WITH {SENSOR_SQL}, c AS (
   SELECT id, ts, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS ct FROM s)
 SELECT id, ts, true AS op, ct FROM c UNION ALL SELECT id, ts, false, ct - 1 FROM c WHERE ct > 1""")
 def changelog_count_live(spark, sf):
-    events, end = _ended(spark, sf)
-    readings = tables.sensor(events)
-    return _real(end.drain(state.in_order(readings, "id", F.lit("row"), state.CountChanges()), "append"), "id")
+    changes = resumed.Changes(scratch(spark, "carried"), "user_id", ["ts", "event_id"], [], "0 seconds", hot_rows=_HOT)
+    return _resumed(spark, sf, changes).select(F.col("user_id").alias("id"), "ts", "op", "ct")
 
 
 _PARTS = 4
@@ -159,8 +180,10 @@ def _run_batches(spark, sf, each):
 
     def whole(batch, n):
         kept = batch.persist()
-        each(kept, n)
-        kept.unpersist()
+        try:
+            each(kept, n)
+        finally:
+            kept.unpersist()
 
     _in_parts(spark, sf, lambda stream: stream.writeStream.foreachBatch(whole).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
@@ -256,19 +279,31 @@ def interval_join_live(spark, sf):
 
 @query("reconcile_live", matching.RECONCILE_EVENTS_SQL)
 def reconcile_live(spark, sf):
-    events, end = _ended(spark, sf)
     kind = F.col("event_type")
-    side = F.when(kind.isin("purchase", "end"), "left").when(kind == "click", "right")
-    hour = HOUR_US
-    return _real(end.drain(state.in_order(events, "user_id", side, state.Reconcile(10 * hour, 5 * hour)), "append"), "user_id")
+    matched = resumed.Reconciled(
+        scratch(spark, "carried"), "user_id", ["ts", "event_id"], kind == "purchase", kind == "click", "10 hours", "5 hours",
+        "0 seconds", hot_rows=_HOT)
+    return _resumed(spark, sf, matched)
+
+
+def _strict(spark, sf, stages, within):
+    found = resumed.Strict(scratch(spark, "carried"), "user_id", ["ts", "event_id"], stages, within, "0 seconds", hot_rows=_HOT)
+    return _resumed(spark, sf, found)
 
 
 @query("pat_repeat_live", ORACLES["pat_repeat"])
 def pat_repeat_live(spark, sf):
-    events, end = _ended(spark, sf)
-    hit = F.when(F.col("event_type") == "error", "hit").otherwise("miss")
-    matches = state.in_order(events, "user_id", hit, state.Repeated(2, 6 * HOUR_US))
-    return _real(end.drain(matches, "append"), "user_id").drop("outcome")
+    return _strict(spark, sf, [F.col("event_type") == "error"] * 2, "6 hours")
+
+
+@query("pat_repeat_three_live", ORACLES["pat_repeat_three"])
+def pat_repeat_three_live(spark, sf):
+    return _strict(spark, sf, [F.col("event_type") == "error"] * 3, "48 hours")
+
+
+@query("pat_next_live", ORACLES["pat_next"])
+def pat_next_live(spark, sf):
+    return _strict(spark, sf, [F.col("event_type") == "view", F.col("event_type") == "click"], "12 hours")
 
 
 @query("pat_live", matching.PAT_SQL)

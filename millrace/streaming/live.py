@@ -39,8 +39,10 @@ def drain(
             batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
             return
         kept = batch.persist()  # looked at more than once
-        per_batch(kept, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        kept.unpersist()
+        try:
+            per_batch(kept, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finally:
+            kept.unpersist()
 
     query = (
         df.writeStream.outputMode(mode)
@@ -119,11 +121,14 @@ class EndMark:
         self.folder = scratch(spark, "end")
         self._write(empty=True)
 
-    def _write(self, empty: bool) -> None:
-        row = self.spark.range(1).selectExpr(
+    def row(self) -> DataFrame:
+        return self.spark.range(1).selectExpr(
             *[f"CAST({self.values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
               for f in self.fields()]
         )
+
+    def _write(self, empty: bool) -> None:
+        row = self.row()
         (row.where("false") if empty else row).coalesce(1).write.mode("append").parquet(self.folder)
 
     def fields(self):
