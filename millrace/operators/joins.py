@@ -36,6 +36,20 @@ def interval_join(
     return spread.join(placed, on).drop("_bucket", "_rbucket")
 
 
+def outer_interval_join(
+    left: DataFrame, right: DataFrame, key: tuple[str, str], times: tuple[str, str], before_s: int, after_s: int
+) -> DataFrame:
+    """As :func:`interval_join`, with the rows of both sides that have no partner.
+
+    On streams a row without a partner comes out when the watermark drops it from the join's state. A key is one task's: its
+    time buckets would give a row without a partner once per bucket.
+    """
+    (lk, rk), (lt, rt) = key, times
+    low = F.col(lt) - interval(f"{before_s} seconds")
+    high = F.col(lt) + interval(f"{after_s} seconds")
+    return left.join(right, (F.col(lk) == F.col(rk)) & (F.col(rt) >= low) & (F.col(rt) <= high), "full_outer")
+
+
 def _bucket(ts: Column, width_s: int) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(width_s * 1_000_000))
 

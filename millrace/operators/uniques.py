@@ -40,6 +40,16 @@ def by_sketch(df: DataFrame, ts: str, size: str, user: str, rsd: float = 0.02) -
     return tumbling(df, ts, size, [], F.approx_count_distinct(user, rsd).alias("uv"))
 
 
+def sketched(df: DataFrame, ts: str, size: str, user: str, bits: int = 14) -> DataFrame:
+    """A mergeable sketch of the users of each window, for tables and streams; see :func:`rolled_up`."""
+    return tumbling(df, ts, size, [], F.hll_sketch_agg(user, bits).alias("sketch"))
+
+
+def rolled_up(sketches: DataFrame, size: str) -> DataFrame:
+    """Users of longer windows from the stored sketches of shorter ones, without another look at the rows."""
+    return tumbling(sketches, BOUNDS[0], size, [], F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("uv"))
+
+
 def running(df: DataFrame, ts: str, size: str, user: str, arrival: str, **kw) -> DataFrame:
     """One row for each user first seen in a window, with the window's count so far."""
     first = df.groupBy(F.window(ts, size)["start"].alias(BOUNDS[0]), user).agg(F.min(arrival).alias(arrival))

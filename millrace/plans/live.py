@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators import eventtime, ranking, rows, uniques, windows
+from millrace.operators import eventtime, joins, ranking, rows, uniques, windows
 from millrace.plans import aggregates, jobs, matching
 from millrace.plans import windows as bounded
 from millrace.plans.registry import HOUR_US, ORACLES, SENSOR_SQL, WORDS_SQL, bucket, query
@@ -113,6 +113,32 @@ def win_session_sum_live(spark, sf):
     return live.plain_time(_real(end.drain(sums, "append"), "id"), *BOUNDS)
 
 
+_PER_USER_SQL = "SELECT user_id AS id, CAST({times} * count(*) AS BIGINT) AS ct FROM events GROUP BY user_id"
+
+
+def _by_clock(windowed):
+    """Run clock windows until all are closed and nothing is kept, and add up what each user's windows hold."""
+    return live.run_until_quiet(windowed, "append").groupBy("id").agg(F.sum("ct").alias("ct"))
+
+
+@query("win_tumbling_count_live", _PER_USER_SQL.format(times=1))
+def win_tumbling_count_live(spark, sf):
+    """Two-second windows by the clock; every row is in one."""
+    return _by_clock(state.clock_windows(tables.event_stream(spark, sf), "user_id", 2_000))
+
+
+@query("win_sliding_count_live", _PER_USER_SQL.format(times=2))
+def win_sliding_count_live(spark, sf):
+    """Two-second windows by the clock that slide by one; every row is in two."""
+    return _by_clock(state.clock_windows(tables.event_stream(spark, sf), "user_id", 2_000, 1_000))
+
+
+@query("win_session_count_live", _PER_USER_SQL.format(times=1))
+def win_session_count_live(spark, sf):
+    """Sessions by the clock, over when no row has come for two seconds."""
+    return _by_clock(state.clock_sessions(tables.event_stream(spark, sf), "user_id", 2_000))
+
+
 _FEEDS = 3
 _HOT = 20  # so that keys of small tables are cut too
 
@@ -261,6 +287,18 @@ def uv_exact_live(spark, sf):
     return live.plain_time(emitted, *BOUNDS).where(f"window_start < TIMESTAMP_NTZ '{live.END_OF_TIME}'")
 
 
+@query("uv_rollup_live", """
+WITH d AS (SELECT date_trunc('day', ts) AS window_start FROM events WHERE event_type = 'view') SELECT DISTINCT CAST(window_start AS TIMESTAMP) AS window_start, true AS near FROM d""")
+def uv_rollup_live(spark, sf):
+    """Hourly sketches of a stream, stored and merged to days; ``near`` tells whether a day is within 5 % of its exact count."""
+    hourly = uniques.sketched(jobs.views(_events(spark, sf)), "ts", "1 hour", "user_id")
+    stored = live.newest(live.drain(hourly, "update"), BOUNDS)
+    days = live.plain_time(uniques.rolled_up(stored, "1 day"), *BOUNDS)
+    exact = uniques.exact(jobs.views(tables.events(spark, sf)), "ts", "1 day", "user_id").select(BOUNDS[0], F.col("uv").alias("exact"))
+    near = F.abs(F.col("uv") - F.col("exact")) * 100 <= F.greatest(F.lit(100), 5 * F.col("exact"))
+    return days.join(exact, BOUNDS[0]).select(BOUNDS[0], near.alias("near"))
+
+
 @query("item_top_n_live", jobs.TOP_SQL)
 def item_top_n_live(spark, sf):
     events, end = _ended(spark, sf, "view")
@@ -277,6 +315,40 @@ def interval_join_live(spark, sf):
     return live.drain(matching.interval_pairs(left, right), "append").drop("batch")
 
 
+_OUTER_SQL = f"""WITH m AS ({matching.INTERVAL_SQL})
+SELECT user_id, left_id, right_id FROM m
+UNION ALL SELECT user_id, event_id, NULL FROM events WHERE event_type = 'purchase' AND event_id NOT IN (SELECT left_id FROM m)
+UNION ALL SELECT user_id, NULL, event_id FROM events WHERE event_type = 'click' AND event_id NOT IN (SELECT right_id FROM m)"""
+
+
+@query("interval_join_outer_live", _OUTER_SQL)
+def interval_join_outer_live(spark, sf):
+    """Both sides with different delays, under both ways of joining two watermarks: the same rows come out, matched or not."""
+    found = [_outer_pairs(spark, sf, policy) for policy in ("min", "max")]
+    both = found[0].withColumn("_in", F.lit(1)).unionByName(found[1].withColumn("_in", F.lit(2)))
+    # Counted in both runs, so that one without the other would show as a row too many or too few.
+    counted = both.groupBy("user_id", "left_id", "right_id").agg(F.count_distinct("_in").alias("_runs"), F.count(F.lit(1)).alias("_rows"))
+    return counted.withColumn("_n", F.when(F.col("_runs") == 2, F.col("_rows") / 2).otherwise(0)).withColumn(
+        "_n", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).drop("_n", "_runs", "_rows")
+
+
+def _outer_pairs(spark, sf, policy):
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(name)
+    ends = [live.event_end(spark, kind) for kind in ("purchase", "click")]
+    sides = []
+    for end, kind, delay, prefix in zip(ends, ("purchase", "click"), ("0 seconds", "2 hours"), ("left", "right")):
+        rows_ = matching.of_type(tables.event_stream(spark, sf).unionByName(end.stream()), kind).withWatermark("ts", delay)
+        sides.append(rows_.select(F.col("user_id").alias(f"{prefix}_user"), F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts")))
+    pairs = joins.outer_interval_join(*sides, ("left_user", "right_user"), ("left_ts", "right_ts"), 5 * matching.H, 10 * matching.H)
+    spark.conf.set(name, policy)
+    try:
+        emitted = live.drain_ended(pairs, "append", ends)
+    finally:
+        spark.conf.set(name, before)
+    return emitted.select(F.coalesce("left_user", "right_user").alias("user_id"), "left_id", "right_id").where(F.col("user_id") != live.END_KEY)
+
+
 @query("reconcile_live", matching.RECONCILE_EVENTS_SQL)
 def reconcile_live(spark, sf):
     kind = F.col("event_type")

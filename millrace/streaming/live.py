@@ -140,9 +140,22 @@ class EndMark:
     def drain(self, df: DataFrame, mode: str, per_batch=None) -> DataFrame:
         checkpoint, out = scratch(self.spark, "progress"), scratch(self.spark, "emitted")
         drain(df, mode, per_batch, checkpoint, out)
-        self._write(empty=False)
+        self.write()
         return drain(df, mode, per_batch, checkpoint, out)
 
+    def write(self) -> None:
+        """Let the end row come."""
+        self._write(empty=False)
+
+
+def drain_ended(df: DataFrame, mode: str, ends: Sequence[EndMark]) -> DataFrame:
+    """:meth:`EndMark.drain` for a stream of several inputs, each with its own mark."""
+    checkpoint, out = scratch(df.sparkSession, "progress"), scratch(df.sparkSession, "emitted")
+    drain(df, mode, None, checkpoint, out)
+    for end in ends:
+        end.write()
+    return drain(df, mode, None, checkpoint, out)
+
 
 def event_end(spark: SparkSession, event_type: str = "end") -> EndMark:
     """End mark for the event stream: a row of user -1 in the far future."""

@@ -273,6 +273,75 @@ class ClockTimer(Named):
             self.seen.clear()
 
 
+class ClockWindow(Named):
+    """Counts the rows of a key and window; the window is given out and forgotten when the clock passes its end."""
+
+    columns = ("id", "salt", "window_ms", "ct")
+
+    def __init__(self, size_ms: int) -> None:
+        self.size_ms = size_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "n BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.count.get()
+        self.count.update(((before[0] if before else 0) + sum(1 for _ in rows),))
+        if before is None:
+            self.handle.registerTimer(key[2] + self.size_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield self.row(*key, self.count.get()[0])
+        self.count.clear()
+
+
+class ClockSession(Named):
+    """Counts the rows of a key until none has come for ``gap_ms``; then the session is given out and forgotten."""
+
+    columns = ("id", "salt", "start_ms", "ct")
+
+    def __init__(self, gap_ms: int) -> None:
+        self.gap_ms = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.session = handle.getValueState("session", "start BIGINT, last BIGINT, n BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now, before = timerValues.getCurrentProcessingTimeInMs(), self.session.get()
+        start, last, n = before or (now, None, 0)
+        if last is not None:
+            self.handle.deleteTimer(last + self.gap_ms)
+        self.session.update((start, now, n + sum(1 for _ in rows)))
+        self.handle.registerTimer(now + self.gap_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        start, _, n = self.session.get()
+        self.session.clear()
+        yield self.row(*key, start, n)
+
+
+def clock_windows(df: DataFrame, key: str, size_ms: int, slide_ms: int | None = None, salts: int = 8) -> DataFrame:
+    """Tumbling or sliding windows of a stream by the clock of its micro-batches, without a watermark: counts per
+    ``id``, ``salt`` and ``window_ms``, the window's start. A hot key is spread over ``salts``; add up its parts."""
+    slide = slide_ms or size_ms
+    latest = F.floor(F.unix_millis(F.current_timestamp()) / slide) * slide  # the same for a whole batch, also if it runs again
+    starts = F.transform(F.sequence(F.lit(0), F.lit(size_ms // slide - 1)), lambda i: latest - i * slide)
+    placed = df.select(F.col(key).alias("id"), F.pmod(F.hash("event_id"), F.lit(salts)).alias("salt"), F.explode(starts).alias("window_ms"))
+    return placed.groupBy("id", "salt", "window_ms").transformWithState(
+        ClockWindow(size_ms), f"id {dict(df.dtypes)[key]}, salt INT, window_ms BIGINT, ct BIGINT", "append", "ProcessingTime")
+
+
+def clock_sessions(df: DataFrame, key: str, gap_ms: int) -> DataFrame:
+    """Sessions of a stream by the clock: counts per ``id`` and ``start_ms``. A key is not spread, since any of its rows goes on with its session."""
+    placed = df.select(F.col(key).alias("id"), F.lit(0).alias("salt"))
+    return placed.groupBy("id", "salt").transformWithState(
+        ClockSession(gap_ms), f"id {dict(df.dtypes)[key]}, salt INT, start_ms BIGINT, ct BIGINT", "append", "ProcessingTime")
+
+
 class Stateful(Named):
     """State updated by each row; emits what changed after each batch of rows."""
 
