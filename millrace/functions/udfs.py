@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,28 @@ def word_table():
     return F.udtf(SplitWords, returnType="pos INT, word STRING")
 
 
+class SplitTable:
+    """Words of the lines of a table, a batch of rows at a time: ``doc_id``, ``line_no``, ``pos`` and ``word``."""
+
+    def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+        line = rows.column("line")
+        kept = pc.utf8_rtrim(line, " ")
+        worded = pc.or_(pc.not_equal(kept, ""), pc.equal(line, ""))
+        rows, kept = rows.filter(worded), kept.filter(worded)  # a null line is neither
+        words = pc.split_pattern(kept, " ")
+        parent = pc.list_parent_indices(words).to_numpy()
+        starts = np.searchsorted(parent, np.arange(rows.num_rows))
+        yield pa.table({
+            "doc_id": rows.column("doc_id").take(pa.array(parent)), "line_no": rows.column("line_no").take(pa.array(parent)),
+            "pos": pa.array(np.arange(len(parent)) - starts[parent], pa.int32()), "word": pc.list_flatten(words),
+        })
+
+
+def words_of_table():
+    """A table function over a table: its state would be that of a partition, as given by ``PARTITION BY``."""
+    return F.arrow_udtf(SplitTable, returnType="doc_id BIGINT, line_no INT, pos INT, word STRING")
+
+
 def mean_by_key(df: DataFrame, key: str, col: str, name: str = "mean") -> DataFrame:
     """A mean written as a user aggregate over (sum, count)."""
     return user_aggregate(

@@ -451,7 +451,7 @@ def state_value(spark, sf):
   array_to_string(list_sort(list(vc)), ',') AS contents FROM s GROUP BY id""")
 def state_list(spark, sf):
     """The values kept for each key, as text, smallest first."""
-    parts = live.newest(_state(spark, sf, state.Collected()), ["id", "salt"])
+    parts = _state(spark, sf, state.Collected())  # each value once, in the batch that brought it
     whole = parts.groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("contents"))).alias("v"))
     total = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return whole.select("id", F.size("v").cast("bigint").alias("n"), total.alias("total"), F.array_join(F.col("v").cast("array<string>"), ",").alias("contents"))
@@ -499,6 +499,24 @@ def state_ttl(spark, sf):
     return live.newest(emitted, ["id", "salt"]).groupBy("id").agg(F.sum("ct").alias("ct"))
 
 
+@query("state_migrated", "SELECT user_id AS id, 2 * count(*) AS ct FROM events GROUP BY user_id")
+def state_migrated(spark, sf):
+    """A second query, with other partitions and a checkpoint of its own, starts from the counts that a first one left."""
+    name = "spark.sql.shuffle.partitions"
+    before, initial = spark.conf.get(name), None
+    readings = tables.event_stream(spark, sf).select("event_id", F.col("user_id").alias("id"))
+    try:
+        for more in (0, 1):
+            spark.conf.set(name, int(before) + more)
+            checkpoint = scratch(spark, "progress")
+            counts = state.salted_state(readings, "id", state.Counting(), initial=initial)
+            emitted = live.drain(counts, "update", checkpoint=checkpoint)
+            initial = state.stored_state(spark, checkpoint, "ct")
+    finally:
+        spark.conf.set(name, before)
+    return live.newest(emitted, ["id", "salt"]).groupBy("id").agg(F.sum("ct").alias("ct"))
+
+
 @query("timer_event", """
 SELECT DISTINCT user_id AS id, epoch_us(ts) // 1000 + 86400000 AS fired_ms FROM events
 WHERE epoch_us(ts) // 1000 + 86400000 <= (SELECT epoch_us(max(ts)) // 1000 FROM events)""")

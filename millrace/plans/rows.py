@@ -275,10 +275,11 @@ def udf_batches(spark, sf):
 
 @query("udtf_words", f"WITH {WORDS_SQL} SELECT doc_id, line_no, pos, word FROM w")
 def udtf_words(spark, sf):
-    spark.udtf.register("split_words", udfs.word_table())
+    spark.udtf.register("split_table", udfs.words_of_table())
+    lines(spark, sf).createOrReplaceTempView("_lines_to_split")
     return spark.sql(
-        "SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(w.pos AS BIGINT) AS pos, w.word "
-        "FROM {l}, LATERAL split_words(line) w", l=lines(spark, sf),
+        "SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(pos AS BIGINT) AS pos, word "
+        "FROM split_table(TABLE(_lines_to_split))"
     )
 
 

@@ -11,7 +11,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -366,7 +366,7 @@ class LastValue(Stateful):
 
 
 class Collected(Stateful):
-    """List state: every value, kept; emits the list."""
+    """List state: every value, kept; emits what is new, in blocks, not the list."""
 
     schema = "contents ARRAY<BIGINT>"
 
@@ -376,7 +376,7 @@ class Collected(Stateful):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         while block := [(r["vc"],) for r in islice(rows, BLOCK)]:
             self.state.appendList(block)
-        yield self.row(*key, [vc for (vc,) in self.state.get()])
+            yield self.row(*key, [vc for (vc,) in block])
 
 
 class Cleared(Stateful):
@@ -392,17 +392,17 @@ class Cleared(Stateful):
         self.last = handle.getValueState("last", "arrival BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else -1
-        for row in sorted(((r["event_id"], r["event_type"], r["vc"]) for r in rows)):
-            if row[0] <= last:
-                continue
-            last = row[0]
-            if row[1] == self.clears:
+        # Whatever came before, the last row alone decides: it clears the value or sets it.
+        seen = self.last.get()
+        arrival, kind, vc = max((r["event_id"], r["event_type"], r["vc"]) for r in rows)
+        if seen is None or arrival > seen[0]:
+            self.last.update((arrival,))
+            if kind == self.clears:
                 self.state.clear()
             else:
-                self.state.update((last, row[2]))
-        self.last.update((last,))
-        yield self.row(*key, last, self.state.get()[1] if self.state.exists() else None)
+                self.state.update((arrival, vc))
+        value = self.state.get()
+        yield self.row(*key, self.last.get()[0], value[1] if value else None)
 
 
 class CountByField(Stateful):
@@ -456,6 +456,24 @@ class Averaged(Stateful):
         yield self.row(*key, total, n)
 
 
+class Counting(Stateful):
+    """Value state: a count, which may start from what another query has left."""
+
+    schema = "ct BIGINT"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("ct", self.schema)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.state.update((initialState["ct"],))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.state.get()
+        n = (before[0] if before else 0) + sum(1 for _ in rows)
+        self.state.update((n,))
+        yield self.row(*key, n)
+
+
 class Expiring(Stateful):
     """Value state that is forgotten ``ttl_ms`` after its last write."""
 
@@ -474,11 +492,23 @@ class Expiring(Stateful):
         yield self.row(*key, n)
 
 
-def salted_state(df: DataFrame, key: str, processor: Stateful, salts: int = 8, time_mode: str = "None") -> DataFrame:
-    """State per (key, salt), in update mode. Merge the parts of a key when reading."""
+def salted_state(
+    df: DataFrame, key: str, processor: Stateful, salts: int = 8, time_mode: str = "None", initial: DataFrame | None = None
+) -> DataFrame:
+    """State per (key, salt), in update mode. Merge the parts of a key when reading.
+
+    ``initial`` has the columns of key, salt and state, as from :func:`stored_state`; a new query starts from it.
+    """
     spread = df.withColumn("salt", F.pmod(F.hash("event_id"), F.lit(salts)))
     key_type = dict(df.dtypes)[key]
     processor.columns = [key, "salt", *_columns(processor.schema)]
     return spread.groupBy(key, "salt").transformWithState(
-        processor, f"{key} {key_type}, salt INT, {processor.schema}", "update", time_mode
+        processor, f"{key} {key_type}, salt INT, {processor.schema}", "update", time_mode,
+        initialState=None if initial is None else initial.groupBy(key, "salt"),
     )
+
+
+def stored_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """The value state of a query that has ended, from its checkpoint: the columns of key and value."""
+    kept = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", variable).load()
+    return kept.select("key.*", "value.*")
