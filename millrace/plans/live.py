@@ -287,6 +287,17 @@ def uv_exact_live(spark, sf):
     return live.plain_time(emitted, *BOUNDS).where(f"window_start < TIMESTAMP_NTZ '{live.END_OF_TIME}'")
 
 
+@query("uv_bitmap_live", ORACLES["uv_bitmap"])
+def uv_bitmap_live(spark, sf):
+    """A row out of the bitmap of its hour at each first sighting; the rows of an hour are its visitors."""
+    events, end = _ended(spark, sf, "view")
+    seen = state.first_bits(jobs.views(events), "ts", HOUR_US // 1000, uniques.bitmap_offset(F.col("user_id")))
+    counts = end.drain(seen, "append").groupBy("window_ms").agg(F.count(F.lit(1)).alias("uv"))
+    start = F.timestamp_millis("window_ms")
+    found = counts.select(start.alias(BOUNDS[0]), (start + F.expr("INTERVAL 1 HOUR")).alias(BOUNDS[1]), "uv")
+    return live.plain_time(found, *BOUNDS).where(f"window_start < TIMESTAMP_NTZ '{live.END_OF_TIME}'")
+
+
 @query("uv_rollup_live", """
 WITH d AS (SELECT date_trunc('day', ts) AS window_start FROM events WHERE event_type = 'view') SELECT DISTINCT CAST(window_start AS TIMESTAMP) AS window_start, true AS near FROM d""")
 def uv_rollup_live(spark, sf):

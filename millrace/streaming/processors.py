@@ -11,11 +11,14 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 BLOCK = 10_000  # rows sent to the state store at a time
+PAGE_BITS = 65_536  # of a bitmap: 8 KB
 PAIR = "start_ts BIGINT, end_ts BIGINT, outcome STRING"
 
 
@@ -342,6 +345,58 @@ def clock_sessions(df: DataFrame, key: str, gap_ms: int) -> DataFrame:
         ClockSession(gap_ms), f"id {dict(df.dtypes)[key]}, salt INT, start_ms BIGINT, ct BIGINT", "append", "ProcessingTime")
 
 
+class SeenBits(Named):
+    """A page of a window's bitmap: gives out each row whose bit is not set yet, at once, and drops the page when the window ends."""
+
+    columns = ("window_ms", "page", "event_id", "bit")
+
+    def __init__(self, size_ms: int) -> None:
+        self.size_ms = size_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.page = handle.getValueState("page", "bits BINARY")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.page.get()
+        bits, fresh = bytearray(before[0]) if before else bytearray(PAGE_BITS // 8), False
+        for r in rows:
+            byte, mask = r["bit"] >> 3, 1 << (r["bit"] & 7)
+            if not bits[byte] & mask:
+                bits[byte] |= mask
+                fresh = True
+                yield self.row(*key, r["event_id"], r["bit"])
+        if before is None:
+            self.handle.registerTimer(key[0] + self.size_ms)
+        if fresh:
+            self.page.update((bytes(bits),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.page.clear()
+        return iter(())
+
+
+def first_bits(df: DataFrame, ts: str, size_ms: int, offset: Column) -> DataFrame:
+    """The first row of each bit of a window's bitmap on a stream with a watermark, as it comes: ``window_ms``, ``event_id``, ``bit``.
+
+    The bitmap lies in pages of ``PAGE_BITS`` bits, each the state of its own key, of which a batch reads and writes those it
+    touches. Rows that repeat a bit within a block of a task are dropped before the shuffle, so a hot user sends a row per block.
+    """
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = np.stack([batch.column("window_ms").to_numpy(), batch.column("offset").to_numpy()], axis=1)
+            _, first = np.unique(pairs, axis=0, return_index=True)
+            yield batch.take(pa.array(np.sort(first)))
+
+    placed = df.select(ts, (F.floor(F.unix_millis(ts) / size_ms) * size_ms).alias("window_ms"), offset.cast("long").alias("offset"), "event_id")
+    # The map keeps the event time's watermark only on the stream itself, so it comes before.
+    kept = placed.where("offset IS NOT NULL").mapInArrow(once, placed.schema)
+    paged = kept.select("window_ms", F.floor(F.col("offset") / PAGE_BITS).alias("page"), F.pmod("offset", F.lit(PAGE_BITS)).cast("int").alias("bit"), "event_id", ts)
+    seen = paged.groupBy("window_ms", "page").transformWithState(
+        SeenBits(size_ms), "window_ms BIGINT, page BIGINT, event_id BIGINT, bit INT", "append", "EventTime")
+    return seen.select("window_ms", "event_id", (F.col("page") * PAGE_BITS + F.col("bit")).alias("bit"))
+
+
 class Stateful(Named):
     """State updated by each row; emits what changed after each batch of rows."""
 

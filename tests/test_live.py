@@ -115,3 +115,24 @@ def test_followed_by_scanned_per_batch(spark, sf, feed, hot_rows):
     assert got.select("batch").distinct().count() > 2
     want = patterns.followed_by(tables.events(spark, sf), "user_id", ["ts", "event_id"], *sequence)
     same(live.plain_time(got.drop("batch"), "start_ts", "end_ts"), want)
+
+
+def test_a_window_that_ends_drops_its_bitmap(spark, sf):
+    """Each first sighting comes out once; after the end mark only the mark's own page is kept."""
+    end = live.event_end(spark, "view")
+    events = tables.event_stream(spark, sf).unionByName(end.stream()).withWatermark("ts", "0 seconds").where("event_type = 'view'")
+    seen = state.first_bits(events, "ts", 3_600_000, F.col("user_id"))
+    checkpoint, out = scratch(spark, "progress"), scratch(spark, "emitted")
+    live.drain(seen, "append", None, checkpoint, out)
+    assert state.stored_state(spark, checkpoint, "page").count() > 1
+    end.write()
+    got = live.drain(seen, "append", None, checkpoint, out)
+    assert got.count() == got.select("window_ms", "bit").distinct().count()
+    assert state.stored_state(spark, checkpoint, "page").count() <= 1
+
+
+def test_clock_windows_leave_nothing(spark, sf):
+    """All windows have closed when the stream is quiet, and a window holds what came in its time only."""
+    windows = live.run_until_quiet(state.clock_windows(tables.event_stream(spark, sf), "user_id", 2_000, 1_000), "append").collect()
+    assert sum(r.ct for r in windows) == 2 * spark.read.parquet(f"{sf}/events.parquet").count()
+    assert all(r.window_ms % 1_000 == 0 for r in windows) and len({r.window_ms for r in windows}) >= 2
