@@ -267,8 +267,9 @@ class Encoder(dict):
         return out
 
 
-def _chunks(documents: DataFrame, size: int) -> DataFrame:
-    """The chunks of long texts; ``row`` tells rows apart, also those of one id."""
+def _chunks(documents: DataFrame, size: int, longest: int) -> DataFrame:
+    """The chunks of long texts, each with the ``longest`` characters after it, as far as a piece may reach; ``row`` tells rows
+    apart, also those of one id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches_of(batches, 8 << 20):
@@ -276,8 +277,7 @@ def _chunks(documents: DataFrame, size: int) -> DataFrame:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 text = marked(text)
                 n = -(-len(text) // size)
-                # The following characters that a piece may reach: 64 is above any model's longest piece.
-                out += [(row, doc, n, k, text[k * size:(k + 1) * size], text[(k + 1) * size:(k + 1) * size + 64]) for k in range(n)]
+                out += [(row, doc, n, k, text[k * size:(k + 1) * size], text[(k + 1) * size:(k + 1) * size + longest]) for k in range(n)]
                 row += 1
             yield _batch(out, CHUNKS)
 
@@ -396,7 +396,7 @@ def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
             yield _encoded_batch(out, encoder.table)
 
     path = scratch(spark, "scan-chunks")
-    _chunks(rows.where(long_), chunk).write.parquet(path)
+    _chunks(rows.where(long_), chunk, longest).write.parquet(path)
     chunks = spark.read.parquet(path)
     last = chunks.agg(F.max("chunk")).first()[0] or 0
     states = cut_states(_matrices(chunks, model), longest, last).withColumnRenamed("node", "chunk")

@@ -109,3 +109,33 @@ def test_pipeline(spark, sf, texts):
             assert out.columns == docs.columns
             seen, docs = ids, out
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == seen
+
+
+def test_scores_do_not_follow_the_session(spark, sf):
+    """The number of shuffle partitions changes no score of the language model."""
+    name = "spark.sql.shuffle.partitions"
+    before, found = spark.conf.get(name), []
+    try:
+        for n in (3, 17):
+            spark.conf.set(name, n)
+            found.append({r.doc_id: r.score for r in QUERIES["op3_pitman_yor"](spark, sf).collect()})
+    finally:
+        spark.conf.set(name, before)
+    assert found[0] == found[1]
+
+
+def test_stages_pass_clashing_columns(spark, sf):
+    """Columns named like a stage's own results come through as they are."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).selectExpr(
+        "doc_id", "text", "lang", "source", "'s' AS score", "1 AS toxic", "2 AS removed_lines", "3 AS kept", "4 AS rep", "5 AS component_id").cache()
+    extra = {r.doc_id: tuple(r)[4:] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        assert all(extra[r.doc_id] == tuple(r)[4:] for r in out.collect())
+
+
+def test_stages_on_an_empty_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf).collect() == []
