@@ -35,6 +35,7 @@ MASKS = (
 )
 SHORT = 5
 FILTER_BITS = 1 << 24
+LEAST_PERCENT = 80
 SPAN = 13  # the masks are for overlaps of so many tokens or more
 PIECE = 1024  # hits of a document over so many tokens, or four longest items, have a stretch of tokens of their own
 
@@ -179,8 +180,10 @@ def overlaps(documents: DataFrame, items: DataFrame, min_tokens: int = 13, perce
     """One row per document and item that overlap: ``doc_id``, ``item_id``, the overlap's first token and
     length in the document (``start``, ``n_tokens``), and ``n_equal`` of them; of several the longest,
     then the first. Null ids, null, empty and blank texts overlap with nothing; repeated rows count
-    once. Other columns are not read.
+    once. Other columns are not read. ``percent`` must be at least 80, which the masks are made for.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"the masks miss overlaps of less than {LEAST_PERCENT} percent equal tokens")
     spark = documents.sparkSession
     stored = scratch(spark, "seed-items")
     item_seeds(items, percent).write.parquet(stored)
