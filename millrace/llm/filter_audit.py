@@ -36,7 +36,7 @@ GOOD, TOXIC = 1, 2  # flags of a row
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITALS_PERCENT, SYMBOLS = 200, 50, 3, b"#$%&*|"
 LAST_ID = (1 << 63) - 1  # stands for a null id: no id is larger
 FOLD = 50_000  # texts a task folds at a time
-CORE_BYTES = 16 << 20  # bytes of files a micro-batch takes for each core
+CORE_BYTES = 32 << 20  # bytes of files a micro-batch takes for each core
 
 COUNTS = "array<struct<part: string, mask: int, flags: int, n: bigint>>"
 MARKED = "doc_id BIGINT, has_id BOOLEAN, deal BIGINT, part STRING, mask INT, text_sha BINARY"
@@ -194,6 +194,7 @@ def changes(documents: DataFrame, by_id: DataFrame, part: str = "lang") -> DataF
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition takes megabytes ahead
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
