@@ -3,10 +3,15 @@
 Each text gives a few measures as whole numbers. Their distribution per language and source is
 sketched as a histogram of log-linear bins (exact up to ``EXACT``, then ``EXACT / 2`` bins for each doubling, so
 a quantile is known to about ``2 / EXACT`` of itself). Such sketches merge by adding counts, so a hot source is
-counted on the map side, and a group with fewer than ``LEAST`` texts takes the limits of its
-language, or of all texts, from sketches merged out of the same rows. Limits are fences: as far beyond
-the outer quantile as ``REACH`` times its distance from the median, and no nearer than ``ROOM`` allows, so they adapt to
-a source's own style and only outliers lie beyond. Texts are joined with their group's limits.
+counted on the map side, and the sketches of a language and of all texts are merged out of the same rows.
+
+A limit is a fence ``REACH`` times the inner spread from the median. The spread is the distance of the
+quartile from the median, which junk cannot move while it is less than a quarter of the texts; where even
+the quartile is the median, as of rare symbols, it is that of the outer tenth, which
+holds while junk is less than a tenth of all texts. A group without either takes the limit of its
+language, a language without either that of all texts, and there the spread is at least one step of the measure. A share's limit
+is never looser than that of the language or of all texts, so that a source full of junk does not set its own; the length of
+words is a matter of style, and each group's own. A group or language with fewer than ``LEAST`` texts takes the next wider limits. Texts are joined with their group's limits.
 
 All steps are DataFrame operations.
 """
@@ -20,14 +25,16 @@ from millrace.session import scratch
 
 EXACT = 64
 LEAST = 200
-REACH = 3
-#: measure: outer quantile in percent, side, and the least distance of the limit from the median
+#: seven times the distance from median to quartile is the outer fence of a box plot, three box lengths beyond the box
+REACH = 7
+ALL = ["_all"]
+#: measure: side of its fence, and whether wider limits bind it
 FENCES = {
-    "symbol_permille": (95, "high", 100),
-    "dup_line_permille": (95, "high", 400),
-    "repeat_word_permille": (95, "high", 100),
-    "mean_word_decichars": (95, "high", 40),
-    "mean_word_low": (5, "low", 20),
+    "symbol_permille": ("high", True),
+    "dup_line_permille": ("high", True),
+    "repeat_word_permille": ("high", True),
+    "mean_word_decichars": ("high", False),
+    "mean_word_low": ("low", False),
 }
 SPACES = "\t\n\x0b\x0c\r"
 
@@ -87,6 +94,7 @@ def share(part: str, whole: str, scale: int) -> Column:
     return F.when(F.col(whole) > 0, F.expr(f"({part} * {scale}) div {whole}")).otherwise(F.lit(0)).cast("long")
 
 
+#: part, whole and scale
 MEASURES = {
     "symbol_permille": ("n_symbols", "word_chars", 1000),
     "dup_line_permille": ("n_dup_lines", "n_lines", 1000),
@@ -94,6 +102,9 @@ MEASURES = {
     "mean_word_decichars": ("word_chars", "n_words", 10),
     "mean_word_low": ("word_chars", "n_words", 10),
 }
+#: What a text is not judged for: one symbol, one repeated line, one window with its copy hold no pattern yet,
+#: however large their share of a short text is.
+SINGLE = {"n_symbols": 1, "n_dup_lines": 1, "n_repeat_words": 10}
 
 
 def bin_of(value: Column) -> Column:
@@ -118,15 +129,28 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def quantiles(histogram: DataFrame, keys: list[str]) -> DataFrame:
-    """Median and outer quantile of each measure, and the number of texts, by ``keys``."""
+    """Median, quartile and outer tenth of each measure on its fence's side, and the number of texts, by ``keys``."""
     merged = histogram.groupBy(*keys, "measure", "bin").agg(F.sum("c").alias("c"))
     # A group has at most as many rows as a histogram has bins.
     upto = Window.partitionBy(*keys, "measure").orderBy("bin")
     ranked = merged.withColumns({"upto": F.sum("c").over(upto), "total": F.sum("c").over(Window.partitionBy(*keys, "measure"))})
-    outer = F.element_at(F.create_map(*[F.lit(x) for m in FENCES for x in (m, FENCES[m][0])]), F.col("measure"))
-    at = lambda percent: F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent, F.col("bin")))
-    return ranked.withColumn("outer", outer).groupBy(*keys, "measure", "total").agg(
-        low_end(at(F.lit(50))).alias("median"), low_end(at(F.col("outer"))).alias("far"))
+    high = F.col("measure").isin([m for m in FENCES if FENCES[m][0] == "high"])
+    at = lambda percent: low_end(F.min(F.when(F.col("upto") * 100 >= F.col("total") * percent, F.col("bin"))))
+    return ranked.groupBy(*keys, "measure", "total").agg(
+        at(F.lit(50)).alias("median"), at(F.when(high, 75).otherwise(25)).alias("quartile"), at(F.when(high, 90).otherwise(10)).alias("tenth"))
+
+
+def fences(histogram: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of ``keys``: the number of texts ``_n`` and each measure's own fence, null without a spread."""
+    quartile, tenth = (F.abs(F.col(x) - F.col("median")) for x in ("quartile", "tenth"))
+    spread = F.when(quartile > 0, quartile).when(tenth > 0, tenth)
+    if keys == ALL:
+        spread = F.coalesce(spread, F.lit(1))
+    wide = []
+    for m, (side, _) in FENCES.items():
+        fence = F.col("median") + (REACH if side == "high" else -REACH) * spread
+        wide.append(F.max(F.when(F.col("measure") == m, fence)).alias(m))
+    return quantiles(histogram, keys).groupBy(*keys).agg(F.max("total").alias("_n"), *wide)
 
 
 def limits(rows: DataFrame) -> DataFrame:
@@ -135,23 +159,16 @@ def limits(rows: DataFrame) -> DataFrame:
     path = scratch(spark, "quality-sketches")
     sketches(rows).write.parquet(path)
     found = spark.read.parquet(path)
-    levels = []
-    for keys in (["lang", "source"], ["lang"], []):
-        q = quantiles(found.withColumn("_all", F.lit(0)), keys or ["_all"])
-        wide = []
-        for m, (_, side, room) in FENCES.items():
-            sign = 1 if side == "high" else -1
-            distance = F.greatest((REACH + 1) * sign * (F.col("far") - F.col("median")), F.lit(room))
-            wide.append(F.max(F.when(F.col("measure") == m, F.col("median") + sign * distance)).alias(m))
-        levels.append(q.groupBy(*(keys or ["_all"])).agg(F.max("total").alias("_n"), *wide))
-    own, by_lang, all_ = levels
-    group = own.select(F.col("lang"), F.col("source"), F.col("_n").alias("_n0"), *[F.col(m).alias(f"{m}_0") for m in FENCES])
-    lang = by_lang.select(F.col("lang").alias("_lang"), F.col("_n").alias("_n1"), *[F.col(m).alias(f"{m}_1") for m in FENCES])
-    joined = group.join(lang, F.col("lang").eqNullSafe(F.col("_lang")))
-    whole = all_.select(F.struct(*FENCES)).scalar()  # one row
-    return joined.select("lang", "source", *[
-        F.when(F.col("_n0") >= LEAST, F.col(f"{m}_0")).when(F.col("_n1") >= LEAST, F.col(f"{m}_1")).otherwise(whole[m]).alias(f"_limit_{m}")
-        for m in FENCES])
+    whole = fences(found.withColumns({k: F.lit(0) for k in ALL}), ALL).select(F.struct(*FENCES)).scalar()  # one row
+    enough = F.col("_n") >= LEAST
+
+    def within(m: str, wider: Column) -> Column:
+        """The group's fence, or the wider limit; for shares the lower of the two (``least`` passes over nulls)."""
+        return (F.least if FENCES[m][1] else F.coalesce)(F.when(enough, F.col(m)), wider)
+
+    by_lang = fences(found, ["lang"]).select(F.col("lang").alias("_lang"), *[within(m, whole[m]).alias(f"_{m}") for m in FENCES])
+    joined = fences(found, ["lang", "source"]).join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")))
+    return joined.select("lang", "source", *[within(m, F.col(f"_{m}")).alias(f"_limit_{m}") for m in FENCES])
 
 
 def judged(documents: DataFrame) -> DataFrame:
@@ -159,7 +176,8 @@ def judged(documents: DataFrame) -> DataFrame:
 
     ``base_failed``: fewer than ten words, or over a fifth of them in repeated windows. Others are
     kept unless a measure lies beyond its group's limit. Null and empty texts have no words and fail;
-    a null language or source is a group like any other. Rows that repeat are judged alike.
+    a null language or source is a group like any other. Rows that repeat are judged alike. Texts of any length are measured
+    whole; other columns of ``documents`` are not read.
     """
     spark = documents.sparkSession
     path = scratch(spark, "quality-measures")
@@ -171,7 +189,8 @@ def judged(documents: DataFrame) -> DataFrame:
     found = limits(rows.where("NOT base_failed")).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     joined = rows.join(found, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     inside = F.lit(True)
-    for m, (_, side, _room) in FENCES.items():
-        value = share(*MEASURES[m])
+    for m, (side, _) in FENCES.items():
+        part, total, scale = MEASURES[m]
+        value = share(f"greatest({part} - {SINGLE.get(part, 0)}, 0)", total, scale)
         inside = inside & F.coalesce((value <= F.col(f"_limit_{m}")) if side == "high" else (value >= F.col(f"_limit_{m}")), F.lit(True))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"))

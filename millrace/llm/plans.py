@@ -99,26 +99,31 @@ QUALITY_SQL = f"""
                  CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_word_permille,
                  CASE WHEN n_words > 0 THEN word_chars * 10 // n_words ELSE 0 END AS mean_word_decichars FROM f),
     u AS (SELECT lang, source, unnest([
-            {{'m': 's', 'p': 95, 'v': symbol_permille}}, {{'m': 'd', 'p': 95, 'v': dup_line_permille}},
-            {{'m': 'r', 'p': 95, 'v': repeat_word_permille}}, {{'m': 'h', 'p': 95, 'v': mean_word_decichars}},
-            {{'m': 'l', 'p': 5, 'v': mean_word_decichars}}]) AS x FROM m WHERE NOT base_failed),
+            {{'m': 's', 'p': 1, 'v': symbol_permille}}, {{'m': 'd', 'p': 1, 'v': dup_line_permille}},
+            {{'m': 'r', 'p': 1, 'v': repeat_word_permille}}, {{'m': 'h', 'p': 1, 'v': mean_word_decichars}},
+            {{'m': 'l', 'p': -1, 'v': mean_word_decichars}}]) AS x FROM m WHERE NOT base_failed),
     h AS (SELECT lang, source, x.m AS m, x.p AS p, greatest(length(bin(x.v)) - 6, 0) * 32 + (x.v >> greatest(length(bin(x.v)) - 6, 0)) AS bin FROM u),
     lev AS (SELECT 0 AS level, lang, source, m, p, bin FROM h UNION ALL SELECT 1, lang, NULL, m, p, bin FROM h UNION ALL SELECT 2, NULL, NULL, m, p, bin FROM h),
     c AS (SELECT level, lang, source, m, p, bin, count(*) AS c FROM lev GROUP BY ALL),
     k AS (SELECT *, sum(c) OVER (PARTITION BY level, lang, source, m ORDER BY bin) AS upto, sum(c) OVER (PARTITION BY level, lang, source, m) AS total FROM c),
-    q AS (SELECT level, lang, source, m, total, min(bin) FILTER (upto * 100 >= total * 50) AS b50, min(bin) FILTER (upto * 100 >= total * p) AS bp FROM k GROUP BY ALL),
-    e AS (SELECT level, lang, source, m, total, (b50 - greatest(b50 // 32 - 1, 0) * 32) << greatest(b50 // 32 - 1, 0) AS mid,
-                 (bp - greatest(bp // 32 - 1, 0) * 32) << greatest(bp // 32 - 1, 0) AS far FROM q),
-    fen AS (SELECT level, lang, source, max(total) AS n,
-                 max(mid + greatest(4 * (far - mid), 100)) FILTER (m = 's') AS s, max(mid + greatest(4 * (far - mid), 400)) FILTER (m = 'd') AS d,
-                 max(mid + greatest(4 * (far - mid), 100)) FILTER (m = 'r') AS r, max(mid + greatest(4 * (far - mid), 40)) FILTER (m = 'h') AS h,
-                 max(mid - greatest(4 * (mid - far), 20)) FILTER (m = 'l') AS l FROM e GROUP BY level, lang, source),
-    pick AS (SELECT a.lang, a.source, CASE WHEN a.n >= 200 THEN a WHEN z.n >= 200 THEN z ELSE y END AS x
-             FROM (SELECT * FROM fen WHERE level = 0) a JOIN (SELECT * FROM fen WHERE level = 1) z ON a.lang IS NOT DISTINCT FROM z.lang,
-                  (SELECT * FROM fen WHERE level = 2) y)
+    q AS (SELECT level, lang, source, m, p, total, unnest([50, 50 + 25 * p, 50 + 40 * p]) AS pct,
+                 unnest([min(bin) FILTER (upto * 100 >= total * 50), min(bin) FILTER (upto * 100 >= total * (50 + 25 * p)),
+                         min(bin) FILTER (upto * 100 >= total * (50 + 40 * p))]) AS bin FROM k GROUP BY level, lang, source, m, p, total),
+    v AS (SELECT level, lang, source, m, p, total, pct, (bin - greatest(bin // 32 - 1, 0) * 32) << greatest(bin // 32 - 1, 0) AS value FROM q),
+    e AS (SELECT level, lang, source, m, p, total, max(value) FILTER (pct = 50) AS mid,
+                 abs(max(value) FILTER (abs(pct - 50) = 25) - max(value) FILTER (pct = 50)) AS near,
+                 abs(max(value) FILTER (abs(pct - 50) = 40) - max(value) FILTER (pct = 50)) AS far FROM v GROUP BY ALL),
+    o AS (SELECT level, lang, source, m, total, mid + p * {adaptive_rules.REACH} * CASE WHEN near > 0 THEN near WHEN far > 0 THEN far WHEN level = 2 THEN 1 END AS own FROM e),
+    fen AS (SELECT level, lang, source, max(total) AS n, max(own) FILTER (m = 's') AS s, max(own) FILTER (m = 'd') AS d,
+                 max(own) FILTER (m = 'r') AS r, max(own) FILTER (m = 'h') AS h, max(own) FILTER (m = 'l') AS l FROM o GROUP BY level, lang, source),
+    big AS (SELECT level, lang, source, CASE WHEN n >= {adaptive_rules.LEAST} OR level = 2 THEN {{'s': s, 'd': d, 'r': r, 'h': h, 'l': l}} END AS x FROM fen),
+    lan AS (SELECT z.lang, least(z.x.s, y.x.s) AS s, least(z.x.d, y.x.d) AS d, least(z.x.r, y.x.r) AS r, coalesce(z.x.h, y.x.h) AS h, coalesce(z.x.l, y.x.l) AS l
+            FROM (SELECT * FROM big WHERE level = 1) z, (SELECT * FROM big WHERE level = 2) y),
+    pick AS (SELECT a.lang, a.source, {{'s': least(a.x.s, z.s), 'd': least(a.x.d, z.d), 'r': least(a.x.r, z.r), 'h': coalesce(a.x.h, z.h), 'l': coalesce(a.x.l, z.l)}} AS x
+             FROM (SELECT * FROM big WHERE level = 0) a JOIN lan z ON a.lang IS NOT DISTINCT FROM z.lang)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND coalesce(symbol_permille <= x.s AND dup_line_permille <= x.d AND repeat_word_permille <= x.r
-             AND mean_word_decichars <= x.h AND mean_word_decichars >= x.l, true) AS kept
+           NOT base_failed AND coalesce(greatest(n_symbols - 1, 0) * 1000 // word_chars <= x.s AND greatest(n_dup_lines - 1, 0) * 1000 // n_lines <= x.d
+             AND greatest(n_repeat_words - 10, 0) * 1000 // n_words <= x.r AND mean_word_decichars <= x.h AND mean_word_decichars >= x.l, true) AS kept
     FROM m LEFT JOIN pick ON m.lang IS NOT DISTINCT FROM pick.lang AND m.source IS NOT DISTINCT FROM pick.source"""
 
 

@@ -151,6 +151,17 @@ def test_limits_adapt(spark):
     assert all(got.values())
 
 
+def test_junk_does_not_set_its_own_limit(spark):
+    """A source with a quarter of its texts full of symbols, and a third of all rows, keeps none of these."""
+    plain = lambda i: " ".join(f"word{i}x{k}" for k in range(30))
+    junk = lambda i: " ".join(f"#$%{i}x{k}" for k in range(30))
+    data = [(i, plain(i), "en", "ab"[i % 2]) for i in range(600)] + [(i, (plain if i % 4 else junk)(i), "en", "hot") for i in range(600, 900)]
+    # One symbol, one repeated line or one repeated window is no pattern.
+    data += [(1000, plain(500) + " $", "en", "a"), (1001, "one line\n" * 2 + plain(501), "en", "b"), (1002, plain(502) + " " + " ".join(plain(502).split()[:5]) + " " + plain(503), "en", "a")]
+    got = {r.doc_id: r.kept for r in adaptive_rules.judged(spark.createDataFrame(data, "doc_id BIGINT, text STRING, lang STRING, source STRING")).collect()}
+    assert {i for i, kept in got.items() if not kept} == set(range(600, 900, 4))
+
+
 def test_nothing_to_judge(nothing):
     assert adaptive_rules.judged(nothing).collect() == []
 
