@@ -225,3 +225,28 @@ def test_no_labels(spark, nothing):
     assert toxicity.scored(nothing, model).collect() == []
     docs = spark.createDataFrame([(1, "a b", "en")], "doc_id BIGINT, text STRING, lang STRING")
     assert toxicity.scored(docs, model).first().score < 0.3
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    """All rows of all shards, whatever their number and length."""
+    def word(i):
+        return f"own{i}x"
+
+    data = [(i, f"{word(i)} {'idiot' if i % 3 == 0 else 'fine'} words", "en") for i in range(7000)]
+    data += [(i, "calm " * 5000 + f"{word(i)} end", "en") for i in range(7000, 7010)]
+    docs = spark.createDataFrame(data + data[:5], "doc_id BIGINT, text STRING, lang STRING")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _, _ in data], "doc_id BIGINT, toxic INT")
+    model = toxicity.fitted(docs, labels, F.lit(True), toxicity.Fit(shard=2000, epochs=1, steps=1))
+    seen = [model.whole[toxicity.buckets(word(i).encode())[0]].any() for i in range(7010)]
+    assert 0.75 * 7010 < sum(seen) < 0.85 * 7010  # the others are kept for calibration
+    assert 4 <= sum(seen[7000:]) <= 10
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert min(got[i] for i in range(0, 7000, 3)) > 0.5 > max(got[i] for i in range(7000) if i % 3)
+
+
+def test_long_texts_alone_can_be_learned(spark):
+    data = [(i, "calm words " * 2500 + ("moron" if i % 2 else "fine"), "en") for i in range(60)]
+    docs = spark.createDataFrame(data, "doc_id BIGINT, text STRING, lang STRING")
+    model = toxicity.fitted(docs, spark.createDataFrame([(i, i % 2) for i, _, _ in data], "doc_id BIGINT, toxic INT"), F.lit(True), toxicity.Fit(steps=60))
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    assert all((got[i] > 0.5) == (i % 2 == 1) for i in got)
