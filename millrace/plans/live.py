@@ -478,7 +478,9 @@ def state_clear(spark, sf):
 
 @query("state_map", f"WITH {SENSOR_SQL} SELECT id, event_type, count(*) AS ct FROM s GROUP BY id, event_type")
 def state_map(spark, sf):
-    parts = live.newest(_state(spark, sf, state.CountByField()), ["id", "salt", "event_type"])
+    readings = state.counted(tables.event_stream(spark, sf).select(F.col("user_id").alias("id"), "event_type"), "id", "event_type")
+    emitted = live.drain(state.salted_state(readings, "id", state.CountByField(), salts=1), "update")
+    parts = live.newest(emitted, ["id", "salt", "event_type"])
     return parts.groupBy("id", "event_type").agg(F.sum("ct").alias("ct"))
 
 
@@ -543,8 +545,8 @@ def timer_event(spark, sf):
 @query("timer_processing", "SELECT user_id AS id, count(*) AS seen FROM events GROUP BY user_id")
 def timer_processing(spark, sf):
     """A clock timer a second after a key's rows, on a stream that runs until all have fired."""
-    readings = tables.sensor(tables.event_stream(spark, sf)).withColumn("salt", F.pmod(F.hash("event_id"), F.lit(8)))
-    fired = readings.groupBy("id", "salt").transformWithState(
-        state.ClockTimer(1_000), "id BIGINT, salt INT, seen BIGINT", "append", "ProcessingTime"
+    readings = tables.sensor(tables.event_stream(spark, sf)).withColumn("salt", F.lit(0))  # counted in tasks, a hot key is not spread
+    fired = state.counted(readings, "id", "salt").groupBy("id", "salt").transformWithState(
+        state.ClockTimer(1_000, "n"), "id BIGINT, salt INT, seen BIGINT", "append", "ProcessingTime"
     )
     return live.run_until_quiet(fired, "append").groupBy("id").agg(F.sum("seen").alias("seen"))

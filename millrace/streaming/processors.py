@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 BLOCK = 10_000  # rows sent to the state store at a time
+COUNTED = 1_000_000  # rows of a task that are counted at a time
 PAGE_BITS = 65_536  # of a bitmap: 8 KB
 PAIR = "start_ts BIGINT, end_ts BIGINT, outcome STRING"
 
@@ -252,21 +253,42 @@ class KeyTimers(Named):
         yield self.row(*key, expiredTimerInfo.getExpiryTimeInMs())
 
 
+def counted(df: DataFrame, *keys: str) -> DataFrame:
+    """Numbers ``n`` of rows by ``keys`` on a stream, to be added up: a task sends a row of a key per ``COUNTED`` rows, also of a hot one."""
+    def folded(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        found = pa.Table.from_batches(held).group_by(list(keys)).aggregate([([], "count_all")])
+        return found.select([*keys, "count_all"]).rename_columns([*keys, "n"]).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= COUNTED:
+                yield from folded(held)
+                held, size = [], 0
+        if held:
+            yield from folded(held)
+
+    rows = df.select(*keys)
+    return rows.mapInArrow(run, rows.withColumn("n", F.lit(0).cast("long")).schema)
+
+
 class ClockTimer(Named):
-    """A clock timer some time after a key's rows; counts the rows seen until it fires."""
+    """A clock timer some time after a key's rows; counts the rows seen until it fires, or adds up what ``n`` says each stands for."""
 
     columns = ("id", "salt", "seen")
 
-    def __init__(self, delay_ms: int) -> None:
-        self.delay_ms = delay_ms
+    def __init__(self, delay_ms: int, n: str | None = None) -> None:
+        self.delay_ms, self.n = delay_ms, n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.seen = handle.getValueState("seen", "n BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n = self.seen.get()[0] if self.seen.exists() else 0
-        self.seen.update((n + sum(1 for _ in rows),))
+        before = self.seen.get()
+        self.seen.update(((before[0] if before else 0) + sum(r[self.n] if self.n else 1 for r in rows),))
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay_ms)
         return iter(())
 
@@ -277,7 +299,7 @@ class ClockTimer(Named):
 
 
 class ClockWindow(Named):
-    """Counts the rows of a key and window; the window is given out and forgotten when the clock passes its end."""
+    """Adds up the ``n`` of a key and window; the window is given out and forgotten when the clock passes its end."""
 
     columns = ("id", "salt", "window_ms", "ct")
 
@@ -290,7 +312,7 @@ class ClockWindow(Named):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = self.count.get()
-        self.count.update(((before[0] if before else 0) + sum(1 for _ in rows),))
+        self.count.update(((before[0] if before else 0) + sum(r["n"] for r in rows),))
         if before is None:
             self.handle.registerTimer(key[2] + self.size_ms)
         return iter(())
@@ -327,13 +349,16 @@ class ClockSession(Named):
         yield self.row(*key, start, n)
 
 
-def clock_windows(df: DataFrame, key: str, size_ms: int, slide_ms: int | None = None, salts: int = 8) -> DataFrame:
+def clock_windows(df: DataFrame, key: str, size_ms: int, slide_ms: int | None = None, salts: int = 1) -> DataFrame:
     """Tumbling or sliding windows of a stream by the clock of its micro-batches, without a watermark: counts per
-    ``id``, ``salt`` and ``window_ms``, the window's start. A hot key is spread over ``salts``; add up its parts."""
+    ``id``, ``salt`` and ``window_ms``, the window's start. Rows are counted in their tasks before they are shuffled and copied to
+    windows, so a hot key needs no ``salts``; with more than one, add up its parts."""
     slide = slide_ms or size_ms
     latest = F.floor(F.unix_millis(F.current_timestamp()) / slide) * slide  # the same for a whole batch, also if it runs again
     starts = F.transform(F.sequence(F.lit(0), F.lit(size_ms // slide - 1)), lambda i: latest - i * slide)
-    placed = df.select(F.col(key).alias("id"), F.pmod(F.hash("event_id"), F.lit(salts)).alias("salt"), F.explode(starts).alias("window_ms"))
+    salt = F.pmod(F.hash("event_id"), F.lit(salts)) if salts > 1 else F.lit(0)
+    rows = counted(df.select(F.col(key).alias("id"), salt.alias("salt")), "id", "salt")
+    placed = rows.select("id", "salt", "n", F.explode(starts).alias("window_ms"))
     return placed.groupBy("id", "salt", "window_ms").transformWithState(
         ClockWindow(size_ms), f"id {dict(df.dtypes)[key]}, salt INT, window_ms BIGINT, ct BIGINT", "append", "ProcessingTime")
 
@@ -461,7 +486,7 @@ class Cleared(Stateful):
 
 
 class CountByField(Stateful):
-    """Map state: a count per sub-key."""
+    """Map state: a count per sub-key, of rows from :func:`counted`."""
 
     schema = "event_type STRING, ct BIGINT"
 
@@ -469,10 +494,13 @@ class CountByField(Stateful):
         self.state = handle.getMapState("counts", "event_type STRING", "ct BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for sub, more in Counter((row["event_type"],) for row in rows).items():
-            n = self.state.getValue(sub)[0] if self.state.containsKey(sub) else 0
-            self.state.updateValue(sub, (n + more,))
-        for (sub,), (n,) in self.state.iterator():
+        counts, more = {tuple(sub): n[0] for sub, n in self.state.iterator()}, Counter()
+        for row in rows:
+            more[(row["event_type"],)] += row["n"]
+        for sub, n in more.items():
+            counts[sub] = counts.get(sub, 0) + n
+            self.state.updateValue(sub, (counts[sub],))
+        for (sub,), n in counts.items():
             yield self.row(*key, sub, n)
 
 
@@ -550,11 +578,11 @@ class Expiring(Stateful):
 def salted_state(
     df: DataFrame, key: str, processor: Stateful, salts: int = 8, time_mode: str = "None", initial: DataFrame | None = None
 ) -> DataFrame:
-    """State per (key, salt), in update mode. Merge the parts of a key when reading.
+    """State per (key, salt), in update mode. Merge the parts of a key when reading. Rows from :func:`counted` need one salt.
 
     ``initial`` has the columns of key, salt and state, as from :func:`stored_state`; a new query starts from it.
     """
-    spread = df.withColumn("salt", F.pmod(F.hash("event_id"), F.lit(salts)))
+    spread = df.withColumn("salt", F.pmod(F.hash("event_id"), F.lit(salts)) if salts > 1 else F.lit(0))
     key_type = dict(df.dtypes)[key]
     processor.columns = [key, "salt", *_columns(processor.schema)]
     return spread.groupBy(key, "salt").transformWithState(

@@ -137,3 +137,16 @@ def test_clock_windows_leave_nothing(spark, sf):
     windows = live.run_until_quiet(state.clock_windows(tables.event_stream(spark, sf), "user_id", 2_000, 1_000), "append").collect()
     assert sum(r.ct for r in windows) == 2 * spark.read.parquet(f"{sf}/events.parquet").count()
     assert all(r.window_ms % 1_000 == 0 for r in windows) and len({r.window_ms for r in windows}) >= 2
+
+
+def test_counted_rows_of_a_hot_key_are_few(spark, tmp_path):
+    """A task sends a row per key, not per row; null keys count as well, over several blocks too."""
+    spark.range(30_000).selectExpr("if(id % 3 = 0, null, id % 2) AS id", "0 AS salt").coalesce(1).write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id BIGINT, salt INT").parquet(str(tmp_path / "in"))
+    got = live.drain(state.counted(rows, "id", "salt"), "append").drop("batch")
+    assert sorted(map(repr, map(tuple, got.collect()))) == ["(0, 0, 10000)", "(1, 0, 10000)", "(None, 0, 10000)"]
+
+
+def test_clock_windows_keep_one_state_per_key(spark, sf):
+    emitted = live.run_until_quiet(state.clock_windows(tables.event_stream(spark, sf), "user_id", 2_000, 1_000), "append")
+    assert emitted.count() == emitted.select("id", "window_ms").distinct().count()
