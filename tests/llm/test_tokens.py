@@ -142,6 +142,16 @@ def test_nothing_to_learn_from(documents):
     assert all(r.n_known == 0 and r.base_score == 0 and r.score == 0 for r in got)
 
 
+def test_seatings_use_the_sums_of_all_words(spark, monkeypatch):
+    """Scores do not follow the words that share a hash range: the sums are of all ranges, not one's times their number."""
+    rows = [(i, " ".join(f"w{(i * j) % 97} the w{(i + j) % 7} rare{i}x{j}" for j in range(1, 12))) for i in range(120)]
+    documents, found = spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), []
+    for n in (1, 64):
+        monkeypatch.setattr(pitman_yor, "LEAST_RANGES", n)
+        found.append(sum(r.score for r in pitman_yor.scored(documents, F.col("doc_id") % 10 == 0).collect()))
+    assert found[0] == pytest.approx(found[1], rel=0.003)
+
+
 STREAMS = [[], [0], [2 ** 32 - 1, 5], list(range(9000)), [7] * 5000, [1, 2, 3] * 4000]
 
 
