@@ -234,7 +234,11 @@ def in_order(df: DataFrame, key: str, kind: Column, processor: InOrder) -> DataF
 
 
 class KeyTimers(Named):
-    """An event-time timer ``delay_ms`` after each row; emits its time when it fires."""
+    """An event-time timer ``delay_ms`` after each row; emits its time when it fires.
+
+    A key's times wait in list state, up to ``BLOCK`` in a value. The store holds a timer for the next one alone;
+    when it fires, all that are due are given out.
+    """
 
     columns = ("id", "fired_ms")
 
@@ -243,14 +247,38 @@ class KeyTimers(Named):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.waiting = handle.getListState("waiting", "times BINARY")
+        self.alarm = handle.getValueState("alarm", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for ms in {row["us"] // 1000 for row in rows}:
-            self.handle.registerTimer(ms + self.delay_ms)
+        before = self.alarm.get()
+        earliest = before[0] if before else None
+        while block := [row["us"] // 1000 + self.delay_ms for row in islice(rows, BLOCK)]:
+            times = np.unique(np.array(block, np.int64))
+            self.waiting.appendValue((times.tobytes(),))
+            earliest = int(times[0]) if earliest is None else min(earliest, int(times[0]))
+        if before is None or earliest < before[0]:
+            if before:
+                self.handle.deleteTimer(before[0])
+            self._wake(earliest)
         return iter(())
 
+    def _wake(self, at: int) -> None:
+        self.handle.registerTimer(at)
+        self.alarm.update((at,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield self.row(*key, expiredTimerInfo.getExpiryTimeInMs())
+        times = np.unique(np.concatenate([np.frombuffer(block, np.int64) for (block,) in self.waiting.get()]))
+        n = np.searchsorted(times, timerValues.getCurrentWatermarkInMs(), side="right")
+        later = times[n:]
+        if len(later):
+            self.waiting.put([(later[i:i + BLOCK].tobytes(),) for i in range(0, len(later), BLOCK)])
+            self._wake(int(later[0]))
+        else:
+            self.waiting.clear()
+            self.alarm.clear()
+        for at in times[:n].tolist():
+            yield self.row(*key, at)
 
 
 def counted(df: DataFrame, *keys: str) -> DataFrame:

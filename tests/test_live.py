@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from millrace.operators import joins, patterns
 from millrace.plans import matching
@@ -150,3 +151,69 @@ def test_counted_rows_of_a_hot_key_are_few(spark, tmp_path):
 def test_clock_windows_keep_one_state_per_key(spark, sf):
     emitted = live.run_until_quiet(state.clock_windows(tables.event_stream(spark, sf), "user_id", 2_000, 1_000), "append")
     assert emitted.count() == emitted.select("id", "window_ms").distinct().count()
+
+
+class Kept:
+    """State of one key, as a processor sees it; counts the timers that are set."""
+
+    def __init__(self):
+        self.values, self.timers, self.set, self.alarm = [], set(), 0, One()
+
+    def getListState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return self.alarm
+
+    def get(self):
+        return iter(self.values)
+
+    def appendValue(self, value):
+        self.values.append(value)
+
+    def put(self, values):
+        self.values = list(values)
+
+    def clear(self):
+        self.values = []
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+        self.set += 1
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class One:
+    def __init__(self):
+        self.value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+def test_a_key_keeps_one_timer():
+    """Timers of many rows of a key wait in its state; the store holds the next one alone."""
+    def fire(now):
+        due = [t for t in kept.timers if t <= now]
+        kept.timers -= set(due)
+        clock = TimerValues(-1, now)
+        return [r["fired_ms"] for t in due for r in timers.handleExpiredTimer((1,), clock, ExpiredTimerInfo(t))]
+
+    kept = Kept()
+    timers = state.KeyTimers(1_000)
+    timers.init(kept)
+    for ms in ([5, 900, 5], range(20_000, 50_000), [3, 5]):  # a later batch has an earlier row
+        list(timers.handleInputRows((1,), iter([{"us": m * 1000 + 7} for m in ms]), None))
+        assert len(kept.timers) == 1
+    assert fire(1_002) == [] and fire(1_003) == [1_003]
+    assert fire(2_000) == [1_005, 1_900]
+    assert fire(21_000) == [21_000] and fire(60_000) == list(range(21_001, 51_000))
+    assert not kept.timers and not kept.values and kept.alarm.value is None and kept.set < 10
