@@ -325,10 +325,18 @@ def _with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts:
     step = F.when(lead.isNull() | (lead < F.col("_scan_low")), 0).otherwise(1 + F.least(place, n).cast("int"))
     placed = joined.withColumn("_scan_step", F.when(F.col(_SLOT).isNotNull(), step))
     found = placed.join(F.broadcast(cuts.steps), (F.col(_SLOT) == F.col("_scan_of")) & (F.col("_scan_step") == F.col("_scan_nth")), "left")
-    chunk = F.col("_scan_first") + F.size(F.filter("_scan_within", lambda p: p < here))
+    chunk = F.col("_scan_first") + _below(F.col("_scan_within"), here)
     return found.select(*[df[c] for c in df.columns], chunk.alias(CHUNK))
 
 
+def _below(points: Column, here: Column) -> Column:
+    """How many of some sorted points are less than ``here``, mostly of none or one; no lambda, so that it is compiled with the joins."""
+    n = F.size(points)
+    place = F.array_position(F.sort_array(F.concat(points, F.array(here))), here).cast("int") - 1
+    one = F.when(F.get(points, F.lit(0)) < here, 1).otherwise(0)
+    return F.when(n == 0, 0).when(n == 1, one).when(here.isNull(), 0).otherwise(place)
+
+
 def keyed_scan(
     df: DataFrame,
     keys: Sequence[str],

@@ -83,3 +83,23 @@ def test_whole_table_has_no_single_partition_sort(skewed):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # The only single-partition exchange orders the chunk aggregates.
     assert plan.count("SinglePartition") <= 2
+
+
+def test_chunks_are_found_without_lambdas(skewed):
+    """A lambda would keep the joins that find a row's chunk from being compiled."""
+    rows = scan.chunked(skewed, ["k"], ["t", "i"], hot_rows=100)
+    assert "lambda" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("double", [None, float("-inf"), -1.5, -0.0, 0.0, 2.0, float("nan")]),
+    ("string", [None, "", "a", "ab", "b"]),
+    ("struct<o0:bigint,o1:string>", [(None, None), (None, "a"), (1, None), (1, "a"), (1, "b"), (2, "")]),
+])
+def test_points_below(spark, kind, values):
+    known = [v for v in values if v is not None]
+    rows = [(here, known[a:a + n]) for here in values for n in range(4) for a in range(len(known) - n + 1)]
+    df = spark.createDataFrame([*rows, (known[0], None)], f"here {kind}, points array<{kind}>")
+    want = F.size(F.filter("points", lambda p: p < F.col("here")))
+    got = df.select(scan._below(F.col("points"), F.col("here")).alias("got"), F.when(F.col("points").isNotNull(), want).alias("want")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
