@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,9 +175,19 @@ class Encoder(dict):
         self.table = table
         self.trie: Trie | None = None
 
-    def texts(self, found: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts; the units that are new are searched together."""
+    def texts(self, found: list[str], beyond: list[int] | None = None) -> list[np.ndarray]:
+        """Ids of texts, in whose last ``beyond`` characters no piece may start; the units that are new are searched together."""
         split = [self.table.units(t) for t in found]
+        lasts = [b""] * len(split)
+        for k, b in enumerate(beyond or []):
+            if b:
+                last = split[k].pop()
+                lasts[k] = self.table.trace(last, len(last) - b)
+        self.learn(split)
+        return [np.frombuffer(b"".join(map(self.__getitem__, units)) + last, np.int32) for units, last in zip(split, lasts)]
+
+    def learn(self, split: list[list[str]]) -> None:
+        """Search the units that are new, together."""
         units = set().union(*split)
         fresh = units - self.keys()
         if len(self) + len(fresh) > MEMO:
@@ -186,7 +197,6 @@ class Encoder(dict):
         ordered = sorted(fresh, key=len, reverse=True)
         for a in range(0, len(ordered), GROUP):
             self._learn(ordered[a:a + GROUP])
-        return [np.frombuffer(b"".join(map(self.__getitem__, units)), np.int32) for units in split]
 
     def _learn(self, units: list[str]) -> None:
         """The search of :meth:`Pieces.paths` for units from long to short, place by place in all of them."""
@@ -246,11 +256,11 @@ class Encoder(dict):
         last = self.table.trace(units[-1], len(units[-1]) - beyond)
         return np.frombuffer(b"".join(map(self.__getitem__, units[:-1])) + last, np.int32)
 
-    def matrix(self, text: str, ahead: str) -> np.ndarray:
-        """Transfer matrix of a chunk that ``ahead`` follows."""
+    def matrix(self, text: str, ahead: str, units: list[str] | None = None) -> np.ndarray:
+        """Transfer matrix of a chunk that ``ahead`` follows; ``units`` are the chunk's, if they are known."""
         t, size = self.table, len(text)
         out = np.full((t.longest, t.longest), NONE)
-        units = t.units(text)
+        units = units or t.units(text)
         head = units[0]
         if len(units) == 1:
             for i in range(t.longest):
@@ -261,7 +271,7 @@ class Encoder(dict):
                     out[i, i - size] = 0.0  # the piece from before covers the whole chunk
             return out
         into = np.array([t.paths(head, len(head), i)[0][-1] if i <= len(head) else NONE for i in range(t.longest)])
-        middle = t.scores[self.stretch("".join(units[1:-1]))].sum() if len(units) > 2 else 0.0
+        middle = t.scores[np.frombuffer(b"".join(map(self.__getitem__, units[1:-1])), np.int32)].sum() if len(units) > 2 else 0.0
         reached = t.paths(units[-1] + ahead, len(units[-1]))[0][len(units[-1]):][:t.longest]
         out[:, :len(reached)] = into[:, None] + middle + np.array(reached)[None]
         return out
@@ -296,8 +306,9 @@ def _matrices(chunks: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces(path))
         for batch in batches_of(batches, 4 << 20):
-            encoder.texts(batch.column("text").to_pylist())
-            rows = [(r["row"], r["chunk"], encoder.matrix(r["text"], r["ahead"]).tobytes()) for r in batch.to_pylist()]
+            split = [encoder.table.units(t) for t in batch.column("text").to_pylist()]
+            encoder.learn(split)
+            rows = [(r["row"], r["chunk"], encoder.matrix(r["text"], r["ahead"], u).tobytes()) for r, u in zip(batch.to_pylist(), split)]
             yield _batch(rows, "row BIGINT, node INT, matrix BINARY")
 
     return chunks.mapInArrow(tidied(run), "row BIGINT, node INT, matrix BINARY")
@@ -386,14 +397,12 @@ def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces(model))
         for batch in batches_of(batches, 4 << 20):
-            out = []
-            encoder.texts(batch.column("text").to_pylist())
-            for r in batch.to_pylist():
-                size = len(r["text"])
-                inside = r["into"] < size
-                ids = encoder.stretch(r["text"][r["into"]:] + r["ahead"][:r["out"]], r["out"]) if inside else np.empty(0, np.int32)
-                out.append((r["row"], r["doc_id"], r["chunks"], r["chunk"], ids))
-            yield _encoded_batch(out, encoder.table)
+            rows = batch.to_pylist()
+            # A piece from before may cover a whole chunk, which then has none of its own.
+            inside = [r["into"] < len(r["text"]) for r in rows]
+            found = [r["text"][r["into"]:] + r["ahead"][:r["out"]] if x else "" for r, x in zip(rows, inside)]
+            ids = encoder.texts(found, [r["out"] if x else 0 for r, x in zip(rows, inside)])
+            yield _encoded_batch([(r["row"], r["doc_id"], r["chunks"], r["chunk"], i) for r, i in zip(rows, ids)], encoder.table)
 
     path = scratch(spark, "scan-chunks")
     _chunks(rows.where(long_), chunk, longest).write.parquet(path)
@@ -405,6 +414,17 @@ def encoded(documents: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
         chunks.join(states, ["row", "chunk"]).mapInArrow(tidied(part), ENCODED).withColumn("whole", F.lit(False)))
 
 
+def joined_pieces(ids: pa.ListArray, pieces: pa.LargeBinaryArray) -> tuple[pa.Array, pa.Array]:
+    """The pieces of each row one after the other, and their number; a null row has none."""
+    counts = pc.fill_null(pc.list_value_length(ids), 0).cast(pa.int64())
+    flat = ids.flatten()
+    sizes = pc.binary_length(pieces).to_numpy()[flat.to_numpy()]
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts.to_numpy())])]
+    raw = pieces.take(flat).buffers()[2] or pa.py_buffer(b"")
+    parts = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int64)), raw])
+    return parts.cast(pa.binary()), counts
+
+
 def decoded(encodings: DataFrame, model: str) -> DataFrame:
     """(doc_id, text, n_pieces, chunks, score) per text that :func:`encoded` has encoded.
 
@@ -413,15 +433,11 @@ def decoded(encodings: DataFrame, model: str) -> DataFrame:
     schema = "row BIGINT, doc_id BIGINT, chunks INT, chunk INT, score DOUBLE, n_pieces BIGINT, part BINARY"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Pieces(model).bytes
+        pieces = pa.array(Pieces(model).bytes, pa.large_binary())
         for batch in batches_of(batches, 4 << 20):
-            column = batch.column("ids")
-            flat = list(map(table.__getitem__, column.flatten().to_pylist()))
-            ends = np.cumsum([0, *(len(x) if x is not None else 0 for x in column)]).tolist()
-            parts = [b"".join(flat[a:b]) for a, b in zip(ends, ends[1:])]
-            counts = pa.array([b - a for a, b in zip(ends, ends[1:])], pa.int64())
+            parts, counts = joined_pieces(batch.column("ids"), pieces)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("row", "doc_id", "chunks", "chunk", "score")), counts, pa.array(parts, pa.binary())],
+                [*(batch.column(c) for c in ("row", "doc_id", "chunks", "chunk", "score")), counts, parts],
                 names=["row", "doc_id", "chunks", "chunk", "score", "n_pieces", "part"])
 
     text = F.decode(F.col("part"), "UTF-8")

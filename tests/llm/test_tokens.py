@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -70,6 +71,33 @@ def test_levels_of_matrices(spark, table, monkeypatch):
     assert r.score == pytest.approx(brute_score(table, max_plus.marked(text)))
 
 
+def test_a_chunk_is_split_once(table, monkeypatch):
+    """And searched once in each of the two passes."""
+    text, ahead = "some words  of a chunk\nthat goes on and on " * 9 + "unti", "l here and"
+    encoder, calls = max_plus.Encoder(table), []
+    split = table.units
+    monkeypatch.setattr(table, "units", lambda t: calls.append(t) or split(t))
+    units = table.units(text)
+    encoder.learn([units])
+    got = encoder.matrix(text, ahead, units)
+    assert calls == [text]
+    assert (got == max_plus.Encoder(table).matrix(text, ahead)).all()
+    calls.clear()
+    (ids,) = encoder.texts([text + ahead[:1]], [1])
+    assert calls == [text + ahead[:1]]
+    assert ids.tolist() == encoder.stretch(text + ahead[:1], 1).tolist()
+
+
+def test_pieces_of_rows_are_joined_in_arrays(table):
+    pieces = pa.array(table.bytes, pa.large_binary())
+    rows = [[], [5, 300, 31_000], None, [300] * 4, []]
+    for lists in (pa.array(rows, pa.list_(pa.int32())), pa.array([[9], *rows, [8]], pa.list_(pa.int32())).slice(1, 5), pa.array([], pa.list_(pa.int32()))):
+        parts, counts = max_plus.joined_pieces(lists, pieces)
+        want = lists.to_pylist()
+        assert parts.to_pylist() == [b"".join(table.bytes[i] for i in r or []) for r in want]
+        assert counts.to_pylist() == [len(r or []) for r in want]
+
+
 def test_nothing_to_encode(nothing):
     assert max_plus.decoded(max_plus.encoded(nothing, MODEL), MODEL).collect() == []
 
