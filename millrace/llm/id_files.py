@@ -29,6 +29,66 @@ from millrace.llm.words import batches_of, tidied
 
 FILE_IDS = 1 << 22
 TEXT_BYTES = 1 << 20  # given to the tokenizer at once
+MEMO = 400_000  # units whose ids a task remembers
+MEMO_CHARS = 64  # longer units are not remembered
+GROUP = 1024  # new words given to the tokenizer as one text
+
+_BLANKS = " \t\n\r"
+_UNITS = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall
+_ODD = re.compile(r"[^\S \t\n\r]|[\u180e\u200b\ufeff]").search  # blanks to some
+
+
+class Units(dict):
+    """Ids of units of a text, as bytes; short units are remembered.
+
+    A unit is a word with the one space before it, or blanks. A byte-level tokenizer with the usual split always cuts between
+    units, so the ids of a text are those of its units, which repeat. Words that are new go to the tokenizer many in a
+    text: each begins with its only space, and so does its first id. Texts with rarer blanks or an added token in them, and
+    all texts under other tokenizers, go to the tokenizer whole.
+    """
+
+    def __init__(self, model) -> None:
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.model, pre = model, model.pre_tokenizer
+        parts = (model.normalizer, model.post_processor, model.truncation, model.padding)
+        self.cuts = (isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and all(x is None for x in parts)
+                     and isinstance(model.model, BPE) and not model.model.dropout)
+        self.added = [t.content for t in model.get_added_tokens_decoder().values()]
+        names = model.get_vocab()
+        self.spaced = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.spaced[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as bytes, little-endian 32-bit numbers."""
+        apart = [self.cuts and not _ODD(t) and not any(a in t for a in self.added) for t in texts]
+        split = [_UNITS(t) if x else [] for t, x in zip(texts, apart)]
+        self._learn(set().union(*split))
+        whole = iter(self._coded([t for t, x in zip(texts, apart) if not x]))
+        return [b"".join(map(self.__getitem__, units)) if x else next(whole) for units, x in zip(split, apart)]
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(c.ids, "<u4").tobytes() for c in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: set[str]) -> None:
+        fresh = units - self.keys()
+        if len(self) + len(fresh) > MEMO:
+            self.clear()
+            fresh = units
+        fresh = [u for u in fresh if len(u) <= MEMO_CHARS]
+        words = [u for u in fresh if u[0] == " " and u[-1] not in _BLANKS]
+        if words:
+            raw = b"".join(self._coded(["".join(words[a:a + GROUP]) for a in range(0, len(words), GROUP)]))
+            starts = np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")])
+            bounds = [*(4 * starts).tolist(), len(raw)]
+            if len(starts) == len(words):
+                self.update((u, raw[a:b]) for u, a, b in zip(words, bounds, bounds[1:]))
+        others = [u for u in fresh if u not in self]
+        self.update(zip(others, self._coded(others)))
+
+    def __missing__(self, unit: str) -> bytes:
+        return self._coded([unit])[0]
 
 
 def file_bytes(docs: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
@@ -61,7 +121,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end: int = 2) -> Da
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer)
+        units, last = Units(Tokenizer.from_file(tokenizer)), np.array([end], "<u4").tobytes()
         store, top = fs.FileSystem.from_uri(place)
         part, number = TaskContext.get().partitionId(), 0
         docs: list[int | None] = []
@@ -84,10 +144,10 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end: int = 2) -> Da
 
         held = 0
         for batch in batches_of(batches, TEXT_BYTES):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, coded in zip(batch.column("doc_id").to_pylist(), model.encode_batch_fast(texts, add_special_tokens=False)):
+            coded = units.encoded([t or "" for t in batch.column("text").to_pylist()])
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), coded):
                 docs.append(doc)
-                arrays.append(np.array([*coded.ids, end], np.uint32))
+                arrays.append(np.frombuffer(raw + last, "<u4"))
                 held += len(arrays[-1])
                 if held >= FILE_IDS:
                     yield close()

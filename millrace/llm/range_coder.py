@@ -37,16 +37,21 @@ _WORD = np.uint64((1 << 32) - 1)
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each id; first id and size of each class."""
+    """Class of each id; first id and size of each class, as a power of two."""
     ids = np.arange(IDS)
     shift = np.maximum(np.frexp(ids)[1] - 3, 0)
     cls = np.where(ids < 8, ids, 4 * shift + (ids >> shift)).astype(np.int64)
     size = np.bincount(cls)
-    return cls, np.concatenate([[0], np.cumsum(size)]).astype(np.int64), size.astype(np.int64)
+    return cls, np.concatenate([[0], np.cumsum(size)]).astype(np.int64), np.log2(size).astype(np.int64)
 
 
-CLASS, FIRST, SIZE = _classes()
-CLASSES = len(SIZE)
+CLASS, FIRST, SHIFT = _classes()
+CLASSES = len(SHIFT)
+
+
+def _at(values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """``values[places]`` for places that are known to fit."""
+    return values.take(places, mode="clip")
 
 
 class Mixer:
@@ -74,46 +79,69 @@ class Mixer:
         mixed = self.two * 40503 + self.one * 30011
         self.slots = [self.slot_base + ((mixed ^ (mixed >> 11)) & (SLOTS - 1)), self.slot_base + ((self.one * 40503 >> 5) & (SLOTS - 1))]
         left = np.full(self.lanes, (1 << BITS) - (1 << BITS - 4), np.int64)
-        self.guess, self.level, self.place, self.given = [], [], [], []
+        self.guess, self.level, self.place, self.rate, self.given = [], [], [], [], []
         for table, rates, slot in zip(self.tables, self.rates, self.slots):
-            held = table[slot].astype(np.int64)
+            held = _at(table, slot).astype(np.int64)
             level = held & (LEVELS - 1)
             place = self.level_base + level
-            given = left * rates[place] >> 12
+            rate = _at(rates, place)
+            given = left * rate >> 12
             left -= given
             self.guess.append(held >> 4)
             self.level.append(level)
             self.place.append(place)
+            self.rate.append(rate)
             self.given.append(given)
         # What order 0 divides, beyond one for each id.
         self.spare = left + ((1 << BITS - 4) - IDS)
 
-    def bound(self, cls: np.ndarray) -> np.ndarray:
-        """Where a class begins among order 0's frequencies."""
-        return FIRST[cls] + (self.spare * self.bounds[self.bound_base + cls] >> CLASS_BITS)
+    def span(self, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a class begins among order 0's frequencies, and its width."""
+        at = self.bound_base + cls
+        first, low = _at(FIRST, cls), self.spare * _at(self.bounds, at) >> CLASS_BITS
+        low += first
+        at += 1
+        high = self.spare * _at(self.bounds, at) >> CLASS_BITS
+        high += _at(FIRST, cls + 1)
+        high -= low
+        return low, high
 
     def order0(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end of an id among order 0's frequencies."""
-        cls = CLASS[ids]
-        low = self.bound(cls)
-        width, size, at = self.bound(cls + 1) - low, SIZE[cls], ids - FIRST[cls]
-        return low + width * at // size, low + width * (at + 1) // size
+        cls = _at(CLASS, ids)
+        low, width = self.span(cls)
+        shift, at = _at(SHIFT, cls), ids - _at(FIRST, cls)
+        part = width * at
+        width += part
+        part >>= shift
+        width >>= shift
+        part += low
+        width += low
+        return part, width
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and size of an id in the whole mix."""
-        low, high = self.order0(ids)
+        return self.beside(ids, *self.order0(ids))
+
+    def beside(self, ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`interval` of an id whose place among order 0's frequencies is known."""
         size = high - low
+        self.right = []
         for guess, given in zip(self.guess, self.given):
+            right = guess == ids
             low = low + given * (guess < ids)
-            size = size + given * (guess == ids)
+            size += given * right
+            self.right.append(right)
         return low, size
 
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The id whose interval holds a value."""
-        swap = self.guess[0] > self.guess[1]
-        a, b = np.where(swap, self.guess[1], self.guess[0]), np.where(swap, self.guess[0], self.guess[1])
-        ga, gb = np.where(swap, self.given[1], self.given[0]), np.where(swap, self.given[0], self.given[1])
-        end_a, end_b = self.order0(a)[1], self.order0(b)[1]
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The id whose interval holds a value, and its begin and size."""
+        (one, two), (g_one, g_two) = self.guess, self.given
+        a, b = np.minimum(one, two), np.maximum(one, two)
+        ga = np.where(one > two, g_two, g_one)
+        gb = g_one + g_two - ga
+        low_a, end_a = self.order0(a)
+        low_b, end_b = self.order0(b)
         past_a = value >= end_a
         is_a = past_a & (value < end_a + ga)
         value = value - ga * (past_a & ~is_a)
@@ -122,21 +150,32 @@ class Mixer:
         value = value - gb * (past_b & ~is_b)
         cls = np.zeros(self.lanes, np.int64)
         for step in (32, 16, 8, 4, 2, 1):
-            further = np.minimum(cls + step, CLASSES - 1)
-            cls = np.where(self.bound(further) <= value, further, cls)
-        low = self.bound(cls)
-        width = self.bound(cls + 1) - low
-        ids = FIRST[cls] + ((value - low + 1) * SIZE[cls] - 1) // np.maximum(width, 1)
-        return np.where(is_a, a, np.where(is_b, b, ids))
+            further = cls + step
+            if 64 - step >= CLASSES:
+                np.minimum(further, CLASSES - 1, out=further)
+            bound = self.spare * _at(self.bounds, self.bound_base + further) >> CLASS_BITS
+            bound += _at(FIRST, further)
+            cls = np.where(bound <= value, further, cls)
+        low, width = self.span(cls)
+        shift = _at(SHIFT, cls)
+        ids = ((value - low + 1 << shift) - 1) // np.maximum(width, 1)
+        part = width * ids
+        ids += _at(FIRST, cls)
+        width += part
+        ids = np.where(is_a, a, np.where(is_b, b, ids))
+        begin = np.where(is_a, low_a, np.where(is_b, low_b, low + (part >> shift)))
+        end = np.where(is_a, end_a, np.where(is_b, end_b, low + (width >> shift)))
+        return ids, *self.beside(ids, begin, end)
 
     def learn(self, ids: np.ndarray) -> None:
-        for table, rates, slot, guess, level, place in zip(self.tables, self.rates, self.slots, self.guess, self.level, self.place):
-            right = guess == ids
-            rates[place] += (right * (SHARE - SHARE // 32) - rates[place]) >> RATE
+        """Take in an id whose interval was asked for last."""
+        for table, rates, slot, guess, level, place, rate, right in zip(
+                self.tables, self.rates, self.slots, self.guess, self.level, self.place, self.rate, self.right):
+            rates[place] = rate + ((right * (SHARE - SHARE // 32) - rate) >> RATE)
             lower = level >> 1
-            new = np.where(right, np.minimum(level + 1, LEVELS - 1), np.where(lower > 0, lower, 1))
+            new = np.where(right, np.minimum(level + 1, LEVELS - 1), np.maximum(lower, 1))
             table[slot] = (np.where(right | (lower > 0), guess, ids) << 4) | new
-        self.counts[self.class_base + CLASS[ids]] += STEP
+        self.counts[self.class_base + _at(CLASS, ids)] += STEP
         self.two, self.one = self.one, ids
 
 
@@ -183,8 +222,7 @@ def decode(words: np.ndarray, used: np.ndarray, n: int) -> np.ndarray:
         mixer.predict()
         unit = size >> np.uint64(BITS)
         value = np.minimum((code - low) // unit, np.uint64((1 << BITS) - 1)).astype(np.int64)
-        ids = mixer.find(value)
-        begin, share = mixer.interval(ids)
+        ids, begin, share = mixer.find(value)
         low += begin.astype(np.uint64) * unit
         size = share.astype(np.uint64) * unit
         short = np.flatnonzero(size <= _WORD)
@@ -217,7 +255,12 @@ def packed(ids: np.ndarray) -> bytes:
     ids = np.asarray(ids, np.int64)
     if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 32):
         raise ValueError("an id does not fit")
-    distinct, ranks, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < IDS:  # counted, not sorted
+        counts = np.bincount(ids)
+        distinct = np.flatnonzero(counts)
+        ranks, counts = (np.cumsum(counts > 0) - 1)[ids], counts[distinct]
+    else:
+        distinct, ranks, counts = np.unique(ids, return_inverse=True, return_counts=True)
     if len(distinct) > IDS:
         raise ValueError("too many distinct ids")
     order = np.argsort(-counts, kind="stable")

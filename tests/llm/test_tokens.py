@@ -215,6 +215,42 @@ def test_damage_is_seen():
         range_coder.unpacked(b"12345678")
 
 
+def test_class_sizes_are_powers_of_two():
+    """Shares within a class are cut by shifts."""
+    assert (np.bincount(range_coder.CLASS) == 1 << range_coder.SHIFT).all()
+
+
+def test_units_have_the_ids_of_whole_texts(monkeypatch):
+    """Also beside rarer blanks and added tokens; a word is given to the tokenizer once."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    parts = [" ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "a", "we'll", "Word", "12", "\u00e9", "\u65e5\u672c", "!", "<|endoftext|>", "\u0120", "\x00", "x" * 70]
+    weights = [8, 3, 4, 2, 1, *[0.1] * 6, *[3] * 7, 0.2, 1, 1, 1]
+    rng = np.random.default_rng(5)
+    texts = ["", *("".join(rng.choice(parts, n, p=np.array(weights) / sum(weights))) for n in rng.integers(0, 40, 3000))]
+    want = [np.array(c.ids, "<u4").tobytes() for c in model.encode_batch_fast(texts, add_special_tokens=False)]
+    for memo in (id_files.MEMO, 20):
+        monkeypatch.setattr(id_files, "MEMO", memo)
+        units = id_files.Units(model)
+        assert [raw for a in range(0, len(texts), 500) for raw in units.encoded(texts[a:a + 500])] == want
+    given, coded = [], units._coded
+    monkeypatch.setattr(units, "_coded", lambda found: given.extend(found) or coded(found))
+    units.clear()
+    units.encoded([" one two" * 500, " two one" * 500])
+    assert sum(map(len, given)) == len(" one two")
+
+
+def test_other_tokenizers_get_whole_texts():
+    from tokenizers import Tokenizer, normalizers
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model.normalizer = normalizers.Lowercase()
+    units = id_files.Units(model)
+    assert not units.cuts
+    assert units.encoded(["Some Words", ""]) == [np.array(model.encode("Some Words", add_special_tokens=False).ids, "<u4").tobytes(), b""]
+
+
 def test_files(spark, documents, rows, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
