@@ -16,6 +16,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +35,27 @@ MEMO_CHARS = 64  # longer units are not remembered
 GROUP = 1024  # new words given to the tokenizer as one text
 
 _BLANKS = " \t\n\r"
-_UNITS = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall
-_ODD = re.compile(r"[^\S \t\n\r]|[\u180e\u200b\ufeff]").search  # blanks to some
+_LETTERS, _SIGNS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af\u0400-\u0481]", r"[!-/:-@\[-`{-~\x00-\x08\x0e-\x1b\x7f]"
+# A run of letters, digits or signs ends before ASCII of another kind; what may go on in a rarer character stays whole.
+_UNITS = re.compile(
+    rf" ?(?:{_LETTERS}++|[0-9]++)(?![^\x00-\x7f])|'(?:[stmd]|re|ve|ll)|(?: |(?!')){_SIGNS}++(?![^\x00-\x7f])"
+    r"| ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]").findall
+_ODD = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]").search  # blanks to some
+_ODD_ASCII = "\x0b\x0c\x1c\x1d\x1e\x1f"
+
+
+def _odd(text: str) -> bool:
+    return any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD(text) is not None
 
 
 class Units(dict):
     """Ids of units of a text, as bytes; short units are remembered.
 
-    A unit is a word with the one space before it, or blanks. A byte-level tokenizer with the usual split always cuts between
-    units, so the ids of a text are those of its units, which repeat. Words that are new go to the tokenizer many in a
-    text: each begins with its only space, and so does its first id. Texts with rarer blanks or an added token in them, and
-    all texts under other tokenizers, go to the tokenizer whole.
+    A unit is a run of letters, digits or signs with the one space before it, a word of rarer characters, or blanks. A byte-level
+    tokenizer with the usual split always cuts between units, so the ids of a text are those of its units, which repeat. Units that
+    are new go to the tokenizer many in a text: one with a space begins with its only space, and so does its first id; others
+    have a line end, which no unit holds, after each. Texts with rarer blanks or an added token in them, and all texts under
+    other tokenizers, go to the tokenizer whole.
     """
 
     def __init__(self, model) -> None:
@@ -59,34 +70,45 @@ class Units(dict):
         names = model.get_vocab()
         self.spaced = np.zeros(max(names.values(), default=0) + 1, bool)
         self.spaced[[i for name, i in names.items() if name.startswith("\u0120")]] = True
+        self.line_end = names.get("\u010a", -1)
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes, little-endian 32-bit numbers."""
-        apart = [self.cuts and not _ODD(t) and not any(a in t for a in self.added) for t in texts]
+        apart = [self.cuts and not _odd(t) and not any(a in t for a in self.added) for t in texts]
         split = [_UNITS(t) if x else [] for t, x in zip(texts, apart)]
-        self._learn(set().union(*split))
+        self._learn(split)
         whole = iter(self._coded([t for t, x in zip(texts, apart) if not x]))
         return [b"".join(map(self.__getitem__, units)) if x else next(whole) for units, x in zip(split, apart)]
 
     def _coded(self, texts: list[str]) -> list[bytes]:
         return [np.array(c.ids, "<u4").tobytes() for c in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: set[str]) -> None:
-        fresh = units - self.keys()
+    def _learn(self, split: list[list[str]]) -> None:
+        fresh = set(filterfalse(self.__contains__, chain.from_iterable(split)))
         if len(self) + len(fresh) > MEMO:
             self.clear()
-            fresh = units
+            fresh = set().union(*split)
         fresh = [u for u in fresh if len(u) <= MEMO_CHARS]
-        words = [u for u in fresh if u[0] == " " and u[-1] not in _BLANKS]
-        if words:
-            raw = b"".join(self._coded(["".join(words[a:a + GROUP]) for a in range(0, len(words), GROUP)]))
-            starts = np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")])
-            bounds = [*(4 * starts).tolist(), len(raw)]
-            if len(starts) == len(words):
-                self.update((u, raw[a:b]) for u, a, b in zip(words, bounds, bounds[1:]))
+        spaced = [u for u in fresh if u[0] == " " and u[-1] not in _BLANKS]
+        raw, ids = self._together(spaced, "")
+        starts = np.flatnonzero(self.spaced[ids])
+        self._keep(spaced, raw, starts, np.append(starts[1:], len(ids)))
+        bare = [u for u in fresh if u[0] not in _BLANKS]
+        raw, ids = self._together(bare, "\n")
+        ends = np.flatnonzero(ids == self.line_end)
+        self._keep(bare, raw, np.append(0, ends[:-1] + 1), ends)
         others = [u for u in fresh if u not in self]
         self.update(zip(others, self._coded(others)))
 
+    def _together(self, units: list[str], end: str) -> tuple[bytes, np.ndarray]:
+        """Ids of units given many in a text, each with ``end`` after it, as bytes and as numbers."""
+        raw = b"".join(self._coded(["".join(u + end for u in units[a:a + GROUP]) for a in range(0, len(units), GROUP)]))
+        return raw, np.frombuffer(raw, "<u4")
+
+    def _keep(self, units: list[str], raw: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
+        if units and len(units) == len(ends):
+            self.update((u, raw[a:b]) for u, a, b in zip(units, (4 * starts).tolist(), (4 * ends).tolist()))
+
     def __missing__(self, unit: str) -> bytes:
         return self._coded([unit])[0]
 

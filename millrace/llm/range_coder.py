@@ -47,6 +47,8 @@ def _classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 CLASS, FIRST, SHIFT = _classes()
 CLASSES = len(SHIFT)
+# Confidence after a wrong and after a right guess.
+NEXT = np.concatenate([np.maximum(np.arange(LEVELS) >> 1, 1), np.minimum(np.arange(LEVELS) + 1, LEVELS - 1)])
 
 
 def _at(values: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -62,7 +64,7 @@ class Mixer:
         at = np.arange(lanes)
         self.slot_base, self.level_base, self.class_base = at * SLOTS, at * LEVELS, at * CLASSES
         self.bound_base = at * (CLASSES + 1)
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)  # the id before that times a factor
         self.tables = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]  # id and confidence in one number
         start = np.arange(LEVELS) * SHARE // (LEVELS + 4)
         self.rates = [np.tile(start, lanes) for _ in range(2)]
@@ -73,11 +75,20 @@ class Mixer:
         if self.at % REFRESH == 0:
             ends = np.cumsum(self.counts.reshape(self.lanes, CLASSES), axis=1)
             bounds = np.zeros((self.lanes, CLASSES + 1), np.int64)
-            np.floor_divide(ends << CLASS_BITS, ends[:, -1:], out=bounds[:, 1:])
+            # Whole numbers far below 2 ** 53: a double's quotient rounds down to the exact one, and is found faster.
+            bounds[:, 1:] = (ends << CLASS_BITS) / ends[:, -1:]
             self.bounds = bounds.ravel()
         self.at += 1
-        mixed = self.two * 40503 + self.one * 30011
-        self.slots = [self.slot_base + ((mixed ^ (mixed >> 11)) & (SLOTS - 1)), self.slot_base + ((self.one * 40503 >> 5) & (SLOTS - 1))]
+        one = self.one * 40503
+        mixed = self.one * 30011
+        mixed += self.two
+        mixed ^= mixed >> 11
+        mixed &= SLOTS - 1
+        mixed += self.slot_base
+        after = one >> 5
+        after &= SLOTS - 1
+        after += self.slot_base
+        self.slots, self.two = [mixed, after], one
         left = np.full(self.lanes, (1 << BITS) - (1 << BITS - 4), np.int64)
         self.guess, self.level, self.place, self.rate, self.given = [], [], [], [], []
         for table, rates, slot in zip(self.tables, self.rates, self.slots):
@@ -153,7 +164,9 @@ class Mixer:
             further = cls + step
             if 64 - step >= CLASSES:
                 np.minimum(further, CLASSES - 1, out=further)
-            bound = self.spare * _at(self.bounds, self.bound_base + further) >> CLASS_BITS
+            bound = _at(self.bounds, self.bound_base + further)
+            bound *= self.spare
+            bound >>= CLASS_BITS
             bound += _at(FIRST, further)
             cls = np.where(bound <= value, further, cls)
         low, width = self.span(cls)
@@ -171,12 +184,17 @@ class Mixer:
         """Take in an id whose interval was asked for last."""
         for table, rates, slot, guess, level, place, rate, right in zip(
                 self.tables, self.rates, self.slots, self.guess, self.level, self.place, self.rate, self.right):
-            rates[place] = rate + ((right * (SHARE - SHARE // 32) - rate) >> RATE)
-            lower = level >> 1
-            new = np.where(right, np.minimum(level + 1, LEVELS - 1), np.maximum(lower, 1))
-            table[slot] = (np.where(right | (lower > 0), guess, ids) << 4) | new
+            target = right * (SHARE - SHARE // 32)
+            target -= rate
+            target >>= RATE
+            target += rate
+            rates[place] = target
+            new = _at(NEXT, level + LEVELS * right)
+            # A right guess is the id.
+            new |= np.where(level > 1, guess, ids) << 4
+            table[slot] = new
         self.counts[self.class_base + _at(CLASS, ids)] += STEP
-        self.two, self.one = self.one, ids
+        self.one = ids
 
 
 def encode(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

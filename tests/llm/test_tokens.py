@@ -241,6 +241,34 @@ def test_units_have_the_ids_of_whole_texts(monkeypatch):
     assert sum(map(len, given)) == len(" one two")
 
 
+def test_a_word_is_tokenized_once_beside_any_sign(monkeypatch):
+    """Signs, digits and ends of words are units of their own, cut where the tokenizer cuts."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    units, given = id_files.Units(model), []
+    coded = units._coded
+    monkeypatch.setattr(units, "_coded", lambda found: given.extend(found) or coded(found))
+    signs = ["", ",", ".", "!?", "'s", "12", "-", "...", "_", "\x00"]
+    texts = [f" one{a} two{b} one\nthr\u00e9e{a}one{b}\n" for a in signs for b in signs]
+    want = [np.array(c.ids, "<u4").tobytes() for c in model.encode_batch_fast(texts, add_special_tokens=False)]
+    assert units.encoded(texts) == want
+    assert "".join(given).count("one") == 3 and "".join(given).count("two") == 1  # " one", "one" and the end of a longer word
+
+
+def test_units_end_where_the_tokenizer_cuts():
+    """Beside letters and signs that are not in ASCII too, which may go on a run."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(7)
+    parts = list("abZ09'.,-_!? \n\t") + ["'s", "'ll", "'x", "\u00e9", "\u00df", "\u0436", "\u65e5", "\u0301", "\u00b2", "\u00bd", "\u0663", "\u00aa", "\u00d7", "\u2014", "\x00", "\x7f"]
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(1, 40, 5000)]
+    texts += [f"a{chr(c)}b {chr(c)}{chr(c)}'ll 1{chr(c)}.{chr(c)}?" for c in range(0x500)]
+    want = [np.array(c.ids, "<u4").tobytes() for c in model.encode_batch_fast(texts, add_special_tokens=False)]
+    assert id_files.Units(model).encoded(texts) == want
+
+
 def test_other_tokenizers_get_whole_texts():
     from tokenizers import Tokenizer, normalizers
 
