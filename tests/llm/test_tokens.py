@@ -1,5 +1,6 @@
 """Encoding, language model and id files on small inputs."""
 
+import collections
 import math
 import zlib
 
@@ -8,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import id_files, max_plus, pitman_yor, range_coder
@@ -180,6 +182,66 @@ def test_seatings_use_the_sums_of_all_words(spark, monkeypatch):
     assert found[0] == pytest.approx(found[1], rel=0.003)
 
 
+def test_no_context_stands_for_another(spark):
+    """A word is scored by the words seen after its own context, also if other contexts' hashes are close to that one's."""
+    alike, found = {}, None
+    for i in range(10_000):  # of so many some fall together, whatever the number of classes up to a few million
+        h = xxhash.xxh3_64_intdigest(f"a{i}".encode()) % 4095
+        if h in alike:
+            found = (f"a{alike[h]}", f"a{i}")
+            break
+        alike[h] = i
+    u, v = found
+    rows = [(i, f"{u} x" if i % 2 else f"{v} y", False) for i in range(60)] + [(100, f"{u} x", True), (101, f"{u} y", True)]
+    documents = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, held BOOLEAN")
+    got = {r.doc_id: r for r in pitman_yor.scored(documents, F.col("held")).collect()}
+    assert got[100].base_score == pytest.approx(got[101].base_score)
+    assert got[100].score > got[101].score + 1
+
+
+@pytest.mark.parametrize("least", [0, 100_000])
+def test_scores_are_those_of_all_pairs_in_one_place(spark, monkeypatch, least):
+    """However pairs are dealt, by word or, for frequent words, by context."""
+    monkeypatch.setattr(pitman_yor, "LEAST_FREQUENT", least)
+    rows = [(i, " ".join(f"w{(i * j) % 97} the w{(i + j) % 7} rare{i}x{j}" for j in range(1, 12))) for i in range(120)]
+    got = pitman_yor.scored(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), F.col("doc_id") % 10 == 0).collect()
+    texts_ = {i: ["", *t.split(), ""] for i, t in rows}  # the end of a text, as a word, also stands before the first
+    names = {w: k for k, w in enumerate(sorted({w for t in texts_.values() for w in t}))}
+    pairs = sorted({(names[w], names[u]) for t in texts_.values() for u, w in zip(t, t[1:])})
+    counts = collections.Counter((names[w], names[u]) for i, t in texts_.items() if i % 10 for u, w in zip(t, t[1:]))
+    word, context = map(np.array, zip(*pairs))
+    known, each = np.unique(word, return_counts=True)
+    asks = [[known.astype(np.uint64), each, context, np.array([counts[p] for p in pairs])]]
+    own = pitman_yor.Range(asks, 0, 1, len(names))
+    totals = [own.sums(*drawn) for drawn in own.samples()]
+    p = dict(zip(pairs, pitman_yor.predicted(pitman_yor.Range(asks, 0, 1, len(names)), totals)))
+    want = {i: sum(math.log10(p[names[w], names[u]]) for u, w in zip(t, t[1:])) for i, t in texts_.items()}
+    assert sum(r.score for r in got) == pytest.approx(sum(want.values()), rel=0.005)
+    assert all(r.score == pytest.approx(want[r.doc_id], rel=0.05) for r in got)
+
+
+def test_scores_do_not_follow_the_homes(spark, monkeypatch):
+    """The tables of contexts are the same wherever they are summed."""
+    rows = [(i, " ".join(f"w{(i * j) % 97} the w{(i + j) % 7} rare{i}x{j}" for j in range(1, 12))) for i in range(60)]
+    documents, found = spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), []
+    monkeypatch.setattr(pitman_yor, "LEAST_RANGES", 19)
+    for n in (pitman_yor.HOMES, 1):
+        monkeypatch.setattr(pitman_yor, "HOMES", n)
+        found.append({r.doc_id: r.score for r in pitman_yor.scored(documents, F.col("doc_id") % 10 == 0).collect()})
+    assert found[0] == found[1]
+
+
+def test_places_and_steps():
+    rng = np.random.default_rng(0)
+    for n, m in ((1, 1), (5, 3), (100_000, 200_000)):
+        places = rng.integers(0, n, m)
+        stored = pitman_yor.unblob(pitman_yor.blob(*pitman_yor.by_frequency(places, n)))
+        assert (pitman_yor.from_frequency(*stored) == places).all()
+    rows = [rng.integers(0, 300, 50) for _ in range(4)]
+    assert (pitman_yor.steps(rows) >= 0).all()
+    assert (pitman_yor.from_steps(pitman_yor.steps(rows), 4) == np.stack(rows)).all()
+
+
 STREAMS = [[], [0], [2 ** 32 - 1, 5], list(range(9000)), [7] * 5000, [1, 2, 3] * 4000]
 
 
